@@ -1,0 +1,6 @@
+"""Streams.
+
+Nothing here is a streaming feature of its own. The row-local operators (cleaning, labels, codes,
+model labels, rule-based categories, the word-list scorer, prompts) take a streaming DataFrame as they
+take a table; ranking, sampling and the reports are batch jobs.
+"""
