@@ -80,7 +80,7 @@ def product_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def product_stats_nulls(spark: SparkSession, sf: str) -> DataFrame:
-    return products.product_stats(views.reviews_with_nulls(spark, sf))
+    return products.product_stats(views.reviews(spark, sf, nulls=True))
 
 
 def product_means(spark: SparkSession, sf: str) -> DataFrame:
@@ -128,7 +128,9 @@ def clean_columns(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sentiment_labels(spark: SparkSession, sf: str) -> DataFrame:
-    nulls = labels.assign_sentiment_labels(views.reviews_with_nulls(spark, sf))
+    nulls = labels.assign_sentiment_labels(
+        views.reviews(spark, sf, nulls=True)
+    )
     return cleaning.plain_names(nulls.select("review_id", "`reviews.rating`", "rating_sentiment"))
 
 
@@ -146,19 +148,21 @@ def category_keys(spark: SparkSession, sf: str) -> DataFrame:
     named = views.reviews(spark, sf).withColumn(
         "label", F.concat_ws(" & ", "meta_category", "name", F.concat("meta_category", F.lit("&x")))
     )
-    return named.select("label", fn.category_key("label").alias("key")).distinct()
+    return named.select("label").distinct().withColumn("key", fn.category_key("label"))
 
 
 # Profiles -----------------------------------------------------------------------------------------
 
 
 def rating_counts(spark: SparkSession, sf: str) -> DataFrame:
-    counts = profile.value_counts(views.reviews_with_nulls(spark, sf), "reviews.rating")
+    counts = profile.value_counts(views.reviews(spark, sf, nulls=True), "reviews.rating")
     return cleaning.plain_names(counts)
 
 
 def sentiment_share(spark: SparkSession, sf: str) -> DataFrame:
-    nulls = labels.assign_sentiment_labels(views.reviews_with_nulls(spark, sf))
+    nulls = labels.assign_sentiment_labels(
+        views.reviews(spark, sf, nulls=True)
+    )
     return profile.class_shares(nulls)
 
 
@@ -167,20 +171,20 @@ def category_crosstab(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def distinct_categories(spark: SparkSession, sf: str) -> DataFrame:
-    return profile.distinct_values(views.reviews_with_nulls(spark, sf), "name")
+    return profile.distinct_values(views.reviews(spark, sf, nulls=True), "name")
 
 
 def distinct_counts(spark: SparkSession, sf: str) -> DataFrame:
-    nulls = views.reviews_with_nulls(spark, sf)
+    nulls = views.reviews(spark, sf, nulls=True)
     return profile.distinct_counts(nulls, "categories", "name", "meta_category")
 
 
 def null_profile(spark: SparkSession, sf: str) -> DataFrame:
-    return profile.null_counts(views.reviews_with_nulls(spark, sf))
+    return profile.null_counts(views.reviews(spark, sf, nulls=True))
 
 
 def table_profile(spark: SparkSession, sf: str) -> DataFrame:
-    return profile.table_profile(views.reviews_with_nulls(spark, sf))
+    return profile.table_profile(views.reviews(spark, sf, nulls=True))
 
 
 def smallest_class(spark: SparkSession, sf: str) -> DataFrame:
@@ -352,6 +356,7 @@ def summaries_upsert(spark: SparkSession, sf: str) -> DataFrame:
     summaries.save_summaries(written.withColumn("summary", short), path)
     changed = written.where(F.col("category_key").isin(*VERSION_SPLIT))
     summaries.upsert_summaries(changed, path)
+    written.unpersist()
     return summaries.load_summaries(spark, path)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 MAX_ROWS = 50_000
@@ -10,15 +11,15 @@ MAX_BYTES = 32 * 1024 * 1024
 
 def small_side(
     df: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES
-) -> tuple[DataFrame, bool]:
+) -> tuple[DataFrame, pa.Table | None]:
     """``df`` as a broadcast table when it is within both bounds, else ``df`` as it is.
 
     At most ``max_rows + 1`` rows reach the driver. Beyond the bound the join is planned without a
     hint: a shuffle join, whose overfull partitions adaptive execution splits.
-    The flag says which of the two came back.
+    The rows come along when they are within the bounds, so that a check of them needs no job.
     """
     rows = df.limit(max_rows + 1).toArrow()
     if rows.num_rows > max_rows or rows.nbytes > max_bytes:
-        return df, False
+        return df, None
     local = df.sparkSession.createDataFrame(rows, schema=df.schema)
-    return F.broadcast(local), True
+    return F.broadcast(local), rows

@@ -101,11 +101,9 @@ def join_mapping(
 
     The mapping is broadcast when it is small, and must then name each string once.
     """
-    side, bounded = small_side(mapping.select(F.col(CATEGORIES).alias("_raw"), META))
-    if bounded:
-        repeated = side.groupBy("_raw").count().where("count > 1").limit(3).collect()
-        if repeated:
-            raise ValueError(f"mapped more than once: {[row['_raw'] for row in repeated]}")
+    side, rows = small_side(mapping.select(F.col(CATEGORIES).alias("_raw"), META))
+    if rows is not None and len(rows) != len(set(rows["_raw"].to_pylist())):
+        raise ValueError("the mapping names a category more than once")
     return reviews.join(side, named(category_col) == F.col("_raw"), "left").drop("_raw")
 
 

@@ -14,8 +14,12 @@ PICK_KEY = [META, "role", "rank", NAME]
 
 
 def reviews_of_products(reviews: DataFrame, products: DataFrame) -> DataFrame:
-    """All reviews of the products in ``products`` (one row per name), of whatever category."""
-    return reviews.join(products.select(NAME), NAME, "left_semi")
+    """All reviews of the named products, of whatever category.
+
+    A short product list is broadcast, so that the reviews are filtered where they are read.
+    """
+    listed, _ = small_side(products)
+    return reviews.join(listed.select(NAME), NAME, "left_semi")
 
 
 def first_reviews(

@@ -101,13 +101,15 @@ def confusion_matrix(
     predicted: str = PREDICTED,
     labels: Sequence[str] = SENTIMENTS,
 ) -> DataFrame:
-    """Rows per actual class, one column per predicted class; ``labels`` sets both."""
-    pairs = _pairs(df, actual, predicted).where(
-        F.col("actual").isin(*labels) & F.col("predicted").isin(*labels)
-    )
-    # A class that never occurs still has its row.
-    zeros = df.sparkSession.createDataFrame(
-        [(label, label, 0) for label in labels], "actual string, predicted string, n long"
+    """Rows per actual class, one column per predicted class; ``labels`` sets both.
+
+    One aggregate over the data. A class that never occurs still has its row.
+    """
+    counted = [F.count_if(F.col("predicted") == label).alias(label) for label in labels]
+    pairs = df.select(named(actual).alias("actual"), named(predicted).alias("predicted"))
+    found = pairs.where(F.col("actual").isin(*labels)).groupBy("actual").agg(*counted)
+    every = df.sparkSession.range(1).select(
+        F.explode(F.array(*[F.lit(label) for label in labels])).alias("actual")
     )
-    pairs = pairs.unionByName(zeros)
-    return pairs.groupBy("actual").pivot("predicted", list(labels)).agg(F.sum("n")).na.fill(0)
+    filled = [F.coalesce(label, F.lit(0).cast("long")).alias(label) for label in labels]
+    return every.join(found, "actual", "left").select("actual", *filled)

@@ -37,15 +37,16 @@ def word_list_label(
     positive: Sequence[str] = POSITIVE_WORDS,
 ) -> Column:
     """``LABEL_0`` when negative words outnumber positive ones, ``LABEL_2`` the other way round."""
-    words = words_of(text)
-    bad = F.size(F.filter(words, lambda word: word.isin(*negative)))
-    good = F.size(F.filter(words, lambda word: word.isin(*positive)))
-    return (
-        F.when(named(text).isNull(), F.lit("LABEL_1"))
-        .when(bad > good, F.lit("LABEL_0"))
-        .when(good > bad, F.lit("LABEL_2"))
-        .otherwise(F.lit("LABEL_1"))
+    balance = F.aggregate(
+        words_of(text),
+        F.lit(0),
+        lambda sum_, word: sum_
+        + F.when(word.isin(*positive), 1).otherwise(0)
+        - F.when(word.isin(*negative), 1).otherwise(0),
     )
+    # The sign picks the label, so that the text is split once; no text is no verdict.
+    place = F.coalesce(F.signum(balance), F.lit(0)).cast("int") + 2
+    return F.element_at(F.array(*[F.lit(f"LABEL_{i}") for i in range(3)]), place)
 
 
 def baseline_sentiment(
@@ -72,4 +73,6 @@ def baseline_sentiment(
         label = predict_batch_udf(load_model, return_type=T.StringType(), batch_size=batch_size)(
             F.coalesce(text, F.lit(""))
         )
-    return df.withColumn(PREDICTED, model_label_sentiment(label))
+    # A column of its own keeps the translation from computing the label once per branch.
+    labelled = df.withColumn("_model_label", label)
+    return labelled.withColumn(PREDICTED, model_label_sentiment("_model_label")).drop("_model_label")
