@@ -232,17 +232,18 @@ def balanced_sample_1206(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def hash_split(spark: SparkSession, sf: str) -> DataFrame:
-    train, test = sampling.train_test_split(views.reviews(spark, sf))
-    parts = sampling.concat(
-        train.withColumn("part", F.lit("train")), test.withColumn("part", F.lit("test"))
-    )
-    return parts.select("review_id", "part")
+    part = F.when(sampling.in_test_split(0.3), "test").otherwise("train")
+    return views.reviews(spark, sf).select("review_id", part.alias("part"))
 
 
-def concat_slices(spark: SparkSession, sf: str) -> DataFrame:
-    labelled = _labelled(spark, sf).select("review_id", "rating_sentiment")
-    slices = [labelled.where(F.col("rating_sentiment") == c) for c in ("positive", "negative")]
-    return sampling.concat(*slices, labelled.where(F.col("rating_sentiment") == "neutral"))
+def concat_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Two review tables with different columns, stacked."""
+    texts = views.text_reviews(spark, sf).drop("reviews.text")
+    both = sampling.concat(
+        views.reviews(spark, sf).drop("model_label", "primarycategories"),
+        texts.withColumn("review_id", F.col("review_id").cast("string")),
+    )
+    return cleaning.plain_names(both)
 
 
 # Metrics ------------------------------------------------------------------------------------------
@@ -434,7 +435,8 @@ def kmeans_sizes(spark: SparkSession, sf: str) -> DataFrame:
 def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "csv")
     review_files.save_csv(views.table(spark, sf, "documents"), path)
-    back = review_files.load_reviews(spark, path, {"doc_id": "bigint", "n_chars": "bigint"})
+    numbers = {"doc_id": "bigint", "n_chars": "bigint"}
+    back = review_files.load_reviews(spark, path, numbers, with_id=False)
     return back.withColumns({"text": F.md5("text"), "n": F.length("text")})
 
 
@@ -480,7 +482,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         balanced_sample_default,
         balanced_sample_1206,
         hash_split,
-        concat_slices,
+        concat_tables,
         classification_report,
         confusion_matrix,
         category_mapping,
@@ -738,8 +740,11 @@ def oracle_sql() -> dict[str, str]:
                    CASE WHEN CAST('0x' || left(md5('split|42|' || review_id), 8) AS BIGINT)
                      < {round(0.3 * 2**32)} THEN 'test' ELSE 'train' END AS part
             FROM reviews""",
-        "concat_slices": f"""WITH {REVIEWS}, {LABELLED}
-            SELECT review_id, rating_sentiment FROM labelled WHERE rating_sentiment IS NOT NULL""",
+        "concat_tables": f"""WITH {REVIEWS}
+            SELECT review_id, name, categories, meta_category, rating AS reviews_rating FROM reviews
+            UNION ALL
+            SELECT CAST(doc_id AS VARCHAR), source, NULL, lang, CAST(1 + n_chars % 5 AS INTEGER)
+            FROM documents""",
         "classification_report": f"""WITH {REVIEWS}, {LABELLED}, {PREDICTED},
             classes AS (
               SELECT label, CAST(sum(hits) AS BIGINT) AS hits, CAST(sum(guessed) AS BIGINT) AS guessed,

@@ -1 +1,57 @@
 """Product-review analytics as Spark DataFrame jobs."""
+
+from starloom.operators.categories import (
+    classify_categories,
+    distinct_categories,
+    join_mapping,
+    mapping_audit,
+)
+from starloom.operators.cleaning import clean_columns
+from starloom.operators.evidence import article_evidence
+from starloom.operators.labels import assign_sentiment_labels, encode_labels
+from starloom.operators.metrics import classification_report, confusion_matrix
+from starloom.operators.products import get_top_n, get_worst, product_stats, rating_chart
+from starloom.operators.profile import class_shares, table_profile, value_counts
+from starloom.operators.sampling import balance_classes, train_test_split
+from starloom.operators.sentiment import baseline_sentiment
+from starloom.operators.text_model import predict_sentiment, train_sentiment
+from starloom.plans.articles import generate_category_blogs
+from starloom.plans.reports import dashboard
+from starloom.session import build_session
+from starloom.sources.reviews import load_reviews, load_table, save_csv, save_table
+from starloom.sources.summaries import load_summaries, save_summaries, upsert_summaries
+
+__all__ = [
+    "article_evidence",
+    "assign_sentiment_labels",
+    "balance_classes",
+    "baseline_sentiment",
+    "build_session",
+    "class_shares",
+    "classification_report",
+    "classify_categories",
+    "clean_columns",
+    "confusion_matrix",
+    "dashboard",
+    "distinct_categories",
+    "encode_labels",
+    "generate_category_blogs",
+    "get_top_n",
+    "get_worst",
+    "join_mapping",
+    "load_reviews",
+    "load_summaries",
+    "load_table",
+    "mapping_audit",
+    "predict_sentiment",
+    "product_stats",
+    "rating_chart",
+    "save_csv",
+    "save_summaries",
+    "save_table",
+    "table_profile",
+    "train_sentiment",
+    "train_test_split",
+    "upsert_summaries",
+    "value_counts",
+]

@@ -94,6 +94,8 @@ def argmax(scores: str | Column) -> Column:
 def seeded_hash(purpose: str, seed: int, id_column: str | Column) -> Column:
     """A hex digest per row that depends on nothing but purpose, seed and id.
 
-    The purpose keeps a sample and a later split of that sample independent under one seed.
+    The purpose keeps a sample and a later split of that sample independent under one seed. A
+    missing id has a digest as well, so that no row falls out of both parts of a split.
     """
-    return F.md5(F.concat(F.lit(f"{purpose}|{seed}|"), named(id_column).cast("string")))
+    key = F.coalesce(named(id_column).cast("string"), F.lit(""))
+    return F.md5(F.concat(F.lit(f"{purpose}|{seed}|"), key))

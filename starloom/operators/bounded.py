@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.storagelevel import StorageLevel
 
 MAX_ROWS = 50_000
 MAX_BYTES = 32 * 1024 * 1024
@@ -14,12 +15,21 @@ def small_side(
 ) -> tuple[DataFrame, pa.Table | None]:
     """``df`` as a broadcast table when it is within both bounds, else ``df`` as it is.
 
-    At most ``max_rows + 1`` rows reach the driver. Beyond the bound the join is planned without a
-    hint: a shuffle join, whose overfull partitions adaptive execution splits.
+    Rows and text bytes are counted on the cluster, over no more than ``max_rows + 1`` rows, before
+    anything comes to the driver. Beyond the bounds the join is planned without a hint: a shuffle
+    join, whose overfull partitions adaptive execution splits.
     The rows come along when they are within the bounds, so that a check of them needs no job.
     """
-    rows = df.limit(max_rows + 1).toArrow()
-    if rows.num_rows > max_rows or rows.nbytes > max_bytes:
-        return df, None
-    local = df.sparkSession.createDataFrame(rows, schema=df.schema)
-    return F.broadcast(local), rows
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    bytes_ = F.lit(0).cast("long")
+    for name in texts:
+        bytes_ = bytes_ + F.coalesce(F.octet_length(F.col(f"`{name}`")), F.lit(0))
+    first = df.limit(max_rows + 1).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        size = first.agg(F.count(F.lit(1)).alias("rows"), F.sum(bytes_).alias("bytes")).first()
+        if size["rows"] > max_rows or (size["bytes"] or 0) > max_bytes:
+            return df, None
+        rows = first.toArrow()
+    finally:
+        first.unpersist()
+    return F.broadcast(df.sparkSession.createDataFrame(rows, schema=df.schema)), rows

@@ -12,6 +12,7 @@ from starloom.functions.columns import named, strip
 from starloom.functions.prompts import CATEGORY_TEMPLATE, category_prompt
 from starloom.operators.bounded import small_side
 from starloom.operators.profile import category_crosstab
+from starloom.session import written_once
 
 # Words that decide a category, the first entry with a match wins. The first two entries restate
 # the rules that the model is given in its question.
@@ -64,9 +65,10 @@ def classify_categories(
     """The mapping ``categories -> meta_category`` for a table of distinct category strings.
 
     With ``load_model`` each string becomes a question to a model, which is loaded once per task. The
-    strings are spread over ``calls`` tasks, since a call costs far more than moving the string.
-    Its answers are stripped and kept even if they are not among the options; ``mapping_audit``
-    counts those. Without a model the keyword rules decide, in the JVM.
+    strings are spread over ``calls`` tasks, since a call costs far more than moving the string,
+    and the answers are written to the shared scratch folder, so that no string is asked again.
+    They are stripped and kept even if they are not among the options; ``mapping_audit`` counts
+    those. Without a model the keyword rules decide, in the JVM.
     """
     options = list(options or META_CATEGORIES)
     if load_model is None:
@@ -76,8 +78,9 @@ def classify_categories(
         return raw.select(CATEGORIES, category_by_rules(CATEGORIES, known).alias(META))
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = load_model()
+        model = None
         for batch in batches:
+            model = model or load_model()
             answers = model(batch["question"].tolist())
             yield pd.DataFrame({CATEGORIES: batch[CATEGORIES], META: answers})
 
@@ -86,7 +89,7 @@ def classify_categories(
         CATEGORIES, category_prompt(CATEGORIES, options, template).alias("question")
     ).repartition(calls)
     answered = asked.mapInPandas(ask, f"{CATEGORIES} string, {META} string")
-    return answered.withColumn(META, strip(META))
+    return written_once(answered.withColumn(META, strip(META)), "category-mapping")
 
 
 def mapping_table(spark, mapping: Mapping[str, str]) -> DataFrame:

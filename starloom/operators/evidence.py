@@ -33,9 +33,12 @@ def first_reviews(
     of_products = reviews_of_products(reviews, products)
     by_id = [named(id_col).asc()]
     ids = first_k(of_products.select(NAME, named(id_col)), [NAME], by_id, k, "pos")
-    wanted, _ = small_side(ids.select(NAME, named(id_col)).distinct())
+    wanted, _ = small_side(
+        ids.select(named(NAME).alias("_name"), named(id_col).alias("_id")).distinct()
+    )
     # An id that more than one review carries can bring in too many rows: number them again.
-    return first_k(reviews.join(wanted, [NAME, id_col], "left_semi"), [NAME], by_id, k, "pos")
+    same = (named(NAME) == F.col("_name")) & named(id_col).eqNullSafe(F.col("_id"))
+    return first_k(reviews.join(wanted, same, "left_semi"), [NAME], by_id, k, "pos")
 
 
 def article_evidence(
@@ -74,9 +77,11 @@ def article_evidence(
 def review_blocks(evidence: DataFrame) -> DataFrame:
     """Texts per picked product in review order, a missing text kept as null.
 
-    Needs evidence with a cap, which bounds what is gathered into one row.
+    The cap of the evidence bounds what is gathered into one row; evidence without one is refused.
     """
-    entry = F.struct("pos", "rating", "text")
+    no_cap = F.raise_error(F.lit("review blocks need evidence with a cap on reviews"))
+    pos = F.when(F.col("pos").isNull(), no_cap.cast("int")).otherwise(F.col("pos"))
+    entry = F.struct(pos.alias("pos"), "rating", "text")
     return (
         evidence.groupBy(*PICK_KEY, AVG, COUNT)
         .agg(F.sort_array(F.collect_list(entry)).alias("_entries"))

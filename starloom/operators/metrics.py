@@ -108,7 +108,7 @@ def confusion_matrix(
     counted = [F.count_if(F.col("predicted") == label).alias(label) for label in labels]
     pairs = df.select(named(actual).alias("actual"), named(predicted).alias("predicted"))
     found = pairs.where(F.col("actual").isin(*labels)).groupBy("actual").agg(*counted)
-    every = df.sparkSession.range(1).select(
+    every = df.sparkSession.range(0, 1, numPartitions=1).select(
         F.explode(F.array(*[F.lit(label) for label in labels])).alias("actual")
     )
     filled = [F.coalesce(label, F.lit(0).cast("long")).alias(label) for label in labels]

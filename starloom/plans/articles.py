@@ -11,6 +11,7 @@ from starloom.fixed_values import META, NAME, RATING, REVIEW_ID, TEXT
 from starloom.functions.columns import category_key, two_decimals
 from starloom.operators.evidence import article_evidence, review_blocks
 from starloom.operators.products import AVG, COUNT
+from starloom.session import written_once
 
 # Takes one prompt, gives the article.
 Write = Callable[[str], str]
@@ -121,20 +122,23 @@ def write_articles(
     """``category_key, summary``, ready for the summary store.
 
     ``load_model`` runs once per task and returns a function from prompt to article. The categories are
-    spread over ``calls`` tasks, so that slow generation runs side by side.
+    spread over ``calls`` tasks, so that slow generation runs side by side, and the articles are
+    written to the shared scratch folder, so that each is generated once.
     """
     if load_model is None:
         return inputs.select("category_key", article_from_template().alias("summary"))
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = load_model()
+        model = None
         for batch in batches:
+            model = model or load_model()
             texts = [model(prompt) for prompt in batch["prompt"]]
             yield pd.DataFrame({"category_key": batch["category_key"], "summary": texts})
 
     calls = calls or inputs.sparkSession.sparkContext.defaultParallelism
     asked = inputs.select("category_key", article_prompt().alias("prompt")).repartition(calls)
-    return asked.mapInPandas(write, "category_key string, summary string")
+    written = asked.mapInPandas(write, "category_key string, summary string")
+    return written_once(written, "articles")
 
 
 def generate_category_blogs(

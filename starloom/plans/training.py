@@ -1,13 +1,15 @@
 """Train on a balanced review table from the command line.
 
-    spark-submit -m starloom.plans.training --data <csv or parquet> --out <folder>
+    python -m starloom.plans.training --data <csv or parquet> --out <folder>
+
+Data whose path ends in ``.csv`` is read as CSV, anything else as Parquet.
 """
 
 from __future__ import annotations
 
 import argparse
 
-from starloom.fixed_values import REVIEW_ID, SENTIMENTS
+from starloom.fixed_values import SENTIMENTS
 from starloom.operators.text_model import train_sentiment
 from starloom.session import build_session
 from starloom.sources.reviews import load_reviews, load_table
@@ -25,8 +27,6 @@ def main(arguments: list[str] | None = None) -> None:
     spark = build_session("train-sentiment")
     if given.data.endswith(".csv"):
         balanced = load_reviews(spark, given.data)
-        if REVIEW_ID not in balanced.columns:
-            balanced = load_reviews(spark, given.data, with_id=True)
     else:
         balanced = load_table(spark, given.data)
     _, report = train_sentiment(

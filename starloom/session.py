@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive execution splits a partition that one hot key overfills and coalesces the small ones, so
 # the shuffle partition count is only an upper bound for the cluster to set.
@@ -41,3 +41,11 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="starloom-")
     return f"{shared.rstrip('/')}/starloom/{purpose}-{uuid.uuid4().hex}"
+
+
+def written_once(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` from a table in the scratch folder: what made it does not run again, nor is it lost
+    with an executor."""
+    path = scratch_path(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -23,7 +23,7 @@ def load_reviews(
     path: str,
     numeric: dict[str, str] | None = None,
     multi_line: bool = True,
-    with_id: bool = False,
+    with_id: bool = True,
 ) -> DataFrame:
     """A review CSV with its header as it stands.
 
@@ -33,7 +33,7 @@ def load_reviews(
 
     A file with line breaks inside fields has to be read by one task, so convert a large set of
     files to Parquet once (``save_table``) and query that. ``with_id`` adds ``review_id``, the place
-    of the row in the input; it is meant to be stored by that conversion.
+    of the row in the input, unless the file has that column; the conversion stores it for good.
     """
     header = _header(spark, path)
     schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
@@ -52,8 +52,8 @@ def load_reviews(
         cell = F.when(~named(name).isin(*NULL_TOKENS), named(name))
         wanted = types.get(name.lower())
         cells.append((cell.try_cast(wanted) if wanted else cell).alias(name))
-    if with_id:
-        cells.insert(0, F.monotonically_increasing_id().alias(REVIEW_ID))
+    if with_id and REVIEW_ID not in header:
+        cells.append(F.monotonically_increasing_id().alias(REVIEW_ID))
     return raw.select(*cells)
 
 

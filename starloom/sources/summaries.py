@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starloom.functions.columns import category_key
+from starloom.operators.bounded import small_side
 from starloom.sources.reviews import path_is_missing
 
 KEY = "category_key"
@@ -78,7 +79,10 @@ def load_summaries_json(spark: SparkSession, path: str) -> DataFrame:
 
 
 def save_summaries_json(summaries: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """The table as one JSON object. Meant for one row per category: it is a single value."""
+    """The table as one JSON object. That is a single value, so a large table is refused."""
+    summaries, rows = small_side(summaries.select(KEY, SUMMARY))
+    if rows is None:
+        raise ValueError("too many summaries for one JSON object; use save_summaries")
     entry = F.struct(KEY, SUMMARY)
     as_object = F.to_json(F.map_from_entries(F.sort_array(F.collect_list(entry))))
     summaries.agg(as_object.alias("value")).write.mode(mode).text(path)

@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 
 from starloom.operators import categories, cleaning, clusters, labels, sentiment, text_model
 from starloom.operators.profile import class_sizes
+from starloom.plans.training import main as train_main
+from starloom.sources.reviews import save_csv
 
 
 @pytest.fixture(scope="module")
@@ -78,6 +80,16 @@ def test_training_saving_and_predicting(training, tmp_path):
     assert sorted(predicted.collect()) == sorted(same.collect())
 
 
+def test_training_from_the_command_line(training, tmp_path, capsys):
+    data, out = str(tmp_path / "balanced.csv"), str(tmp_path / "model")
+    save_csv(training.drop("review_id"), data)
+    train_main(["--data", data, "--out", out, "--max-iter", "5"])
+    shown = capsys.readouterr().out.split()
+    assert shown[0::2] == ["negative:", "neutral:", "positive:", "accuracy:"]
+    assert float(shown[-1]) > 0.9
+    assert text_model.load_model(out).stages
+
+
 def test_clusters(spark):
     rng = np.random.default_rng(0)
     data = [(i, (rng.normal(0, 0.1, 4) + 5 * (i % 2)).tolist()) for i in range(100)]

@@ -76,6 +76,17 @@ def test_a_third_of_the_rows_under_one_id(spark):
     assert all_rows.count() == 299
 
 
+def test_rows_without_an_id_take_part(spark):
+    df = spark.range(90).select(
+        F.when(F.col("id") >= 30, F.col("id")).alias("review_id"), F.lit("a").alias("label")
+    )
+    for n in (0, 1, 25, 40, 70, 90, 100):
+        sample = sampling.balance_classes(df, "label", n).collect()
+        assert len(sample) == min(n, 90)
+    train, test = sampling.train_test_split(df)
+    assert train.count() + test.count() == 90
+
+
 def test_bad_arguments(spark, uneven):
     with pytest.raises(ValueError, match="negative"):
         sampling.balance_classes(uneven, "label", -1)
