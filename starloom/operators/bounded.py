@@ -6,6 +6,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.storagelevel import StorageLevel
 
+from starloom.session import written_once
+
 MAX_ROWS = 50_000
 MAX_BYTES = 32 * 1024 * 1024
 
@@ -13,11 +15,12 @@ MAX_BYTES = 32 * 1024 * 1024
 def small_side(
     df: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES
 ) -> tuple[DataFrame, pa.Table | None]:
-    """``df`` as a broadcast table when it is within both bounds, else ``df`` as it is.
+    """``df`` as a broadcast table when it is within both bounds, else as a table in scratch.
 
     Rows and text bytes are counted on the cluster, over no more than ``max_rows + 1`` rows, before
-    anything comes to the driver. Beyond the bounds the join is planned without a hint: a shuffle
-    join, whose overfull partitions adaptive execution splits.
+    anything comes to the driver. Beyond the bounds the join is planned without a hint, as a shuffle
+    join. Adaptive execution splits the partition of a hot key there, but only if both sides of the
+    join are bare shuffles, which the scan of a table gives and an aggregate on the key does not.
     The rows come along when they are within the bounds, so that a check of them needs no job.
     """
     texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
@@ -28,7 +31,7 @@ def small_side(
     try:
         size = first.agg(F.count(F.lit(1)).alias("rows"), F.sum(bytes_).alias("bytes")).first()
         if size["rows"] > max_rows or (size["bytes"] or 0) > max_bytes:
-            return df, None
+            return written_once(df, "large-side"), None
         rows = first.toArrow()
     finally:
         first.unpersist()

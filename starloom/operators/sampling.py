@@ -10,10 +10,11 @@ from starloom.fixed_values import REVIEW_ID, SENTIMENT
 from starloom.functions.columns import named, seeded_hash
 from starloom.operators.bounded import small_side
 
-# Hex digits of the hash by which rows are counted: 65,536 groups per class, and those again
-# inside the one group that holds a class's last row.
-COARSE_DIGITS = 4
-FINE_DIGITS = 8
+# Hex digits of the hash by which rows are counted: 4,096 groups per class, few enough for each
+# partition to combine its rows well. If the one that holds a class's last row is too large to be
+# ranked, its rows are counted again by four more digits.
+COARSE_DIGITS = 3
+FINE_DIGITS = 7
 # Rows of one class that are ranked in one task to place its cut.
 EDGE_ROWS = 1_000_000
 # Copies of one row that one task writes out again.

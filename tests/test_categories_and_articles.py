@@ -241,5 +241,8 @@ def test_lookup_gives_an_empty_text(spark):
 def test_small_side_respects_rows_and_bytes(spark):
     df = spark.range(10).withColumn("t", F.lit("x" * 100))
     assert bounded.small_side(df)[1].num_rows == 10
-    assert bounded.small_side(df, max_rows=9) == (df, None)
-    assert bounded.small_side(df, max_bytes=500) == (df, None)
+    for bound in ({"max_rows": 9}, {"max_bytes": 500}):
+        side, held = bounded.small_side(df, **bound)
+        assert held is None
+        assert sorted(rows(side)) == sorted(rows(df))
+        assert "FileScan parquet" in executed(side)

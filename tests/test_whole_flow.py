@@ -1,0 +1,82 @@
+"""From a CSV file to the dashboard, the way a user runs it; and joins with a hot key."""
+
+import pytest
+from pyspark.sql import functions as F
+
+import starloom
+from starloom.fixed_values import META_CATEGORIES
+from starloom.operators import bounded, categories
+
+
+def test_csv_to_dashboard(spark, review_csv, tmp_path):
+    reviews = starloom.assign_sentiment_labels(
+        starloom.clean_columns(starloom.load_reviews(spark, review_csv))
+    )
+    assert starloom.class_shares(reviews).first()["percent"] == 50.0
+
+    balanced = starloom.balance_classes(reviews)
+    starloom.save_csv(balanced, str(tmp_path / "balanced.csv"))
+    again = starloom.load_reviews(spark, str(tmp_path / "balanced.csv"))
+    assert again.count() == 6
+
+    scored = starloom.baseline_sentiment(again)
+    report = {r["label"]: r for r in starloom.classification_report(scored).collect()}
+    assert report["accuracy"]["support"] == 6
+
+    rules = [("Home & Kitchen", ["home"]), ("Electronics", ["electronics"]), ("Pet Supplies", ["pets"])]
+    mapping = starloom.classify_categories(starloom.distinct_categories(reviews), rules=rules)
+    mapped = starloom.join_mapping(reviews, mapping)
+    assert starloom.mapping_audit(mapped).where("off_list").isEmpty()
+    starloom.save_table(mapped, str(tmp_path / "mapped"), by_category=True)
+    table = starloom.load_table(spark, str(tmp_path / "mapped"), keep=True)
+
+    store = str(tmp_path / "summaries")
+    starloom.save_summaries(starloom.generate_category_blogs(table), store)
+    starloom.upsert_summaries(
+        spark.createDataFrame([("pet_supplies", "new")], "category_key string, summary string"), store
+    )
+    pages = {c: starloom.dashboard(table, c, starloom.load_summaries(spark, store)) for c in META_CATEGORIES}
+    pets = pages["Pet Supplies"]
+    assert pets["summary"].first()["summary"] == "new"
+    assert pets["review_count"].first()[0] == 5
+    assert [r["Product"] for r in pets["top_products"].collect()] == ["Brush", "Leash", "Bowl"]
+    assert [r["Product"] for r in pets["worst_product"].collect()] == ["Bowl"]
+    article = pages["Electronics"]["summary"].first()["summary"]
+    assert "1. Radio" in article and "1. Plug (average 1.00 from 1 ratings)" in article
+    empty = pages["Office Supplies"]
+    assert empty["top_products"].isEmpty() and empty["summary"].first()["summary"] == ""
+    table.unpersist()
+
+
+def test_hot_key_of_a_shuffle_join_is_split(spark, tmp_path, monkeypatch):
+    """A mapping too large to broadcast, and one category on a third of the reviews."""
+    hot = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string"))
+    spark.range(0, 300_000, 1, 8).select(F.col("id").alias("review_id"), hot.alias("categories")).write.parquet(
+        str(tmp_path / "reviews")
+    )
+    reviews = spark.read.parquet(str(tmp_path / "reviews"))
+    mapping = reviews.select("categories").distinct().withColumn("meta_category", F.lit("m"))
+    monkeypatch.setattr(categories, "small_side", lambda df: bounded.small_side(df, max_rows=1000))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        joined = categories.join_mapping(reviews, mapping)
+        rows = joined.collect()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    assert "skew=true" in plan
+    assert len(rows) == 300_000 and {r["meta_category"] for r in rows} == {"m"}
+
+
+@pytest.mark.parametrize("name", starloom.__all__)
+def test_public_names_are_there(name):
+    assert callable(getattr(starloom, name))
