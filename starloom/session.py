@@ -40,7 +40,9 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
         if not spark.conf.get("spark.master", "local").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="starloom-")
-    return f"{shared.rstrip('/')}/starloom/{purpose}-{uuid.uuid4().hex}"
+    # One folder per application, so that it can be removed when the application has ended.
+    application = spark.sparkContext.applicationId
+    return f"{shared.rstrip('/')}/starloom/{application}/{purpose}-{uuid.uuid4().hex}"
 
 
 def written_once(df: DataFrame, purpose: str) -> DataFrame:

@@ -6,7 +6,7 @@ import csv
 from collections import Counter
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from starloom.fixed_values import META, NULL_TOKENS, RATING, REVIEW_ID
 from starloom.functions.columns import named
@@ -14,22 +14,22 @@ from starloom.operators.cleaning import refuse_collisions
 
 # Quotes inside a field are doubled, and a field may run over several lines.
 CSV_DIALECT = {"quote": '"', "escape": '"', "encoding": "UTF-8"}
-# Types of the columns that hold numbers; every other column is text.
-NUMERIC_COLUMNS = {"id": "bigint", RATING: "double"}
+# Columns that are read as numbers; every other column is text.
+NUMERIC_COLUMNS = {RATING: "double"}
 
 
 def load_reviews(
     spark: SparkSession,
     path: str,
-    numeric: dict[str, str] | None = None,
+    numeric: dict[str, str] | str | None = None,
     multi_line: bool = True,
     with_id: bool = True,
 ) -> DataFrame:
     """A review CSV with its header as it stands.
 
-    Columns are found by name, whatever their order, and missing-value tokens become null. A number
-    column whose text is no number is null there too; an ``id`` that is text throughout can be
-    kept with ``numeric={}``.
+    Columns are found by name, whatever their order, and missing-value tokens become null.
+    ``numeric`` gives the types of number columns by lower-case name; text in them that is no number
+    becomes null. ``"infer"`` reads the file once more to find the columns that hold only numbers.
 
     A file with line breaks inside fields has to be read by one task, so convert a large set of
     files to Parquet once (``save_table``) and query that. ``with_id`` adds ``review_id``, the place
@@ -46,10 +46,13 @@ def load_reviews(
         .option("enforceSchema", False)
         .csv(path)
     )
-    types = NUMERIC_COLUMNS if numeric is None else numeric
+    present = {name: F.when(~named(name).isin(*NULL_TOKENS), named(name)) for name in header}
+    if numeric == "infer":
+        types = _number_types(raw, present)
+    else:
+        types = NUMERIC_COLUMNS if numeric is None else numeric
     cells = []
-    for name in header:
-        cell = F.when(~named(name).isin(*NULL_TOKENS), named(name))
+    for name, cell in present.items():
         wanted = types.get(name.lower())
         cells.append((cell.try_cast(wanted) if wanted else cell).alias(name))
     if with_id and REVIEW_ID not in header:
@@ -57,6 +60,22 @@ def load_reviews(
     return raw.select(*cells)
 
 
+def _number_types(raw: DataFrame, present: dict[str, Column]) -> dict[str, str]:
+    """Whole-number and number columns by lower-case name, from one pass over the text."""
+    counts = []
+    for i, cell in enumerate(present.values()):
+        counts.append(F.count(cell).alias(f"text_{i}"))
+        counts.append(F.count(cell.try_cast("bigint")).alias(f"bigint_{i}"))
+        counts.append(F.count(cell.try_cast("double")).alias(f"double_{i}"))
+    found = raw.agg(*counts).first()
+    types = {}
+    for i, name in enumerate(present):
+        for kind in ("bigint", "double"):
+            if name.lower() not in types and 0 < found[f"text_{i}"] == found[f"{kind}_{i}"]:
+                types[name.lower()] = kind
+    return types
+
+
 def _header(spark: SparkSession, path: str) -> list[str]:
     """Names of the first line; a repeated name gets a number, one that differs in case is refused."""
     first = spark.read.text(path).limit(1).collect()

@@ -22,6 +22,14 @@ TABLES = (
     " labels conversations"
 ).split()
 
+DUCK_TYPES = {
+    "string": "VARCHAR",
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "boolean": "BOOLEAN",
+}
+
 
 def duck(folder: str) -> duckdb.DuckDBPyConnection:
     connection = duckdb.connect()
@@ -41,10 +49,15 @@ def differences(spark, connection, folder: str, name: str) -> list[str]:
         return [] if rows else ["no rows"]
     cursor = connection.execute(sql)
     columns = [column[0] for column in cursor.description]
+    fetched = cursor.fetchall()
     if sorted(columns) != sorted(found.columns):
         return [f"columns {sorted(found.columns)} and {sorted(columns)}"]
+    kinds = {row[0]: row[1] for row in connection.execute(f"DESCRIBE {sql}").fetchall()}
+    for name_, kind in found.dtypes:
+        if kinds[name_] != DUCK_TYPES[kind]:
+            return [f"{name_} is {kind} and {kinds[name_]}"]
     place = [columns.index(c) for c in found.columns]
-    expected = Counter(tuple(row[i] for i in place) for row in cursor.fetchall())
+    expected = Counter(tuple(row[i] for i in place) for row in fetched)
     problems = []
     if not expected:
         problems.append("empty oracle")

@@ -8,7 +8,7 @@ from starloom.sources import reviews as files
 
 @pytest.fixture(scope="module")
 def raw(spark, review_csv):
-    return files.load_reviews(spark, review_csv).cache()
+    return files.load_reviews(spark, review_csv, {"id": "bigint", "reviews.rating": "double"}).cache()
 
 
 @pytest.fixture(scope="module")
@@ -41,6 +41,14 @@ def test_number_columns_are_found_by_name(raw):
     assert dict(raw.dtypes)["id"] == "bigint"
 
 
+def test_ids_that_are_text_stay_text(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,reviews.rating,n,x\nAVq1,5,1,1.5\nAVq2,4.5,,2\n")
+    rows = files.load_reviews(spark, str(tmp_path / "a.csv"), with_id=False).collect()
+    assert [tuple(r) for r in rows] == [("AVq1", 5.0, "1", "1.5"), ("AVq2", 4.5, None, "2")]
+    inferred = files.load_reviews(spark, str(tmp_path / "a.csv"), "infer", with_id=False)
+    assert [kind for _, kind in inferred.dtypes] == ["string", "double", "bigint", "double"]
+
+
 def test_columns_are_matched_by_name_not_place(spark, tmp_path):
     (tmp_path / "a.csv").write_text("reviews.rating,name\n4,x\nbad,y\nNA,None\n")
     rows = files.load_reviews(spark, str(tmp_path / "a.csv")).collect()
@@ -58,15 +66,15 @@ def test_repeated_header_is_numbered_and_case_clash_is_refused(spark, tmp_path):
 
 def test_ids_follow_the_input_order(spark, review_csv):
     rows = files.load_reviews(spark, review_csv).orderBy("review_id")
-    assert column(rows, "id") == list(range(1, 13))
+    assert column(rows, "id") == [str(i) for i in range(1, 13)]
 
 
 def test_csv_folder_reads_back_unchanged(spark, tmp_path):
     texts = [' padded "x" ', "a,b\nc", "\ttab", "back\\slash", "'", "é", "line\r\nend", None]
-    df = spark.createDataFrame(list(enumerate(texts)), "id bigint, `reviews.text` string")
+    df = spark.createDataFrame(list(enumerate(texts)), "n bigint, `reviews.text` string")
     path = str(tmp_path / "out")
     files.save_csv(df, path)
-    back = files.load_reviews(spark, path, with_id=False)
+    back = files.load_reviews(spark, path, {"n": "bigint"}, with_id=False)
     assert sorted(back.collect()) == sorted(df.collect())
 
 
