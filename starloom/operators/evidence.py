@@ -18,21 +18,28 @@ def reviews_of_products(reviews: DataFrame, products: DataFrame) -> DataFrame:
 
     A short product list is broadcast, so that the reviews are filtered where they are read.
     """
-    listed, _ = small_side(products)
+    return _named_in(reviews, small_side(products)[0])
+
+
+def _named_in(reviews: DataFrame, listed: DataFrame) -> DataFrame:
     return reviews.join(listed.select(NAME), NAME, "left_semi")
 
 
 def first_reviews(
     reviews: DataFrame, products: DataFrame, k: int, id_col: str = REVIEW_ID
 ) -> DataFrame:
-    """The first ``k`` reviews of each product by id, numbered in ``pos``.
+    """The first ``k`` reviews of each listed product by id, numbered in ``pos``."""
+    return _first_reviews(reviews, small_side(products)[0], k, id_col)
+
+
+def _first_reviews(reviews: DataFrame, listed: DataFrame, k: int, id_col: str) -> DataFrame:
+    """Ids alone are ranked first; the texts of the chosen ids are fetched in a second pass.
 
-    Ids alone are ranked first; the texts of the chosen ids are fetched in a second pass, so the long
-    column is neither sorted nor shuffled for reviews that are not used.
+    The long column is so neither sorted nor shuffled for reviews that are not used.
     """
-    of_products = reviews_of_products(reviews, products)
     by_id = [named(id_col).asc()]
-    ids = first_k(of_products.select(NAME, named(id_col)), [NAME], by_id, k, "pos")
+    of_products = _named_in(reviews.select(NAME, named(id_col)), listed)
+    ids = first_k(of_products, [NAME], by_id, k, "pos")
     wanted, _ = small_side(
         ids.select(named(NAME).alias("_name"), named(id_col).alias("_id")).distinct()
     )
@@ -58,7 +65,6 @@ def article_evidence(
     """
     rated = reviews if category is None else in_category(reviews, category)
     picks, _ = small_side(picked_products(product_stats(rated, rating_col=rating_col), n_top))
-    products = picks.select(NAME).distinct()
     texts = reviews.select(
         NAME,
         named(id_col).alias(REVIEW_ID),
@@ -68,7 +74,7 @@ def article_evidence(
     if max_reviews_per_product is None:
         used = texts.withColumn("pos", F.lit(None).cast("int"))
     else:
-        used = first_reviews(texts, products, max_reviews_per_product)
+        used = _first_reviews(texts, picks, max_reviews_per_product, REVIEW_ID)
     return used.join(picks, NAME).select(
         *PICK_KEY, AVG, COUNT, "pos", REVIEW_ID, "rating", "text"
     )

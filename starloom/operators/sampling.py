@@ -34,8 +34,8 @@ def balance_classes(
     The rows with the smallest seeded hash of their id are taken, so the sample is the same however
     the table is partitioned. No class is sorted for that: counts per hash prefix tell in which
     prefix the n-th row lies, and only the rows there are ranked. Those passes read label and id
-    alone. The sample itself is a filter on the cut of the class, so whole rows are not shuffled.
-    Rows without a label belong to no class.
+    alone and run when this is called. The sample itself is a filter on the cut of the class, so
+    whole rows are not shuffled. Rows without a label belong to no class.
     """
     if n_per_class is not None and n_per_class < 0:
         raise ValueError("n_per_class must not be negative")

@@ -18,11 +18,30 @@ SETTINGS = {
 }
 
 
-def build_session(app: str = "starloom", master: str | None = None, **extra: str) -> SparkSession:
-    """A session with the settings above; ``extra`` keys use ``__`` for the dots."""
+SHUFFLE_BYTES = 128 * 1024 * 1024
+
+
+def shuffle_partitions(data_bytes: int) -> int:
+    """Partitions for a shuffle of that many bytes, each small enough for an executor's memory."""
+    return min(max(200, data_bytes // SHUFFLE_BYTES), 200_000)
+
+
+def build_session(
+    app: str = "starloom",
+    master: str | None = None,
+    data_bytes: int | None = None,
+    **extra: str,
+) -> SparkSession:
+    """A session with the settings above; ``extra`` keys use ``__`` for the dots.
+
+    ``data_bytes`` is what the largest shuffle has to move and sizes the shuffle partitions.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+    if data_bytes is not None:
+        partitions = str(shuffle_partitions(data_bytes))
+        builder = builder.config("spark.sql.shuffle.partitions", partitions)
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
     for key, value in extra.items():

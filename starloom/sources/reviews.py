@@ -104,12 +104,20 @@ def save_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
 
 
 def save_table(
-    df: DataFrame, path: str, mode: str = "errorifexists", by_category: bool = False
+    df: DataFrame,
+    path: str,
+    mode: str = "errorifexists",
+    by_category: bool = False,
+    rebalance: bool = False,
 ) -> None:
     """Parquet; ``by_category`` gives every meta-category a folder that its filter alone reads.
 
-    Each task writes its own rows, so the largest category is not drawn into one task or file.
+    Each task writes its own rows, so nothing is shuffled and the largest category is not drawn into
+    one task, at the price of a file per task and category. ``rebalance`` spends a shuffle on files of
+    even size: adaptive execution then merges small partitions and splits those of a large category.
     """
+    if rebalance:
+        df = df.hint("rebalance", META) if by_category else df.hint("rebalance")
     writer = df.write.mode(mode)
     if by_category:
         writer = writer.partitionBy(META)

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from starloom.fixed_values import UNUSED_COLUMNS
 from starloom.operators import cleaning, labels, sampling
+from starloom.session import shuffle_partitions
 from starloom.sources import reviews as files
 
 
@@ -86,6 +87,20 @@ def test_category_filter_prunes_the_folders_of_a_table(spark, tmp_path, ranked_r
     assert "PartitionFilters: [isnotnull(meta_category" in plan(kept)
 
 
+def test_rebalanced_table_has_the_same_rows(spark, tmp_path, ranked_reviews):
+    path = str(tmp_path / "t")
+    files.save_table(ranked_reviews.repartition(6), path, by_category=True, rebalance=True)
+    stored = files.load_table(spark, path)
+    columns = [f"`{name}`" for name in ranked_reviews.columns]
+    assert sorted(stored.select(*columns).collect()) == sorted(ranked_reviews.collect())
+    assert len(stored.inputFiles()) == 2
+
+
+def test_shuffle_partitions():
+    assert shuffle_partitions(0) == 200
+    assert shuffle_partitions(10 * 1024**4) == 81920
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
