@@ -8,11 +8,13 @@ import numpy as np
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector, predict_batch_udf
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, types as T
 from pyspark.storagelevel import StorageLevel
 
 from starloom.functions.columns import named
 
+FEATURES = "_features"
+
 
 def embed_names(
     name: str | Column, load_model: Callable[[], Callable[[np.ndarray], np.ndarray]],
@@ -29,13 +31,15 @@ def cluster_sweep(
     vectors: DataFrame, ks: Sequence[int], embedding_col: str = "embedding", seed: int = 42
 ) -> tuple[dict[int, KMeansModel], DataFrame]:
     """A model per ``k``, and a table with cost and silhouette of each."""
-    rows = vectors.select(array_to_vector(named(embedding_col)).alias("features"))
+    rows = vectors.select(array_to_vector(named(embedding_col)).alias(FEATURES))
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     models, scores = {}, []
     try:
         for k in ks:
-            model = KMeans(k=k, seed=seed).fit(rows)
-            silhouette = ClusteringEvaluator().evaluate(model.transform(rows))
+            means = KMeans(k=k, seed=seed, featuresCol=FEATURES, predictionCol="cluster")
+            model = means.fit(rows)
+            score = ClusteringEvaluator(featuresCol=FEATURES, predictionCol="cluster")
+            silhouette = score.evaluate(model.transform(rows))
             models[k] = model
             scores.append((k, float(model.summary.trainingCost), float(silhouette)))
     finally:
@@ -48,5 +52,5 @@ def assign_clusters(
     model: KMeansModel, vectors: DataFrame, embedding_col: str = "embedding"
 ) -> DataFrame:
     """Add the index of the nearest centre as ``cluster``."""
-    ready = vectors.withColumn("features", array_to_vector(named(embedding_col)))
-    return model.transform(ready).drop("features").withColumnRenamed("prediction", "cluster")
+    ready = vectors.withColumn(FEATURES, array_to_vector(named(embedding_col)))
+    return model.transform(ready).drop(FEATURES)

@@ -15,16 +15,19 @@ from starloom.functions.columns import look_up, named
 from starloom.operators.metrics import classification_report
 from starloom.operators.sampling import train_test_split
 
-FEATURES = "features"
+# Working columns of the model, which do not clash with those of a review table.
+INPUT = "_text"
+FEATURES = "_features"
+PLACE = "_place"
 
 
 def text_features(num_features: int = 1 << 18) -> list:
-    """Stages from a ``text`` column to weighted term counts."""
+    """Stages from the input text to weighted term counts."""
     tokens = RegexTokenizer(
-        inputCol="text", outputCol="words", pattern=r"[^\p{L}\p{N}]+", toLowercase=True
+        inputCol=INPUT, outputCol="_words", pattern=r"[^\p{L}\p{N}]+", toLowercase=True
     )
-    counts = HashingTF(inputCol="words", outputCol="counts", numFeatures=num_features)
-    return [tokens, counts, IDF(inputCol="counts", outputCol=FEATURES)]
+    counts = HashingTF(inputCol="_words", outputCol="_counts", numFeatures=num_features)
+    return [tokens, counts, IDF(inputCol="_counts", outputCol=FEATURES)]
 
 
 def train_sentiment(
@@ -47,7 +50,7 @@ def train_sentiment(
     code = {name: i for i, name in enumerate(classes)}
     table = balanced.select(
         named(id_col).alias(REVIEW_ID),
-        F.coalesce(named(text_col), F.lit("")).alias("text"),
+        F.coalesce(named(text_col), F.lit("")).alias(INPUT),
         named(label_col).alias(label_col),
         look_up(label_col, code).cast("double").alias(ACTUAL),
     ).where(F.col(ACTUAL).isNotNull())
@@ -58,7 +61,13 @@ def train_sentiment(
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         regression = LogisticRegression(
-            featuresCol=FEATURES, labelCol=ACTUAL, family="multinomial", maxIter=max_iter,
+            featuresCol=FEATURES,
+            labelCol=ACTUAL,
+            predictionCol=PLACE,
+            rawPredictionCol="_scores",
+            probabilityCol="_probability",
+            family="multinomial",
+            maxIter=max_iter,
             regParam=0.01,
         ).fit(rows)
     finally:
@@ -66,7 +75,7 @@ def train_sentiment(
     model = PipelineModel(stages=[*features.stages, regression])
     if output_dir is not None:
         save_model(model, output_dir)
-    scored = predict_sentiment(model, test, "text", classes)
+    scored = predict_sentiment(model, test, INPUT, classes)
     return model, classification_report(scored, label_col, PREDICTED)
 
 
@@ -77,11 +86,11 @@ def predict_sentiment(
     classes: Sequence[str] = SENTIMENTS,
 ) -> DataFrame:
     """Add ``predicted_sentiment``: the class with the highest score, in the same row."""
-    extra = ["words", "counts", FEATURES, "rawPrediction", "probability", "prediction"]
-    scored = model.transform(df.withColumn("text", F.coalesce(named(text_col), F.lit(""))))
+    scored = model.transform(df.withColumn(INPUT, F.coalesce(named(text_col), F.lit(""))))
     names = dict(enumerate(classes))
-    scored = scored.withColumn(PREDICTED, look_up(F.col("prediction").cast("int"), names))
-    return scored.select(*[named(c) for c in df.columns if c not in extra], PREDICTED)
+    predicted = look_up(F.col(PLACE).cast("int"), names).alias(PREDICTED)
+    kept = [named(c) for c in df.columns if c != PREDICTED]
+    return scored.select(*kept, predicted)
 
 
 def save_model(model: PipelineModel, path: str) -> None:

@@ -115,7 +115,8 @@ def reviews(spark):
     data = [(i, "Toys", "Hot", 5.0, f"hot {i}") for i in range(100)]
     data += [(200 + i, "Toys", "Both", 1.0, f"both {i}") for i in range(3)]
     data += [(300, "Games", "Both", 4.0, "from games"), (301, "Games", "Solo", 2.0, None)]
-    data += [(400, "Toys", "Few", 2.0, "meh"), (401, "Toys", "Two", 4.0, "a"), (402, "Toys", "Two", 4.0, "b")]
+    data += [(400, "Toys", "Few", 2.0, "meh")]
+    data += [(401, "Toys", "Two", 4.0, "a"), (402, "Toys", "Two", 4.0, "b")]
     return spark.createDataFrame(
         data,
         "review_id long, meta_category string, name string, `reviews.rating` double,"

@@ -73,7 +73,7 @@ def test_training_saving_and_predicting(training, tmp_path):
     assert {"negative", "neutral", "positive", "macro avg", "weighted avg"} <= set(scores)
     assert 60 < scores["accuracy"]["support"] < 120
     loaded = text_model.load_model(path)
-    fresh = training.limit(30)
+    fresh = training.limit(30).withColumns({"text": F.lit(None), "prediction": F.lit("own")})
     predicted = text_model.predict_sentiment(loaded, fresh)
     assert predicted.columns == [*fresh.columns, "predicted_sentiment"]
     same = text_model.predict_sentiment(model, fresh)

@@ -1,7 +1,11 @@
+import glob
+import random
+
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from starloom.fixed_values import UNUSED_COLUMNS
+from starloom.fixed_values import NULL_TOKENS, UNUSED_COLUMNS
 from starloom.operators import cleaning, labels, sampling
 from starloom.session import shuffle_partitions
 from starloom.sources import reviews as files
@@ -79,6 +83,21 @@ def test_csv_folder_reads_back_unchanged(spark, tmp_path):
     assert sorted(back.collect()) == sorted(df.collect())
 
 
+def test_random_texts_survive_the_round_trip(spark, tmp_path):
+    """pandas reads the files to the same values."""
+    random_ = random.Random(1)
+    letters = '",\n\r\\ \'aé\t#;| x0'
+    texts = ["".join(random_.choices(letters, k=random_.randint(0, 8))) for _ in range(2000)]
+    texts += NULL_TOKENS
+    path = str(tmp_path / "out")
+    files.save_csv(spark.createDataFrame(list(enumerate(texts)), "n bigint, t string"), path)
+    expected = {i: None if t in NULL_TOKENS else t for i, t in enumerate(texts)}
+    back = files.load_reviews(spark, path, {"n": "bigint"}, with_id=False)
+    assert dict(map(tuple, back.collect())) == expected
+    parts = pd.concat(map(pd.read_csv, glob.glob(f"{path}/*.csv")))
+    assert {n: None if pd.isna(t) else t for n, t in zip(parts.n, parts.t)} == expected
+
+
 def test_category_filter_prunes_the_folders_of_a_table(spark, tmp_path, ranked_reviews):
     path = str(tmp_path / "t")
     files.save_table(ranked_reviews, path, by_category=True)
