@@ -399,6 +399,15 @@ def argmax_scores(spark: SparkSession, sf: str) -> DataFrame:
     return vectors.select("vec_id", fn.argmax("embedding").alias("best"))
 
 
+def text_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    tokens = text_model.tokenize(views.text_reviews(spark, sf))
+    return tokens.select(
+        "review_id",
+        F.size("tokens").alias("n_tokens"),
+        F.md5(F.array_join("tokens", " ")).alias("tokens_md5"),
+    )
+
+
 def _trained(spark: SparkSession, sf: str, path: str | None = None):
     balanced = sampling.balance_classes(views.labelled_texts(spark, sf), "label")
     return text_model.train_sentiment(
@@ -504,6 +513,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         truncate_tokens,
         baseline_sentiment_wordlist,
         argmax_scores,
+        text_tokens,
         train_report,
         reloaded_model_predictions,
         kmeans_sweep,
@@ -844,6 +854,13 @@ def oracle_sql() -> dict[str, str]:
         "argmax_scores": """
             SELECT vec_id, CAST(list_position(embedding, list_max(embedding)) - 1 AS INTEGER) AS best
             FROM embeddings""",
+        "text_tokens": """WITH split AS (
+              SELECT doc_id, list_filter(string_split_regex(lower(text), '[^\\p{L}\\p{N}]+'),
+                                         lambda w: w <> '') AS tokens
+              FROM documents)
+            SELECT doc_id AS review_id, CAST(len(tokens) AS INTEGER) AS n_tokens,
+                   md5(array_to_string(tokens, ' ')) AS tokens_md5
+            FROM split""",
         "csv_roundtrip": f"""
             WITH kept AS (SELECT * REPLACE (CASE WHEN text NOT IN ({tokens}) THEN text END AS text)
                           FROM documents)

@@ -6,9 +6,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.storagelevel import StorageLevel
 
+from starloom.functions.columns import named
 from starloom.session import written_once
 
 MAX_ROWS = 50_000
+MAX_LISTED = 1_000
 MAX_BYTES = 32 * 1024 * 1024
 
 
@@ -36,3 +38,14 @@ def small_side(
     finally:
         first.unpersist()
     return F.broadcast(df.sparkSession.createDataFrame(rows, schema=df.schema)), rows
+
+
+def only_listed(df: DataFrame, column: str, side: DataFrame, rows: pa.Table | None) -> DataFrame:
+    """Rows of ``df`` whose value is in the same column of a side from ``small_side``.
+
+    A short list becomes a filter on its values, which reaches the scan and lets it skip files and
+    row groups; a longer one is a semi join.
+    """
+    if rows is not None and rows.num_rows <= MAX_LISTED:
+        return df.where(named(column).isin(*set(rows[column].to_pylist())))
+    return df.join(side.select(named(column)), column, "left_semi")

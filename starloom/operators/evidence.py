@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from starloom.fixed_values import META, NAME, RATING, REVIEW_ID, TEXT
 from starloom.functions.columns import named
-from starloom.operators.bounded import small_side
+from starloom.operators.bounded import only_listed, small_side
 from starloom.operators.products import AVG, COUNT, in_category, picked_products, product_stats
 from starloom.operators.ranking import first_k
 
@@ -14,35 +15,37 @@ PICK_KEY = [META, "role", "rank", NAME]
 
 
 def reviews_of_products(reviews: DataFrame, products: DataFrame) -> DataFrame:
-    """All reviews of the named products, of whatever category.
-
-    A short product list is broadcast, so that the reviews are filtered where they are read.
-    """
-    return _named_in(reviews, small_side(products)[0])
-
-
-def _named_in(reviews: DataFrame, listed: DataFrame) -> DataFrame:
-    return reviews.join(listed.select(NAME), NAME, "left_semi")
+    """All reviews of the named products, of whatever category, filtered where they are read."""
+    return only_listed(reviews, NAME, *small_side(products))
 
 
 def first_reviews(
     reviews: DataFrame, products: DataFrame, k: int, id_col: str = REVIEW_ID
 ) -> DataFrame:
     """The first ``k`` reviews of each listed product by id, numbered in ``pos``."""
-    return _first_reviews(reviews, small_side(products)[0], k, id_col)
+    return _first_reviews(reviews, *small_side(products), k, id_col)
 
 
-def _first_reviews(reviews: DataFrame, listed: DataFrame, k: int, id_col: str) -> DataFrame:
+def _first_reviews(
+    reviews: DataFrame, listed: DataFrame, rows: pa.Table | None, k: int, id_col: str
+) -> DataFrame:
     """Ids alone are ranked first; the texts of the chosen ids are fetched in a second pass.
 
-    The long column is so neither sorted nor shuffled for reviews that are not used.
+    The long column is so neither sorted nor shuffled for reviews that are not used. Where ids follow
+    the order of the files, most of it is not even read: no chosen id is above their maximum.
     """
     by_id = [named(id_col).asc()]
-    of_products = _named_in(reviews.select(NAME, named(id_col)), listed)
+    of_products = only_listed(reviews.select(NAME, named(id_col)), NAME, listed, rows)
     ids = first_k(of_products, [NAME], by_id, k, "pos")
-    wanted, _ = small_side(
+    wanted, chosen = small_side(
         ids.select(named(NAME).alias("_name"), named(id_col).alias("_id")).distinct()
     )
+    if chosen is not None:
+        present = [key for key in chosen["_id"].to_pylist() if key is not None]
+        in_reach = named(id_col).isNull()
+        if present:
+            in_reach = in_reach | (named(id_col) <= F.lit(max(present)))
+        reviews = only_listed(reviews, NAME, listed, rows).where(in_reach)
     # An id that more than one review carries can bring in too many rows: number them again.
     same = (named(NAME) == F.col("_name")) & named(id_col).eqNullSafe(F.col("_id"))
     return first_k(reviews.join(wanted, same, "left_semi"), [NAME], by_id, k, "pos")
@@ -64,7 +67,7 @@ def article_evidence(
     rows then carry no position, as their order is that of the id.
     """
     rated = reviews if category is None else in_category(reviews, category)
-    picks, _ = small_side(picked_products(product_stats(rated, rating_col=rating_col), n_top))
+    picks, rows = small_side(picked_products(product_stats(rated, rating_col=rating_col), n_top))
     texts = reviews.select(
         NAME,
         named(id_col).alias(REVIEW_ID),
@@ -72,9 +75,9 @@ def article_evidence(
         named(text_col).alias("text"),
     )
     if max_reviews_per_product is None:
-        used = texts.withColumn("pos", F.lit(None).cast("int"))
+        used = only_listed(texts, NAME, picks, rows).withColumn("pos", F.lit(None).cast("int"))
     else:
-        used = _first_reviews(texts, picks, max_reviews_per_product, REVIEW_ID)
+        used = _first_reviews(texts, picks, rows, max_reviews_per_product, REVIEW_ID)
     return used.join(picks, NAME).select(
         *PICK_KEY, AVG, COUNT, "pos", REVIEW_ID, "rating", "text"
     )

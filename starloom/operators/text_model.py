@@ -30,6 +30,13 @@ def text_features(num_features: int = 1 << 18) -> list:
     return [tokens, counts, IDF(inputCol="_counts", outputCol=FEATURES)]
 
 
+def tokenize(df: DataFrame, text_col: str = TEXT) -> DataFrame:
+    """Add the ``tokens`` that the model counts: lower-case runs of letters and digits."""
+    tokenizer = text_features()[0].setOutputCol("tokens")
+    ready = df.withColumn(INPUT, F.coalesce(named(text_col), F.lit("")))
+    return tokenizer.transform(ready).drop(INPUT)
+
+
 def train_sentiment(
     balanced: DataFrame,
     output_dir: str | None = None,

@@ -147,6 +147,31 @@ def test_evidence_cap_and_order(reviews):
     assert "Window" not in executed(whole)
 
 
+def test_texts_are_read_only_where_chosen_ids_can_be(spark, tmp_path):
+    """Ids follow the file order here, so the scan can skip all later row groups."""
+    rows = spark.range(0, 4000, 1, 4).select(
+        F.col("id").alias("review_id"),
+        F.lit("c").alias("meta_category"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("p"), F.col("id") % 50)).alias("name"),
+        (F.col("id") % 5 + 1).cast("double").alias("reviews.rating"),
+        F.concat(F.lit("text "), F.col("id")).alias("reviews.text"),
+    )
+    rows.write.parquet(str(tmp_path / "t"))
+    found = evidence.article_evidence(spark.read.parquet(str(tmp_path / "t")), 1, 30)
+    top = found.where("role = 'top'").orderBy("pos").collect()
+    assert [r["review_id"] for r in top] == list(range(0, 90, 3))
+    plan = executed(found)
+    assert "LessThanOrEqual(review_id," in plan and "In(name, [" in plan
+
+
+def test_evidence_of_many_products_uses_joins(reviews, monkeypatch):
+    expected = sorted(map(str, rows(evidence.article_evidence(reviews, 2, 30))))
+    monkeypatch.setattr(bounded, "MAX_LISTED", 0)
+    assert sorted(map(str, rows(evidence.article_evidence(reviews, 2, 30)))) == expected
+    monkeypatch.setattr(evidence, "small_side", lambda df: bounded.small_side(df, max_rows=1))
+    assert sorted(map(str, rows(evidence.article_evidence(reviews, 2, 30)))) == expected
+
+
 def test_evidence_with_copies_of_one_id(spark):
     data = [(7, "c", "p", 3.0, "same")] * 50 + [(i, "c", "p", 3.0, "t") for i in range(5)]
     df = spark.createDataFrame(
