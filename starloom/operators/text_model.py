@@ -1,4 +1,4 @@
-"""A trained sentiment model: tokens, term weights and multinomial regression, all in Spark ML."""
+"""A trained sentiment model: tokens, term weights and logistic regression, all in Spark ML."""
 
 from __future__ import annotations
 
@@ -73,7 +73,6 @@ def train_sentiment(
             predictionCol=PLACE,
             rawPredictionCol="_scores",
             probabilityCol="_probability",
-            family="multinomial",
             maxIter=max_iter,
             regParam=0.01,
         ).fit(rows)

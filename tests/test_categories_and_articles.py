@@ -164,6 +164,13 @@ def test_texts_are_read_only_where_chosen_ids_can_be(spark, tmp_path):
     assert "LessThanOrEqual(review_id," in plan and "In(name, [" in plan
 
 
+def test_no_reviews_give_no_evidence(reviews):
+    nothing = reviews.where("name = 'absent'")
+    assert evidence.article_evidence(nothing).isEmpty()
+    assert evidence.article_evidence(nothing, max_reviews_per_product=None).isEmpty()
+    assert articles.generate_category_blogs(reviews, "Absent").isEmpty()
+
+
 def test_evidence_of_many_products_uses_joins(reviews, monkeypatch):
     expected = sorted(map(str, rows(evidence.article_evidence(reviews, 2, 30))))
     monkeypatch.setattr(bounded, "MAX_LISTED", 0)

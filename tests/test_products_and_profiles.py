@@ -1,4 +1,5 @@
 import pytest
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
 from starloom.functions import columns as fn
@@ -184,6 +185,25 @@ def test_classification_report_by_hand(spark):
     assert matrix == {"negative": (3, 0, 1), "neutral": (2, 0, 0), "positive": (0, 0, 4)}
 
 
+def test_report_agrees_with_spark_ml(spark):
+    names = ["negative", "neutral", "positive"]
+    codes = [(i * 7 % 3, (i * i) % 3 if i % 4 else i * 7 % 3) for i in range(200)]
+    df, found = report(spark, [(names[a], names[p]) for a, p in codes])
+    doubles = [(float(a), float(p)) for a, p in codes]
+    coded = spark.createDataFrame(doubles, "label double, prediction double")
+
+    def metric(name, label=0.0):
+        judge = MulticlassClassificationEvaluator(metricName=name, metricLabel=label)
+        return pytest.approx(judge.evaluate(coded))
+
+    assert found["accuracy"][2] == metric("accuracy")
+    assert found["weighted avg"][2] == metric("f1")
+    for code, name in enumerate(names):
+        assert found[name][0] == metric("precisionByLabel", float(code))
+        assert found[name][1] == metric("recallByLabel", float(code))
+        assert found[name][2] == metric("fMeasureByLabel", float(code))
+
+
 def test_report_has_classes_that_are_only_predicted(spark):
     df, found = report(spark, [("negative", "neutral")])
     assert found["neutral"] == (0.0, 0.0, 0.0, 0)
