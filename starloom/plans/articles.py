@@ -117,13 +117,17 @@ def article_from_template() -> Column:
 
 
 def write_articles(
-    inputs: DataFrame, load_model: Callable[[], Write] | None = None, calls: int | None = None
+    inputs: DataFrame,
+    load_model: Callable[[], Write] | None = None,
+    calls: int | None = None,
+    prompt: Column | None = None,
 ) -> DataFrame:
     """``category_key, summary``, ready for the summary store.
 
     ``load_model`` runs once per task and returns a function from prompt to article. The categories are
     spread over ``calls`` tasks, so that slow generation runs side by side, and the articles are
-    written to the shared scratch folder, so that each is generated once.
+    written to the shared scratch folder, so that each is generated once. ``prompt`` replaces the
+    request by an expression of your own over the columns of ``article_inputs``.
     """
     if load_model is None:
         return inputs.select("category_key", article_from_template().alias("summary"))
@@ -136,7 +140,8 @@ def write_articles(
             yield pd.DataFrame({"category_key": batch["category_key"], "summary": texts})
 
     calls = calls or inputs.sparkSession.sparkContext.defaultParallelism
-    asked = inputs.select("category_key", article_prompt().alias("prompt")).repartition(calls)
+    prompt = article_prompt() if prompt is None else prompt
+    asked = inputs.select("category_key", prompt.alias("prompt")).repartition(calls)
     written = asked.mapInPandas(write, "category_key string, summary string")
     return written_once(written, "articles")
 

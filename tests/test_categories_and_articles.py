@@ -234,6 +234,9 @@ def test_writing_hook_gets_the_prompt(reviews):
     made = dict(rows(articles.generate_category_blogs(reviews, load_model=load, n_top=2)))
     assert "PRODUCT 1 - HOT:\n- HOT 0\n- HOT 1\n" in made["toys"]
     assert made["toys"].count("- HOT ") == 30
+    inputs = articles.article_inputs(evidence.article_evidence(reviews))
+    own = articles.write_articles(inputs, load, calls=2, prompt=F.concat(F.lit("on "), "meta_category"))
+    assert dict(rows(own)) == {"toys": "ON TOYS", "games": "ON GAMES"}
 
 
 def test_summary_store(spark, tmp_path):

@@ -69,6 +69,17 @@ def test_repeated_header_is_numbered_and_case_clash_is_refused(spark, tmp_path):
         files.load_reviews(spark, str(tmp_path / "b.csv"))
 
 
+def test_files_with_another_header_are_refused(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("name,reviews.rating\nx,1\n")
+    (tmp_path / "b.csv").write_text("reviews.rating,name\n1,x\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        files.load_reviews(spark, str(tmp_path)).collect()
+    (tmp_path / "empty").mkdir()
+    (tmp_path / "empty" / "c.csv").write_text("")
+    with pytest.raises(ValueError, match="no header"):
+        files.load_reviews(spark, str(tmp_path / "empty"))
+
+
 def test_ids_follow_the_input_order(spark, review_csv):
     rows = files.load_reviews(spark, review_csv).orderBy("review_id")
     assert column(rows, "id") == [str(i) for i in range(1, 13)]
