@@ -43,7 +43,8 @@ AUDIT_OPTIONS = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL"]
 # Words that occur in the invented languages of the documents.
 NEGATIVE_WORDS = ["the", "le", "der", "el", "un", "la"]
 POSITIVE_WORDS = ["and", "de", "und", "en", "that", "qui", "que", "des", "ich", "los", "avec"]
-VERSION_SPLIT = ["de", "en"]
+# Languages whose stored summary is replaced.
+REWRITTEN = ["de", "en"]
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -355,7 +356,7 @@ def summaries_upsert(spark: SparkSession, sf: str) -> DataFrame:
     written = _articles(spark, sf).persist()
     short = F.concat(F.lit("article of "), F.length("summary"), F.lit(" characters"))
     summaries.save_summaries(written.withColumn("summary", short), path)
-    changed = written.where(F.col("category_key").isin(*VERSION_SPLIT))
+    changed = written.where(F.col("category_key").isin(*REWRITTEN))
     summaries.upsert_summaries(changed, path)
     written.unpersist()
     return summaries.load_summaries(spark, path)

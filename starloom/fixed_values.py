@@ -27,6 +27,7 @@ NULL_TOKENS = [
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
+REPORT_NAMES = {"name": "Product", "avg_rating": "Avg Rating", "num_reviews": "# Reviews"}
 
 # Column names used by default throughout.
 REVIEW_ID = "review_id"
@@ -36,6 +37,8 @@ PRIMARY = "primarycategories"
 META = "meta_category"
 RATING = "reviews.rating"
 TEXT = "reviews.text"
+AVG = "avg_rating"
+COUNT = "num_reviews"
 SENTIMENT = "rating_sentiment"
 ACTUAL = "actual_sentiment"
 PREDICTED = "predicted_sentiment"

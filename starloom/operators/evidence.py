@@ -5,10 +5,10 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from starloom.fixed_values import META, NAME, RATING, REVIEW_ID, TEXT
+from starloom.fixed_values import AVG, COUNT, META, NAME, RATING, REVIEW_ID, TEXT
 from starloom.functions.columns import named
 from starloom.operators.bounded import only_listed, small_side
-from starloom.operators.products import AVG, COUNT, in_category, picked_products, product_stats
+from starloom.operators.products import in_category, picked_products, product_stats
 from starloom.operators.ranking import first_k
 
 PICK_KEY = [META, "role", "rank", NAME]

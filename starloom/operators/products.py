@@ -6,14 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from starloom.fixed_values import META, NAME, RATING
+from starloom.fixed_values import AVG, COUNT, META, NAME, RATING, REPORT_NAMES
 from starloom.functions.columns import named, short_name
 from starloom.operators.ranking import first_k
 
-AVG = "avg_rating"
-COUNT = "num_reviews"
-REPORT_NAMES = {NAME: "Product", AVG: "Avg Rating", COUNT: "# Reviews"}
-
 
 def most_reviewed_first() -> list[Column]:
     """Ties go by name, so that a result does not depend on how the rows are spread."""

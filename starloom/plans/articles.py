@@ -7,10 +7,9 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from starloom.fixed_values import META, NAME, RATING, REVIEW_ID, TEXT
+from starloom.fixed_values import AVG, COUNT, META, NAME, RATING, REVIEW_ID, TEXT
 from starloom.functions.columns import category_key, two_decimals
 from starloom.operators.evidence import article_evidence, review_blocks
-from starloom.operators.products import AVG, COUNT
 from starloom.session import written_once
 
 # Takes one prompt, gives the article.
