@@ -152,8 +152,9 @@ def test_texts_are_read_only_where_chosen_ids_can_be(spark, tmp_path):
     rows = spark.range(0, 4000, 1, 4).select(
         F.col("id").alias("review_id"),
         F.lit("c").alias("meta_category"),
-    asked = F.concat(F.lit("on "), "meta_category")
-    own = articles.write_articles(inputs, load, calls=2, prompt=asked)
+        F.when(F.col("id") % 3 == 0, "hot")
+        .otherwise(F.concat(F.lit("p"), F.col("id") % 50))
+        .alias("name"),
         (F.col("id") % 5 + 1).cast("double").alias("reviews.rating"),
         F.concat(F.lit("text "), F.col("id")).alias("reviews.text"),
     )
