@@ -27,6 +27,11 @@ from starloom.session import scratch_path
 from starloom.sources import summaries, views
 from starloom.sources import reviews as review_files
 
+try:
+    from starloom.llm import queries as llm
+except ImportError:
+    llm = None
+
 CATEGORY = "PROMO"
 # Meta-category rules for the review view: some brands first, then the type in the raw string. No
 # rule names LARGE, so some strings stay unmapped.
@@ -522,7 +527,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         csv_roundtrip,
         category_table,
     ]
-    return {query.__name__: query for query in found}
+    return {query.__name__: query for query in found} | (llm.queries() if llm else {})
 
 
 # Oracles ------------------------------------------------------------------------------------------
@@ -650,7 +655,7 @@ def oracle_sql() -> dict[str, str]:
     prompt_options = ", ".join(f"''{o}''" for o in VIEW_OPTIONS)
     tokens = ", ".join(f"'{t}'" for t in NULL_TOKENS)
     scores = "precision, recall, f1_score"
-    return {
+    return (llm.oracle_sql() if llm else {}) | {
         "top3_per_category": f"WITH {REVIEWS}, {STATS}, {RANKS} "
         + top_or_worst.format("top") + " WHERE top_rank <= 3",
         "worst_per_category": f"WITH {REVIEWS}, {STATS}, {RANKS} "
