@@ -4,13 +4,35 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starloom.llm import byte_contexts, factorisation, rule_forest
+from starloom.llm import byte_contexts, factorisation, packing, rule_forest, separator_scan
 from starloom.llm.words import fold, table
-from starloom.session import written_once
+from starloom.session import scratch_path, written_once
 
 QUALITY_THRESHOLD = 0.3
+END_OF_TEXT = 49407
+PIECE_END = 1
+
+
+def tokenizer() -> str:
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_separator_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Writes ``documents`` as flat token files, which then know nothing of documents, and scans them."""
+    files = scratch_path(spark, "token-files")
+    separator_scan.write_token_files(table(spark, sf, "documents"), files, tokenizer(), END_OF_TEXT)
+    found = separator_scan.document_lengths(spark, files, END_OF_TEXT)
+    number = F.regexp_extract("path", r"part-(\d+)", 1).cast("int").alias("file")
+    return found.select(number, "document", "start", "n_tokens", "terminated")
+
+
+def op5_swap_packing(spark: SparkSession, sf: str) -> DataFrame:
+    pieces = packing.cut(table(spark, sf, "documents"), tokenizer(), PIECE_END)
+    digested = written_once(pieces.withColumn("ids", F.crc32("ids")).withColumnRenamed("ids", "ids_crc32"), "pieces")
+    return packing.pack(digested)
 
 
 def op6_language_contexts(spark: SparkSession, sf: str) -> DataFrame:
@@ -44,7 +66,7 @@ def op10_factorisation_machine(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op6_language_contexts, op7_rule_forest, op10_factorisation_machine]
+    found = [op1_separator_scan, op5_swap_packing, op6_language_contexts, op7_rule_forest, op10_factorisation_machine]
     return {query.__name__: query for query in found}
 
 
