@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starloom.llm import byte_contexts, factorisation, packing, rule_forest, separator_scan
+from starloom.llm import byte_contexts, factorisation, lattice, packing, rule_forest, separator_scan
 from starloom.llm.words import fold, table
 from starloom.session import scratch_path, written_once
 
@@ -29,6 +29,13 @@ def op1_separator_scan(spark: SparkSession, sf: str) -> DataFrame:
     return found.select(number, "document", "start", "n_tokens", "terminated")
 
 
+def op3_subword_lattice(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").withColumn("train", fold() != 1)
+    scored = lattice.score(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    held_out = (~F.col("train")).alias("held_out")
+    return scored.select("doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op5_swap_packing(spark: SparkSession, sf: str) -> DataFrame:
     pieces = packing.cut(table(spark, sf, "documents"), tokenizer(), PIECE_END)
     digested = written_once(pieces.withColumn("ids", F.crc32("ids")).withColumnRenamed("ids", "ids_crc32"), "pieces")
@@ -66,7 +73,7 @@ def op10_factorisation_machine(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_separator_scan, op5_swap_packing, op6_language_contexts, op7_rule_forest, op10_factorisation_machine]
+    found = [op1_separator_scan, op3_subword_lattice, op5_swap_packing, op6_language_contexts, op7_rule_forest, op10_factorisation_machine]
     return {query.__name__: query for query in found}
 
 
