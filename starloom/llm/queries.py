@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starloom.llm import byte_contexts, factorisation, lattice, packing, rule_forest, separator_scan
+from starloom.llm import byte_contexts, factorisation, lattice, packing, rule_forest, separator_scan, url_rules
 from starloom.llm.words import fold, table
 from starloom.session import scratch_path, written_once
 
@@ -36,6 +36,13 @@ def op3_subword_lattice(spark: SparkSession, sf: str) -> DataFrame:
     return scored.select("doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op4_association_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """The label of a page is the quality of the document of the same id."""
+    labels = rule_forest.clean_labels(table(spark, sf, "labels")).withColumnRenamed("doc_id", "page_id")
+    judged = url_rules.judge(table(spark, sf, "pages").select("page_id", "url"), labels)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op5_swap_packing(spark: SparkSession, sf: str) -> DataFrame:
     pieces = packing.cut(table(spark, sf, "documents"), tokenizer(), PIECE_END)
     digested = written_once(pieces.withColumn("ids", F.crc32("ids")).withColumnRenamed("ids", "ids_crc32"), "pieces")
@@ -73,7 +80,7 @@ def op10_factorisation_machine(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_separator_scan, op3_subword_lattice, op5_swap_packing, op6_language_contexts, op7_rule_forest, op10_factorisation_machine]
+    found = [op1_separator_scan, op3_subword_lattice, op4_association_rules, op5_swap_packing, op6_language_contexts, op7_rule_forest, op10_factorisation_machine]
     return {query.__name__: query for query in found}
 
 
