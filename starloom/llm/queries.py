@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starloom.llm import byte_contexts, factorisation, lattice, packing, rule_forest, separator_scan, url_rules
+from starloom.llm import byte_contexts, factorisation, lattice, packing, rule_forest, separator_scan, simhash, url_rules
 from starloom.llm.words import fold, table
 from starloom.session import scratch_path, written_once
 
@@ -67,6 +67,12 @@ def op7_rule_forest(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op8_pigeonring(spark: SparkSession, sf: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf, "documents"))
+    digits = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
+    return found.select("doc_id", digits, "component_id")
+
+
 def op10_factorisation_machine(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     labelled = rule_forest.clean_labels(table(spark, sf, "labels")).where(fold() != 0)
@@ -80,7 +86,7 @@ def op10_factorisation_machine(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_separator_scan, op3_subword_lattice, op4_association_rules, op5_swap_packing, op6_language_contexts, op7_rule_forest, op10_factorisation_machine]
+    found = [op1_separator_scan, op3_subword_lattice, op4_association_rules, op5_swap_packing, op6_language_contexts, op7_rule_forest, op8_pigeonring, op10_factorisation_machine]
     return {query.__name__: query for query in found}
 
 
