@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starloom.llm import byte_contexts, factorisation, lattice, packing, rule_forest, separator_scan, simhash, url_rules
+from starloom.llm import byte_contexts, factorisation, lattice, packing, rule_forest, separator_scan, simhash, surrogates, url_rules
 from starloom.llm.words import fold, table
 from starloom.session import scratch_path, written_once
 
@@ -29,6 +29,16 @@ def op1_separator_scan(spark: SparkSession, sf: str) -> DataFrame:
     return found.select(number, "document", "start", "n_tokens", "terminated")
 
 
+def surrogate_key(spark: SparkSession) -> str:
+    """The secret that surrogates are drawn with; who has it can test guesses of an entity."""
+    return spark.conf.get("spark.starloom.surrogate.key", "not a secret")
+
+
+def op2_surrogates(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return surrogates.surrogates_for(docs, surrogate_key(spark), count_as="n_replaced")
+
+
 def op3_subword_lattice(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").withColumn("train", fold() != 1)
     scored = lattice.score(docs, public_tokenizers.path("piece_bpe_32k.model"))
@@ -86,7 +96,7 @@ def op10_factorisation_machine(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_separator_scan, op3_subword_lattice, op4_association_rules, op5_swap_packing, op6_language_contexts, op7_rule_forest, op8_pigeonring, op10_factorisation_machine]
+    found = [op1_separator_scan, op2_surrogates, op3_subword_lattice, op4_association_rules, op5_swap_packing, op6_language_contexts, op7_rule_forest, op8_pigeonring, op10_factorisation_machine]
     return {query.__name__: query for query in found}
 
 
