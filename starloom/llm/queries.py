@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starloom.llm import byte_contexts, factorisation, lattice, packing, rule_forest, separator_scan, simhash, surrogates, url_rules
+from starloom.llm import byte_contexts, factorisation, lattice, packing, phrase_index, rule_forest, separator_scan, simhash, surrogates, url_rules
 from starloom.llm.words import fold, table
 from starloom.session import scratch_path, written_once
 
@@ -83,6 +83,12 @@ def op8_pigeonring(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", digits, "component_id")
 
 
+def op9_positional_index(spark: SparkSession, sf: str) -> DataFrame:
+    judged = phrase_index.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    digest = F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256")
+    return judged.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated")
+
+
 def op10_factorisation_machine(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     labelled = rule_forest.clean_labels(table(spark, sf, "labels")).where(fold() != 0)
@@ -96,7 +102,7 @@ def op10_factorisation_machine(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_separator_scan, op2_surrogates, op3_subword_lattice, op4_association_rules, op5_swap_packing, op6_language_contexts, op7_rule_forest, op8_pigeonring, op10_factorisation_machine]
+    found = [op1_separator_scan, op2_surrogates, op3_subword_lattice, op4_association_rules, op5_swap_packing, op6_language_contexts, op7_rule_forest, op8_pigeonring, op9_positional_index, op10_factorisation_machine]
     return {query.__name__: query for query in found}
 
 
