@@ -184,12 +184,24 @@ def score(docs: DataFrame, model: Model, metadata: list[str]) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
         for chunk in chunks(batches):
-            rows = with_statistics(featurise(chunk, metadata), model.centre, model.scale)
-            odds = np.clip(margins(model, rows), -50, 50)
-            yield pa.RecordBatch.from_arrays(
-                [chunk.column("doc_id"), pa.array(1 / (1 + np.exp(-odds)))], ["doc_id", "score"]
-            )
+            found = pa.array(scores(shared.value, chunk, metadata))
+            yield pa.RecordBatch.from_arrays([chunk.column("doc_id"), found], ["doc_id", "score"])
 
     return columns(docs, metadata).mapInArrow(scored, "doc_id long, score double")
+
+
+def scores(model: Model, chunk: pa.RecordBatch, metadata: list[str]) -> np.ndarray:
+    rows = with_statistics(featurise(chunk, metadata), model.centre, model.scale)
+    return 1 / (1 + np.exp(-np.clip(margins(model, rows), -50, 50)))
+
+
+def accepted(docs: DataFrame, model: Model, metadata: list[str], threshold: float) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that score at least ``threshold``."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in chunks(batches):
+            yield chunk.filter(pa.array(scores(shared.value, chunk, metadata) >= threshold))
+
+    return docs.mapInArrow(kept, docs.schema)
