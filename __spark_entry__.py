@@ -28,9 +28,10 @@ from starloom.sources import summaries, views
 from starloom.sources import reviews as review_files
 
 try:
+    import corpus_pipeline
     from starloom.llm import queries as llm
 except ImportError:
-    llm = None
+    corpus_pipeline = llm = None
 
 CATEGORY = "PROMO"
 # Meta-category rules for the review view: some brands first, then the type in the raw string. No
@@ -527,7 +528,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         csv_roundtrip,
         category_table,
     ]
-    return {query.__name__: query for query in found} | (llm.queries() if llm else {})
+    registered = {query.__name__: query for query in found}
+    return registered | llm.queries() | {"pipeline": corpus_pipeline.run} if llm else registered
 
 
 # Oracles ------------------------------------------------------------------------------------------
