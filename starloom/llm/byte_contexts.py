@@ -126,13 +126,12 @@ def build(kept: list[tuple[str, int, int, list[tuple[int, int]]]]) -> Trees:
             n[symbol[s]] = count
         trees.setdefault((depth, path), {})[languages.index(name)] = n
     row = np.zeros((classes,) * ORDER, np.int32)
-    root = np.full((classes, len(languages)), 1 / classes)
-    root[0] /= max(1, 256 - len(seen))
-    chances = {(-1, ()): root}
+    chances = {(-1, ()): np.full((classes, len(languages)), 1 / classes)}
     table: list[np.ndarray] = []
     for depth, path in sorted(trees):
-        # The longest shorter context that has a row; one of order 0 always has.
-        back = next(k for k in ((d, path[len(path) - d :]) for d in range(depth - 1, -1, -1)) if k in chances) if depth else (-1, ())
+        # The longest shorter context that is kept, or the even chances below order 0.
+        shorter = [(d, path[depth - d :]) for d in range(depth - 1, -1, -1)] + [(-1, ())]
+        back = next(k for k in shorter if k in chances)
         below = chances[back].copy()
         for language, n in trees[depth, path].items():
             total, new = n.sum(), n == 0
@@ -143,8 +142,11 @@ def build(kept: list[tuple[str, int, int, list[tuple[int, int]]]]) -> Trees:
             below[:, language] = here
         chances[depth, path] = below
         row[(slice(None),) * (ORDER - depth) + path] = len(table)
-        table.append(-np.log2(below))
-    return Trees(languages, symbol, row.reshape(-1), np.concatenate(table).astype(np.float32) if table else np.zeros((0, 0), np.float32))
+        bits = -np.log2(below)
+        bits[0] += np.log2(max(1, 256 - len(seen)))  # which of the bytes never seen
+        table.append(bits)
+    found = np.concatenate(table) if table else np.zeros((0, 0))
+    return Trees(languages, symbol, row.reshape(-1), found.astype(np.float32))
 
 
 def learn(docs: DataFrame, min_share: float = MIN_SHARE) -> Trees:

@@ -1,0 +1,95 @@
+import math
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow as pa
+
+from starloom.llm import byte_contexts as bc
+from starloom.llm.queries import op6_language_contexts
+from starloom.llm.words import table
+
+
+def plain_bits(training, text, languages):
+    """Code lengths symbol by symbol, with the trees as dictionaries."""
+    counts = {name: defaultdict(Counter) for name in languages}
+    for said, name in training:
+        data = bc.PAD + said.encode()
+        for i in range(3, len(data)):
+            for depth in range(4):
+                counts[name][data[i - depth : i]][data[i]] += 1
+    kept = {n: {c: k for c, k in t.items() if sum(k.values()) >= bc.MIN_SHARE * sum(t[b""].values())} for n, t in counts.items()}
+    seen = {s for t in kept.values() for k in t.values() for s in k} | set(bc.PAD)
+    # A context counts by the classes of its bytes, and all bytes of these short texts are seen.
+    classes = len(seen) + 1
+
+    def chance(tree, context, symbol):
+        def spread(context):
+            if context is None:
+                root = {s: 1 / classes for s in seen}
+                root[None] = 1 / classes
+                return root
+            below = spread(context[1:] if context else None)
+            if context not in tree:
+                return below
+            k = tree[context]
+            total, kinds = sum(k.values()), len(k)
+            rest = sum(p for s, p in below.items() if s not in k)
+            return {
+                s: k[s] / (total + kinds) if s in k else p / rest * kinds / (total + kinds) for s, p in below.items()
+            }
+
+        if symbol in seen:
+            return spread(context)[symbol]
+        return spread(context)[None] / max(1, 256 - len(seen))
+
+    data = bc.PAD + text.encode()
+    return [sum(-math.log2(chance(kept[n], data[i - 3 : i], data[i])) for i in range(3, len(data))) for n in languages]
+
+
+TRAINING = [("the cat and the hat", "en"), ("le chat et la tête", "fr"), ("and then", "en"), ("", "fr")]
+
+
+def test_code_lengths_by_hand(spark):
+    trees = bc.learn(spark.createDataFrame(TRAINING + [("x", None), (None, "en")], "text string, lang string"))
+    assert trees.languages == ["en", "fr"]
+    for text in ("the hat", "la tete", "zzz", "", "ééé the"):
+        expected = plain_bits(TRAINING, text, trees.languages)
+        assert np.allclose(bc.code_lengths(trees, pa.array([text, "and"]))[0], expected, rtol=1e-5)
+
+
+def test_chances_of_each_context_sum_to_one(spark):
+    trees = bc.learn(spark.createDataFrame(TRAINING, "text string, lang string"))
+    classes = int(trees.symbol.max()) + 1
+    chances = 2.0 ** -trees.bits.reshape(-1, classes, 2).astype(float)
+    unseen = 256 - (classes - 1)
+    chances[:, 0] *= unseen  # class 0 stands for each byte never seen
+    assert np.allclose(chances.sum(axis=1), 1, atol=1e-4)
+
+
+def test_contexts_are_pruned_by_share():
+    kept = [("en", 0, 0, [(97, 5)]), ("en", 1, 97, [(97, 3)])]
+    trees = bc.build(kept)
+    assert len(trees.bits) == 2 * (int(trees.symbol.max()) + 1)
+
+
+def test_odd_rows(spark, odd):
+    trees = bc.learn(odd)
+    rows = bc.predict(odd, trees).collect()
+    assert len(rows) == odd.count()
+    assert {r.lang_pred for r in rows if r.doc_id in (3, 4, 5)} == {"und"}
+    assert all(0 <= r.score <= 1 for r in rows)
+
+
+def test_empty_tables(spark, empty, odd):
+    trees = bc.learn(empty)
+    assert {r.lang_pred for r in bc.predict(odd, trees).collect()} == {"und"}
+    assert bc.predict(empty, bc.learn(odd)).count() == 0
+
+
+def test_held_out_accuracy(spark, small):
+    lang = {r.doc_id: r.lang for r in table(spark, small, "documents").collect()}
+    rows = op6_language_contexts(spark, small).collect()
+    assert len(rows) == len(lang)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
+    assert np.mean([r.lang_pred == lang[r.doc_id] for r in rows if r.held_out]) > 0.95

@@ -1,0 +1,122 @@
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+from hypothesis import given, settings, strategies as st
+from tokenizers import Tokenizer
+
+from starloom.llm import packing
+from starloom.llm.queries import op5_swap_packing, tokenizer
+from starloom.llm.words import table
+from starloom.session import written_once
+
+
+def total(kinds):
+    held = Counter()
+    for lengths, copies in kinds:
+        for length, n in lengths.items():
+            held[length] += n * copies
+    return held
+
+
+@settings(deadline=None, max_examples=150)
+@given(st.dictionaries(st.integers(1, 20), st.integers(1, 50), max_size=12))
+def test_plans_hold_all_pieces_and_no_bin_overflows(histogram):
+    for kinds in (packing.best_fit(histogram, 20), packing.plan(histogram, 20)):
+        assert total(kinds) == Counter(histogram)
+        assert all(n > 0 and sum(k * m for k, m in lengths.items()) <= 20 for lengths, n in kinds)
+    before = sum(n for _, n in packing.best_fit(histogram, 20))
+    after = sum(n for _, n in packing.plan(histogram, 20))
+    assert -(-sum(k * n for k, n in histogram.items()) // 20) <= after <= before
+
+
+def test_best_fit_is_that_of_single_pieces():
+    """Kinds with copies are the bins that piece-by-piece best fit decreasing makes."""
+    random.seed(4)
+    for _ in range(50):
+        histogram = Counter(random.choices(range(1, 30), k=random.randint(1, 80)))
+        bins = []
+        for length in sorted(histogram.elements(), reverse=True):
+            fits = [b for b in bins if 30 - sum(b) >= length]
+            if fits:
+                min(fits, key=lambda b: 30 - sum(b)).append(length)
+            else:
+                bins.append([length])
+        assert sum(n for _, n in packing.best_fit(histogram, 30)) == len(bins)
+
+
+def test_search_saves_a_bin():
+    # Best fit leaves 6+3, 5+4, 2: swapping 4 for 2+... has to find the full packing of two bins of ten.
+    kinds = [(Counter({6: 1, 3: 1}), 1), (Counter({5: 1, 4: 1}), 1), (Counter({1: 2}), 1)]
+    found = packing.local_search(kinds, 10, 2)
+    assert sum(n for _, n in found) == 2 and total(found) == total(kinds)
+
+
+def test_exchanges_of_each_form():
+    assert packing.exchange(Counter({5: 1}), Counter({3: 1, 2: 1}), 3, 0) == (Counter({3: 1}), Counter())
+    give, back = packing.exchange(Counter({5: 1, 2: 1}), Counter({4: 1}), 2, 3)
+    assert (give, back) == (Counter({4: 1}), Counter({2: 1}))
+    give, back = packing.exchange(Counter({4: 2}), Counter({3: 2}), 2, 2)
+    assert (give, back) == (Counter({3: 2}), Counter({4: 1}))
+    assert packing.exchange(Counter({4: 1}), Counter({4: 1}), 0, 0) is None
+
+
+def check_packing(rows, texts, capacity=packing.CAPACITY, end=1):
+    """``texts``: (doc_id, text) rows. Returns the number of sequences."""
+    encode = Tokenizer.from_file(tokenizer())
+    expected = Counter()
+    for doc_id, text in texts:
+        ids = encode.encode(text or "", add_special_tokens=False).ids + [end]
+        for start in range(0, len(ids), capacity):
+            part = ids[start : start + capacity]
+            digest = zlib.crc32(np.array(part, "<u4").tobytes())
+            expected[doc_id, start // capacity, start, len(part), digest] += 1
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows) == expected
+    bins = defaultdict(list)
+    for r in rows:
+        bins[r.sequence_id].append((r.offset, r.length))
+    for held in bins.values():
+        at = 0
+        for offset, length in sorted(held):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return len(bins)
+
+
+def test_query_on_the_test_tables(spark, small):
+    rows = op5_swap_packing(spark, small).collect()
+    texts = table(spark, small, "documents").select("doc_id", "text").collect()
+    n = check_packing(rows, [tuple(t) for t in texts])
+    assert n == -(-sum(r.length for r in rows) // packing.CAPACITY)
+
+
+def packed(docs):
+    pieces = packing.cut(docs, tokenizer(), 1)
+    from pyspark.sql import functions as F
+
+    digested = pieces.withColumn("ids", F.crc32("ids")).withColumnRenamed("ids", "ids_crc32")
+    return packing.pack(written_once(digested, "test-pieces"))
+
+
+def test_odd_rows(odd):
+    rows = packed(odd).collect()
+    check_packing(rows, [(r.doc_id, r.text) for r in odd.select("doc_id", "text").collect()])
+
+
+def test_empty_table(empty):
+    assert packed(empty).count() == 0
+
+
+def test_ids_come_back_whole(spark, documents):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rows = packing.cut(documents.limit(20), path, 1, capacity=50).collect()
+    texts = {r.doc_id: r.text for r in documents.limit(20).collect()}
+    ids = defaultdict(list)
+    for r in sorted(rows, key=lambda r: (r.doc_id, r.piece)):
+        assert r.start == len(ids[r.doc_id])
+        ids[r.doc_id] += np.frombuffer(r.ids, "<u4").tolist()
+    encode = Tokenizer.from_file(path)
+    assert ids == {d: encode.encode(t, add_special_tokens=False).ids + [1] for d, t in texts.items()}
