@@ -23,7 +23,7 @@ from starloom.operators import (
     text_model,
 )
 from starloom.plans import articles, reports
-from starloom.session import scratch_path
+from starloom.session import scratch_path, written_once
 from starloom.sources import summaries, views
 from starloom.sources import reviews as review_files
 
@@ -263,7 +263,23 @@ def classification_report(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def confusion_matrix(spark: SparkSession, sf: str) -> DataFrame:
-    return metrics.confusion_matrix(_predicted(spark, sf))
+    return metrics.confusion_matrix(_predicted(spark, sf), others=None)
+
+
+def _with_gaps(spark: SparkSession, sf: str) -> DataFrame:
+    """No prediction for four stars, and a label off the list for one star."""
+    rating = F.col("`reviews.rating`")
+    said = F.when(rating == 1, "unsure").when(rating != 4, F.col("predicted_sentiment"))
+    return _predicted(spark, sf).withColumn("predicted_sentiment", said)
+
+
+def report_with_gaps(spark: SparkSession, sf: str) -> DataFrame:
+    report = metrics.classification_report(_with_gaps(spark, sf))
+    return report.withColumns({c: F.round(c, 9) for c in ("precision", "recall", "f1_score")})
+
+
+def confusion_off_list(spark: SparkSession, sf: str) -> DataFrame:
+    return metrics.confusion_matrix(_with_gaps(spark, sf), labels=["negative", "positive"])
 
 
 # Category mapping ---------------------------------------------------------------------------------
@@ -292,6 +308,14 @@ def reviews_with_meta_rules(spark: SparkSession, sf: str) -> DataFrame:
     return mapped.select("review_id", "categories", "meta_category")
 
 
+def category_mapping_own_options(spark: SparkSession, sf: str) -> DataFrame:
+    """Options that some rules do not name, and options that no rule names."""
+    raw = categories.distinct_categories(views.reviews(spark, sf))
+    some = categories.classify_categories(raw, ["SMALL", "Toys"], VIEW_RULES)
+    none = categories.classify_categories(raw, ["Toys", "Garden"], VIEW_RULES)
+    return some.join(none.withColumnRenamed("meta_category", "without_rule"), "categories")
+
+
 def mapping_audit(spark: SparkSession, sf: str) -> DataFrame:
     return categories.mapping_audit(_mapped(spark, sf), AUDIT_OPTIONS)
 
@@ -316,7 +340,7 @@ def _evidence(spark: SparkSession, sf: str, cap: int | None = 30) -> DataFrame:
 
 
 def _articles(spark: SparkSession, sf: str) -> DataFrame:
-    return articles.write_articles(articles.article_inputs(_evidence(spark, sf)))
+    return articles.write_articles(articles.article_inputs(_evidence(spark, sf), complaints=3))
 
 
 def product_reviews(spark: SparkSession, sf: str) -> DataFrame:
@@ -368,6 +392,19 @@ def summaries_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return summaries.load_summaries(spark, path)
 
 
+def summaries_emptied(spark: SparkSession, sf: str) -> DataFrame:
+    """Versions of a store that is filled, emptied, and set anew for one key of the review texts."""
+    path = scratch_path(spark, "summaries-emptied")
+    keys = views.text_reviews(spark, sf).select(F.col("meta_category").alias("category_key")).distinct()
+    full = keys.withColumn("summary", F.concat(F.lit("about "), F.col("category_key")))
+    found = None
+    for step, content in enumerate([full, full.limit(0), full.where("category_key = 'en'")], 1):
+        summaries.save_summaries(content, path)
+        stored = written_once(summaries.load_summaries(spark, path), "stored").withColumn("step", F.lit(step))
+        found = stored if found is None else found.unionByName(stored)
+    return found
+
+
 def summaries_json(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "summaries-json")
     summaries.save_summaries_json(_articles(spark, sf), path)
@@ -441,8 +478,8 @@ def kmeans_sweep(spark: SparkSession, sf: str) -> DataFrame:
 
 def kmeans_sizes(spark: SparkSession, sf: str) -> DataFrame:
     vectors = views.table(spark, sf, "embeddings")
-    models, _ = clusters.cluster_sweep(vectors, [6])
-    return profile.class_sizes(clusters.assign_clusters(models[6], vectors), "cluster")
+    model = clusters.fit_clusters(vectors, 6)
+    return profile.class_sizes(clusters.assign_clusters(model, vectors), "cluster")
 
 
 # Files --------------------------------------------------------------------------------------------
@@ -501,7 +538,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         concat_tables,
         classification_report,
         confusion_matrix,
+        report_with_gaps,
+        confusion_off_list,
         category_mapping,
+        category_mapping_own_options,
         reviews_with_meta,
         reviews_with_meta_rules,
         mapping_audit,
@@ -514,6 +554,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         article_prompt,
         article_text,
         summaries_upsert,
+        summaries_emptied,
         summaries_json,
         summary_lookup,
         stripped_texts,
@@ -555,6 +596,12 @@ PREDICTED = """predicted AS (
          CASE model_label WHEN 'LABEL_0' THEN 'negative' WHEN 'LABEL_1' THEN 'neutral'
            ELSE 'positive' END AS predicted
   FROM labelled)"""
+PREDICTED_WITH_GAPS = """predicted AS (
+  SELECT rating_sentiment AS actual,
+         CASE WHEN rating = 1 THEN 'unsure' WHEN rating = 4 THEN NULL
+           WHEN model_label = 'LABEL_0' THEN 'negative' WHEN model_label = 'LABEL_1' THEN 'neutral'
+           ELSE 'positive' END AS predicted
+  FROM labelled)"""
 STATS = """stats AS (
   SELECT meta_category, name, avg(rating) AS avg_rating, count(rating) AS num_reviews
   FROM reviews WHERE meta_category IS NOT NULL AND name IS NOT NULL GROUP BY ALL)"""
@@ -604,7 +651,7 @@ blocks AS (
   SELECT meta_category, role, rank, name,
          rank || '. ' || name || ' (average ' || printf('%.2f', avg_rating) || ' from '
            || num_reviews || ' ratings)' AS line,
-         'Product ' || rank || ' - ' || name || ':' || chr(10)
+         'Reviews of ' || name || ' (place ' || rank || ')' || chr(10)
            || string_agg('- ' || coalesce(text, ''), chr(10) ORDER BY pos) AS block
   FROM evidence GROUP BY meta_category, role, rank, name, avg_rating, num_reviews),
 inputs AS (
@@ -657,6 +704,32 @@ def oracle_sql() -> dict[str, str]:
     prompt_options = ", ".join(f"''{o}''" for o in VIEW_OPTIONS)
     tokens = ", ".join(f"'{t}'" for t in NULL_TOKENS)
     scores = "precision, recall, f1_score"
+    report = f"""
+            classes AS (
+              SELECT label, CAST(sum(hits) AS BIGINT) AS hits, CAST(sum(guessed) AS BIGINT) AS guessed,
+                     CAST(sum(support) AS BIGINT) AS support
+              FROM (SELECT actual AS label, CAST(actual = predicted AS INTEGER) AS hits, 0 AS guessed,
+                           1 AS support FROM predicted
+                    UNION ALL SELECT predicted, 0, 1, 0 FROM predicted)
+              WHERE label IS NOT NULL GROUP BY label),
+            scored AS (
+              SELECT label, CASE WHEN guessed > 0 THEN hits / guessed ELSE 0 END AS precision,
+                     CASE WHEN support > 0 THEN hits / support ELSE 0 END AS recall,
+                     CASE WHEN guessed + support > 0 THEN 2 * hits / (guessed + support) ELSE 0 END
+                       AS f1_score,
+                     support, hits
+              FROM classes),
+            report AS (
+              SELECT label, {scores}, support FROM scored
+              UNION ALL SELECT 'accuracy', NULL, NULL, sum(hits) / sum(support), sum(support)
+              FROM scored
+              UNION ALL SELECT 'macro avg', avg(precision), avg(recall), avg(f1_score), sum(support)
+              FROM scored
+              UNION ALL SELECT 'weighted avg', sum(precision * support) / sum(support),
+                sum(recall * support) / sum(support), sum(f1_score * support) / sum(support),
+                sum(support) FROM scored)
+            SELECT label, round(precision, 9) AS precision, round(recall, 9) AS recall,
+                   round(f1_score, 9) AS f1_score, CAST(support AS BIGINT) AS support FROM report"""
     return (llm.oracle_sql() if llm else {}) | {
         "top3_per_category": f"WITH {REVIEWS}, {STATS}, {RANKS} "
         + top_or_worst.format("top") + " WHERE top_rank <= 3",
@@ -763,31 +836,25 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL
             SELECT CAST(doc_id AS VARCHAR), source, NULL, lang, CAST(1 + n_chars % 5 AS INTEGER)
             FROM documents""",
-        "classification_report": f"""WITH {REVIEWS}, {LABELLED}, {PREDICTED},
-            classes AS (
-              SELECT label, CAST(sum(hits) AS BIGINT) AS hits, CAST(sum(guessed) AS BIGINT) AS guessed,
-                     CAST(sum(support) AS BIGINT) AS support
-              FROM (SELECT actual AS label, CAST(actual = predicted AS INTEGER) AS hits, 0 AS guessed,
-                           1 AS support FROM predicted
-                    UNION ALL SELECT predicted, 0, 1, 0 FROM predicted) GROUP BY label),
-            scored AS (
-              SELECT label, CASE WHEN guessed > 0 THEN hits / guessed ELSE 0 END AS precision,
-                     CASE WHEN support > 0 THEN hits / support ELSE 0 END AS recall,
-                     CASE WHEN guessed + support > 0 THEN 2 * hits / (guessed + support) ELSE 0 END
-                       AS f1_score,
-                     support, hits
-              FROM classes),
-            report AS (
-              SELECT label, {scores}, support FROM scored
-              UNION ALL SELECT 'accuracy', NULL, NULL, sum(hits) / sum(support), sum(support)
-              FROM scored
-              UNION ALL SELECT 'macro avg', avg(precision), avg(recall), avg(f1_score), sum(support)
-              FROM scored
-              UNION ALL SELECT 'weighted avg', sum(precision * support) / sum(support),
-                sum(recall * support) / sum(support), sum(f1_score * support) / sum(support),
-                sum(support) FROM scored)
-            SELECT label, round(precision, 9) AS precision, round(recall, 9) AS recall,
-                   round(f1_score, 9) AS f1_score, CAST(support AS BIGINT) AS support FROM report""",
+        "classification_report": f"WITH {REVIEWS}, {LABELLED}, {PREDICTED}, {report}",
+        "report_with_gaps": f"WITH {REVIEWS}, {LABELLED}, {PREDICTED_WITH_GAPS}, {report}",
+        "confusion_off_list": f"""WITH {REVIEWS}, {LABELLED}, {PREDICTED_WITH_GAPS},
+            placed AS (
+              SELECT CASE WHEN actual IN ('negative', 'positive') THEN actual ELSE 'other' END AS actual,
+                     CASE WHEN predicted IN ('negative', 'positive') THEN predicted ELSE 'other' END
+                       AS predicted
+              FROM predicted WHERE actual IS NOT NULL)
+            SELECT actual, count(*) FILTER (predicted = 'negative') AS negative,
+                   count(*) FILTER (predicted = 'positive') AS positive,
+                   count(*) FILTER (predicted = 'other') AS other
+            FROM placed GROUP BY actual""",
+        "category_mapping_own_options": f"""WITH {REVIEWS}
+            SELECT DISTINCT categories,
+                   CASE WHEN lower(categories) LIKE '%small%' THEN 'SMALL' END AS meta_category,
+                   CAST(NULL AS VARCHAR) AS without_rule FROM reviews""",
+        "summaries_emptied": """WITH keys AS (SELECT DISTINCT lang FROM documents WHERE lang IS NOT NULL)
+            SELECT lang AS category_key, 'about ' || lang AS summary, 1 AS step FROM keys
+            UNION ALL SELECT lang, 'about ' || lang, 3 FROM keys WHERE lang = 'en'""",
         "confusion_matrix": f"""WITH {REVIEWS}, {LABELLED}, {PREDICTED}
             SELECT actual, count(*) FILTER (predicted = 'negative') AS negative,
                    count(*) FILTER (predicted = 'neutral') AS neutral,

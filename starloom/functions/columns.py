@@ -25,7 +25,7 @@ def look_up(column: str | Column, table: Mapping, strict: bool = False) -> Colum
     keys_by_value: dict = {}
     for k, v in table.items():
         keys_by_value.setdefault(v, []).append(k)
-    found = F
+    found = F.when(F.lit(False), None)
     for value, keys in keys_by_value.items():
         found = found.when(key.isin(keys), F.lit(value))
     if not strict:
@@ -81,7 +81,7 @@ def thousands(count: str | Column) -> Column:
 
 def truncate_tokens(text: str | Column, max_length: int = 512) -> Column:
     """The first ``max_length`` white-space tokens; stands in for a model's own tokenizer."""
-    tokens = F.split(strip(text), r"\s+")
+    tokens = F.split(strip(text), r"\s+", max_length + 1)
     return F.array_join(F.slice(tokens, 1, max_length), " ")
 
 

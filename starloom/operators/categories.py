@@ -36,13 +36,13 @@ def category_by_rules(
 ) -> Column:
     """The meta-category of the first rule that has a word of the category; null when none has."""
     lowered = F.lower(named(category))
-    found = F
+    found = None
     for answer, words in rules:
         hit = F.contains(lowered, F.lit(words[0].lower()))
         for word in words[1:]:
             hit = hit | F.contains(lowered, F.lit(word.lower()))
-        found = found.when(hit, F.lit(answer))
-    return found
+        found = (F if found is None else found).when(hit, F.lit(answer))
+    return F.lit(None).cast("string") if found is None else found
 
 
 def distinct_categories(reviews: DataFrame, category_col: str = CATEGORIES) -> DataFrame:
@@ -102,11 +102,15 @@ def join_mapping(
 ) -> DataFrame:
     """Add ``meta_category``; every review stays, with null where the mapping has no entry.
 
-    The mapping is broadcast when it is small, and must then name each string once.
+    The mapping must name each string once, which is counted on the cluster whatever its size. It is
+    broadcast when it is small.
     """
-    side, rows = small_side(mapping.select(F.col(CATEGORIES).alias("_raw"), META))
-    if rows is not None and len(rows) != len(set(rows["_raw"].to_pylist())):
-        raise ValueError("the mapping names a category more than once")
+    side = mapping.select(F.col(CATEGORIES).alias("_raw"), META)
+    named_ = side.where(F.col("_raw").isNotNull()).groupBy("_raw").agg(F.count(F.lit(1)).alias("n"))
+    twice = named_.where("n > 1").first()
+    if twice is not None:
+        raise ValueError(f"the mapping names a category more than once: {twice['_raw']}")
+    side, _ = small_side(side)
     return reviews.join(side, named(category_col) == F.col("_raw"), "left").drop("_raw")
 
 
@@ -114,9 +118,11 @@ def with_meta_category(
     reviews: DataFrame,
     rules: Sequence[tuple[str, Sequence[str]]] = DEFAULT_RULES,
     category_col: str = CATEGORIES,
+    options: Sequence[str] | None = None,
 ) -> DataFrame:
     """The rules straight on the reviews: the same result as mapping and join, with no shuffle."""
-    return reviews.withColumn(META, category_by_rules(category_col, rules))
+    known = [rule for rule in rules if options is None or rule[0] in options]
+    return reviews.withColumn(META, category_by_rules(category_col, known))
 
 
 def mapping_audit(

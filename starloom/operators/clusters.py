@@ -27,6 +27,18 @@ def embed_names(
     return embed(named(name))
 
 
+def fit_clusters(
+    vectors: DataFrame, k: int, embedding_col: str = "embedding", seed: int = 42
+) -> KMeansModel:
+    """One model, without the silhouette that a sweep measures."""
+    rows = vectors.select(array_to_vector(named(embedding_col)).alias(FEATURES))
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return KMeans(k=k, seed=seed, featuresCol=FEATURES, predictionCol="cluster").fit(rows)
+    finally:
+        rows.unpersist()
+
+
 def cluster_sweep(
     vectors: DataFrame, ks: Sequence[int], embedding_col: str = "embedding", seed: int = 42
 ) -> tuple[dict[int, KMeansModel], DataFrame]:

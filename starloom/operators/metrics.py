@@ -18,7 +18,7 @@ def _ratio(part: Column, whole: Column) -> Column:
 def _pairs(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     return (
         df.select(named(actual).alias("actual"), named(predicted).alias("predicted"))
-        .where(F.col("actual").isNotNull() & F.col("predicted").isNotNull())
+        .where(F.col("actual").isNotNull())
         .groupBy("actual", "predicted")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -29,7 +29,8 @@ def classification_report(
 ) -> DataFrame:
     """Precision, recall, F1 and support per class, then accuracy and the two averages.
 
-    Every class that occurs as actual or predicted gets a row; rows without either are left out.
+    Every class that occurs as actual or predicted gets a row. A row without a prediction is a miss: it
+    counts against recall and accuracy of its class. Rows without an actual label are no cases.
     Accuracy stands in ``f1_score`` of its row, which has no precision or recall. All of it comes
     from the counts per (actual, predicted), so the data is read once.
     """
@@ -59,7 +60,8 @@ def classification_report(
     # 2PR / (P + R), written in counts.
     f1 = _ratio(2 * F.col("hits"), F.col("guessed") + F.col("support"))
     classes = (
-        both_sides.groupBy("label")
+        both_sides.where(F.col("label").isNotNull())
+        .groupBy("label")
         .agg(*[F.sum(c).alias(c) for c in ("support", "guessed", "hits")])
         .withColumns({"precision": precision, "recall": recall, "f1_score": f1})
     )
@@ -100,14 +102,25 @@ def confusion_matrix(
     actual: str = SENTIMENT,
     predicted: str = PREDICTED,
     labels: Sequence[str] = SENTIMENTS,
+    others: str | None = "other",
 ) -> DataFrame:
     """Rows per actual class, one column per predicted class; ``labels`` sets both.
 
-    One aggregate over the data. A class that never occurs still has its row.
+    Labels off the list, and missing predictions, are counted in a row and a column named ``others``;
+    with None they are an error. Rows without an actual label are no cases. One aggregate over the
+    data. A class that never occurs still has its row.
     """
+    listed = list(labels)
+    if others is None:
+        problem = F.lit("a label is not on the list, or a prediction is missing")
+        rest = F.raise_error(problem).cast("string")
+    else:
+        labels, rest = [*listed, others], F.lit(others)
+    place = lambda c: F.when(F.col(c).isin(*listed), F.col(c)).otherwise(rest).alias(c)
     counted = [F.count_if(F.col("predicted") == label).alias(label) for label in labels]
     pairs = df.select(named(actual).alias("actual"), named(predicted).alias("predicted"))
-    found = pairs.where(F.col("actual").isin(*labels)).groupBy("actual").agg(*counted)
+    pairs = pairs.where(F.col("actual").isNotNull()).select(place("actual"), place("predicted"))
+    found = pairs.groupBy("actual").agg(*counted)
     every = df.sparkSession.range(0, 1, numPartitions=1).select(
         F.explode(F.array(*[F.lit(label) for label in labels])).alias("actual")
     )

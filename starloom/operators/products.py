@@ -55,21 +55,31 @@ def get_top_n(
     reviews: DataFrame, category: str, n: int = 3, rating_col: str = RATING
 ) -> DataFrame:
     """The ``n`` products of a category with the most reviews."""
-    stats = product_stats(in_category(reviews, category), [NAME], rating_col)
-    return as_report(stats.orderBy(*most_reviewed_first()).limit(n))
+    return top_of(product_stats(in_category(reviews, category), [NAME], rating_col), n)
 
 
 def get_worst(reviews: DataFrame, category: str, rating_col: str = RATING) -> DataFrame:
     """The product of a category with the lowest mean; no row for an empty category."""
-    stats = product_stats(in_category(reviews, category), [NAME], rating_col)
-    return as_report(stats.orderBy(*worst_first()).limit(1))
+    return worst_of(product_stats(in_category(reviews, category), [NAME], rating_col))
 
 
 def rating_chart(
     reviews: DataFrame, category: str, n: int = 10, rating_col: str = RATING
 ) -> DataFrame:
     """Rows of the rating chart: the most reviewed products with a name that fits an axis."""
-    stats = product_stats(in_category(reviews, category), [NAME], rating_col)
+    return chart_of(product_stats(in_category(reviews, category), [NAME], rating_col), n)
+
+
+def top_of(stats: DataFrame, n: int = 3) -> DataFrame:
+    """``get_top_n`` from the product statistics of one category."""
+    return as_report(stats.orderBy(*most_reviewed_first()).limit(n))
+
+
+def worst_of(stats: DataFrame) -> DataFrame:
+    return as_report(stats.orderBy(*worst_first()).limit(1))
+
+
+def chart_of(stats: DataFrame, n: int = 10) -> DataFrame:
     return stats.orderBy(*most_reviewed_first()).limit(n).withColumn("short_name", short_name(NAME))
 
 

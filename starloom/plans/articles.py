@@ -16,7 +16,6 @@ from starloom.session import written_once
 Write = Callable[[str], str]
 
 LOW_RATING = 2
-COMPLAINTS = 3
 
 
 def _product_line() -> Column:
@@ -45,20 +44,25 @@ def _joined(role: str, part: str, separator: str) -> Column:
     return F.array_join(F.transform(ordered, lambda entry: entry[part]), separator)
 
 
-def article_inputs(evidence: DataFrame) -> DataFrame:
+def article_inputs(
+    evidence: DataFrame, complaints: int | None = None, low_rating: float = LOW_RATING
+) -> DataFrame:
     """One row per category with everything an article needs.
 
     ``top_table`` and ``worst_table`` list the products with their figures, ``top_reviews`` and
-    ``worst_reviews`` hold the texts of each product, ``complaints`` the first low-rated ones.
+    ``worst_reviews`` hold the texts of each product, ``complaints`` those rated ``low_rating`` or less: the
+    first ones of each product, or all of its evidence with None.
     Evidence with a cap on reviews bounds the size of a row.
     """
     low = F.filter(
         F.arrays_zip(F.col("texts").alias("text"), F.col("ratings").alias("rating")),
-        lambda r: (r["rating"] <= LOW_RATING) & r["text"].isNotNull(),
+        lambda r: (r["rating"] <= low_rating) & r["text"].isNotNull(),
     )
-    low = F.transform(F.slice(low, 1, COMPLAINTS), lambda r: r["text"])
+    if complaints is not None:
+        low = F.slice(low, 1, complaints)
+    low = F.transform(low, lambda r: r["text"])
     heading = F.concat(
-        F.lit("Product "), F.col("rank").cast("string"), F.lit(" - "), F.col(NAME), F.lit(":\n")
+        F.lit("Reviews of "), F.col(NAME), F.lit(" (place "), F.col("rank").cast("string"), F.lit(")\n")
     )
     blocks = review_blocks(evidence).select(
         META,
@@ -154,9 +158,11 @@ def generate_category_blogs(
     rating_col: str = RATING,
     text_col: str = TEXT,
     id_col: str = REVIEW_ID,
+    complaints: int | None = None,
+    low_rating: float = LOW_RATING,
 ) -> DataFrame:
     """Articles for all categories, or for one of them."""
     evidence = article_evidence(
         reviews, n_top, max_reviews_per_product, rating_col, text_col, id_col, category
     )
-    return write_articles(article_inputs(evidence), load_model)
+    return write_articles(article_inputs(evidence, complaints, low_rating), load_model)

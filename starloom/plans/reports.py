@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starloom.fixed_values import META, RATING, SENTIMENT
-from starloom.operators.products import get_top_n, get_worst, in_category, rating_chart
+from pyspark.storagelevel import StorageLevel
+
+from starloom.fixed_values import META, NAME, RATING, SENTIMENT
+from starloom.operators.products import chart_of, in_category, product_stats, top_of, worst_of
 from starloom.operators.profile import value_counts
 from starloom.sources.summaries import summaries_for
 
@@ -39,14 +41,17 @@ def dashboard(
     """All tables of one category page.
 
     The filter on the category reaches the scan, where a table that was saved by category reads that
-    one folder. Each table is small once its aggregate is done.
+    one folder. Chart, top and worst come from one aggregate, which is kept (a row per product of the
+    category, spilling to disk) as long as the session holds it.
     """
+    stats = product_stats(in_category(reviews, category), [NAME], rating_col)
+    stats = stats.persist(StorageLevel.MEMORY_AND_DISK)
     page = {
         "review_count": review_count(reviews, category),
-        "rating_chart": rating_chart(reviews, category, rating_col=rating_col),
+        "rating_chart": chart_of(stats),
         "sentiment_distribution": sentiment_distribution(reviews, category),
-        "top_products": get_top_n(reviews, category, n_top, rating_col),
-        "worst_product": get_worst(reviews, category, rating_col),
+        "top_products": top_of(stats, n_top),
+        "worst_product": worst_of(stats),
     }
     if summaries is not None:
         page["summary"] = stored_summary(reviews.sparkSession, summaries, category)

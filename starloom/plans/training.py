@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import argparse
 
-from starloom.fixed_values import SENTIMENTS
 from starloom.operators.text_model import train_sentiment
 from starloom.session import build_session
 from starloom.sources.reviews import load_reviews, load_table
@@ -32,9 +31,7 @@ def main(arguments: list[str] | None = None) -> None:
     _, report = train_sentiment(
         balanced, given.out, test_size=given.test_size, seed=given.seed, max_iter=given.max_iter
     )
-    scores = {row["label"]: row["f1_score"] for row in report.collect()}
-    for label in [*SENTIMENTS, "accuracy"]:
-        print(f"{label}: {scores.get(label, 0.0):.3f}")
+    report.orderBy("label").show(truncate=False)
 
 
 if __name__ == "__main__":

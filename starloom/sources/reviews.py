@@ -108,15 +108,15 @@ def save_table(
     path: str,
     mode: str = "errorifexists",
     by_category: bool = False,
-    rebalance: bool = False,
+    rebalance: bool | None = None,
 ) -> None:
     """Parquet; ``by_category`` gives every meta-category a folder that its filter alone reads.
 
-    Each task writes its own rows, so nothing is shuffled and the largest category is not drawn into
-    one task, at the price of a file per task and category. ``rebalance`` spends a shuffle on files of
-    even size: adaptive execution then merges small partitions and splits those of a large category.
+    ``rebalance`` spends a shuffle on files of even size: adaptive execution then merges small partitions
+    and splits those of a large category. It is the default by category, where each task would else
+    write a file for each category.
     """
-    if rebalance:
+    if by_category if rebalance is None else rebalance:
         df = df.hint("rebalance", META) if by_category else df.hint("rebalance")
     writer = df.write.mode(mode)
     if by_category:

@@ -8,13 +8,15 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starloom.functions.columns import category_key
-from starloom.operators.bounded import small_side
 from starloom.sources.reviews import path_is_missing
 
 KEY = "category_key"
 SUMMARY = "summary"
 SCHEMA = f"{KEY} string, {SUMMARY} string"
 STORED = f"{SCHEMA}, version bigint"
+# A JSON object is one value in one task.
+JSON_ROWS, JSON_BYTES = 1_000_000, 256 * 1024 * 1024
+KEPT_VERSIONS = 2
 
 
 def _versions(spark: SparkSession, path: str) -> DataFrame | None:
@@ -37,23 +39,43 @@ def load_summaries(spark: SparkSession, path: str) -> DataFrame:
     stored = _versions(spark, path)
     if stored is None:
         return spark.createDataFrame([], SCHEMA)
-    return stored.where(F.col("version") == _latest(stored)).select(KEY, SUMMARY)
+    latest = stored.where(F.col("version") == _latest(stored))
+    return latest.where(F.col(KEY).isNotNull()).select(KEY, SUMMARY)
 
 
-def save_summaries(summaries: DataFrame, path: str) -> None:
-    """Replace the content of the store.
+def save_summaries(summaries: DataFrame, path: str, keep: int = KEPT_VERSIONS) -> None:
+    """Replace the content of the store. Every key must be there once, and none may be null.
 
-    A new version is added beside the old ones, so ``summaries`` may itself come from the store.
-    One writer at a time.
+    A new version is added beside the old ones, so ``summaries`` may itself come from the store; the
+    newest ``keep`` versions stay. Each version has a row without a key, so that an empty table is a
+    version as well. One writer at a time.
     """
-    version = _latest(_versions(summaries.sparkSession, path)) + 1
+    spark = summaries.sparkSession
+    counts = summaries.groupBy(KEY).agg(F.count(F.lit(1)).alias("n"))
+    wrong = counts.where(F.col(KEY).isNull() | (F.col("n") > 1)).first()
+    if wrong is not None:
+        raise ValueError(f"{wrong['n']} summaries have the key {wrong[KEY]}")
+    version = _latest(_versions(spark, path)) + 1
+    marker = spark.createDataFrame([(None, None)], SCHEMA)
     (
         summaries.select(KEY, SUMMARY)
+        .unionByName(marker)
         .withColumn("version", F.lit(version).cast("long"))
         .write.mode("append")
         .partitionBy("version")
         .parquet(path)
     )
+    _drop_versions(spark, path, version - max(1, keep))
+
+
+def _drop_versions(spark: SparkSession, path: str, last: int) -> None:
+    """Remove the folders of the versions up to ``last``."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in files.listStatus(folder):
+        name = status.getPath().getName()
+        if name.startswith("version=") and int(name.removeprefix("version=")) <= last:
+            files.delete(status.getPath(), True)
 
 
 def merged(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -67,21 +89,29 @@ def upsert_summaries(new: DataFrame, path: str) -> None:
 
 
 def load_summaries_json(spark: SparkSession, path: str) -> DataFrame:
-    """One JSON object ``{category_key: text}``; a missing file is an empty table."""
+    """One JSON object ``{category_key: text}``; a missing file is an empty table, a broken one an error."""
     try:
         text = spark.read.text(path, wholetext=True)
     except AnalysisException as error:
         if path_is_missing(error):
             return spark.createDataFrame([], SCHEMA)
         raise
-    entries = F.from_json("value", "map<string,string>")
+    entries = F.from_json("value", "map<string,string>", {"mode": "FAILFAST"})
     return text.select(F.explode(entries).alias(KEY, SUMMARY))
 
 
-def save_summaries_json(summaries: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """The table as one JSON object. That is a single value, so a large table is refused."""
-    summaries, rows = small_side(summaries.select(KEY, SUMMARY))
-    if rows is None:
+def save_summaries_json(
+    summaries: DataFrame,
+    path: str,
+    mode: str = "overwrite",
+    max_rows: int = JSON_ROWS,
+    max_bytes: int = JSON_BYTES,
+) -> None:
+    """The table as one JSON object. That is a single value in one task, so a larger table is refused."""
+    summaries = summaries.select(KEY, SUMMARY)
+    length = F.coalesce(F.octet_length(KEY), F.lit(0)) + F.coalesce(F.octet_length(SUMMARY), F.lit(0))
+    size = summaries.agg(F.count(F.lit(1)).alias("rows"), F.sum(length).alias("bytes")).first()
+    if size["rows"] > max_rows or (size["bytes"] or 0) > max_bytes:
         raise ValueError("too many summaries for one JSON object; use save_summaries")
     entry = F.struct(KEY, SUMMARY)
     as_object = F.to_json(F.map_from_entries(F.sort_array(F.collect_list(entry))))

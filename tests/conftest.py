@@ -31,11 +31,12 @@ def review_csv():
 def ranked_reviews(spark):
     """Two categories; two products of the first tie on the number of reviews."""
     ratings = [
-        ("Kitchen", "Kettle", [5, 5, 4]),
-        ("Kitchen", "Toaster", [5, 4]),
-        ("Kitchen", "Blunt Knife", [1, 2]),
-        ("Garden", "Spade", [5]),
-        ("Garden", "Hose", [3]),
+        ("Office", "Lamp", [3, 2, 4]),
+        ("Bike", "Pump", [1]),
+        ("Bike", "Lock", [5, 5]),
+        ("Bike", "Helmet", [4, 4, 3, 5]),
+        ("Office", "Chair", [2]),
+        ("Bike", "Bell", [2, 3]),
     ]
     rows = [(c, n, float(r)) for c, n, stars in ratings for r in stars]
     return spark.createDataFrame(rows, "meta_category string, name string, `reviews.rating` double")

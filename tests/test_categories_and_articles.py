@@ -77,6 +77,22 @@ def test_mapping_must_be_unique(spark, raw):
         categories.join_mapping(raw, twice)
 
 
+def test_mapping_must_be_unique_above_the_broadcast_bound(spark, raw, monkeypatch):
+    monkeypatch.setattr(categories, "small_side", lambda df: bounded.small_side(df, max_rows=1))
+    rows_ = [("a", "x"), ("b", "x"), ("b", "y"), ("c", "z")]
+    with pytest.raises(ValueError, match="more than once: b"):
+        categories.join_mapping(raw, spark.createDataFrame(rows_, "categories string, meta_category string"))
+
+
+def test_options_without_any_rule(spark):
+    raw = spark.createDataFrame([("Dog toys",), (None,)], "categories string")
+    found = categories.classify_categories(raw, options=["Toys", "Garden"])
+    assert [r["meta_category"] for r in found.collect()] == [None, None]
+    some = categories.classify_categories(raw, options=["Pet Supplies"]).collect()
+    straight = categories.with_meta_category(raw, options=["Pet Supplies"]).collect()
+    assert [r["meta_category"] for r in some] == [r["meta_category"] for r in straight] == ["Pet Supplies", None]
+
+
 def test_model_hook_sees_distinct_strings_and_its_answers_are_kept(spark, raw):
     calls = spark.sparkContext.accumulator(0)
 
@@ -234,7 +250,7 @@ def test_writing_hook_gets_the_prompt(reviews):
         return lambda prompt: prompt.upper()
 
     made = dict(rows(articles.generate_category_blogs(reviews, load_model=load, n_top=2)))
-    assert "PRODUCT 1 - HOT:\n- HOT 0\n- HOT 1\n" in made["toys"]
+    assert "REVIEWS OF HOT (PLACE 1)\n- HOT 0\n- HOT 1\n" in made["toys"]
     assert made["toys"].count("- HOT ") == 30
     inputs = articles.article_inputs(evidence.article_evidence(reviews))
     own = articles.write_articles(inputs, load, calls=2, prompt=F.concat(F.lit("on "), "meta_category"))
@@ -251,6 +267,20 @@ def test_summary_store(spark, tmp_path):
     # Saving replaces, also when the new content comes from the store.
     summaries.save_summaries(summaries.load_summaries(spark, path).where("category_key = 'c'"), path)
     assert rows(summaries.load_summaries(spark, path)) == [("c", "4")]
+    # So does an empty table.
+    summaries.save_summaries(spark.createDataFrame([], schema), path)
+    assert rows(summaries.load_summaries(spark, path)) == []
+    assert len(list((tmp_path / "store").glob("version=*"))) == 2
+
+
+@pytest.mark.parametrize("keys", [["a", "b", "b"], ["a", None]])
+def test_summary_keys_must_be_unique(spark, tmp_path, keys):
+    path = str(tmp_path / "store")
+    schema = "category_key string, summary string"
+    summaries.save_summaries(spark.createDataFrame([("a", "old")], schema), path)
+    with pytest.raises(ValueError, match="have the key"):
+        summaries.upsert_summaries(spark.createDataFrame([(k, "new") for k in keys], schema), path)
+    assert rows(summaries.load_summaries(spark, path)) == [("a", "old")]
 
 
 def test_summaries_as_json(spark, tmp_path):
@@ -262,7 +292,10 @@ def test_summaries_as_json(spark, tmp_path):
     assert rows(summaries.load_summaries_json(spark, str(tmp_path / "none"))) == []
     many = spark.range(60_000).selectExpr("string(id) AS category_key", "'' AS summary")
     with pytest.raises(ValueError, match="too many"):
-        summaries.save_summaries_json(many, path)
+        summaries.save_summaries_json(many, path, max_rows=1000)
+    (tmp_path / "broken.json").write_text('{"a": "1", "b"')
+    with pytest.raises(Exception, match="(?i)malformed|parse"):
+        summaries.load_summaries_json(spark, str(tmp_path / "broken.json")).collect()
     (tmp_path / "one.json").write_text('{\n  "k": "v"\n}')
     assert rows(summaries.load_summaries_json(spark, str(tmp_path / "one.json"))) == [("k", "v")]
 

@@ -17,23 +17,23 @@ def executed(df):
 
 
 def test_top_n(ranked_reviews):
-    top = products.get_top_n(ranked_reviews, "Kitchen")
+    top = products.get_top_n(ranked_reviews, "Bike")
     assert top.columns == ["Product", "Avg Rating", "# Reviews"]
-    assert rows(top) == [("Kettle", 14 / 3, 3), ("Blunt Knife", 1.5, 2), ("Toaster", 4.5, 2)]
-    assert len(rows(products.get_top_n(ranked_reviews, "Garden", n=5))) == 2
-    assert [r[0] for r in rows(products.get_top_n(ranked_reviews, "Kitchen", n=1))] == ["Kettle"]
+    assert rows(top) == [("Helmet", 4.0, 4), ("Bell", 2.5, 2), ("Lock", 5.0, 2)]
+    assert len(rows(products.get_top_n(ranked_reviews, "Office", n=5))) == 2
+    assert [r[0] for r in rows(products.get_top_n(ranked_reviews, "Bike", n=1))] == ["Helmet"]
 
 
 def test_worst(ranked_reviews):
-    worst = products.get_worst(ranked_reviews, "Kitchen")
+    worst = products.get_worst(ranked_reviews, "Bike")
     assert worst.columns == ["Product", "Avg Rating", "# Reviews"]
-    assert rows(worst) == [("Blunt Knife", 1.5, 2)]
-    assert rows(products.get_worst(ranked_reviews, "Garden")) == [("Hose", 3.0, 1)]
+    assert rows(worst) == [("Pump", 1.0, 1)]
+    assert rows(products.get_worst(ranked_reviews, "Office")) == [("Chair", 2.0, 1)]
     assert rows(products.get_worst(ranked_reviews, "Nowhere")) == []
 
 
 def test_top_n_is_planned_as_a_bounded_sort(ranked_reviews):
-    assert "TakeOrderedAndProject" in executed(products.get_top_n(ranked_reviews, "Kitchen"))
+    assert "TakeOrderedAndProject" in executed(products.get_top_n(ranked_reviews, "Bike"))
 
 
 def test_null_names_and_ratings(spark):
@@ -50,19 +50,19 @@ def test_null_names_and_ratings(spark):
 
 def test_all_categories_at_once_agree_with_each_alone(ranked_reviews):
     stats = products.product_stats(ranked_reviews)
-    for category in ("Kitchen", "Garden"):
+    for category in ("Bike", "Office"):
         top = products.top_per_category(stats, 2).where(F.col("meta_category") == category)
         alone = products.get_top_n(ranked_reviews, category, 2)
         assert [r["name"] for r in top.orderBy("rank").collect()] == [r[0] for r in rows(alone)]
     assert sorted(r["name"] for r in products.worst_per_category(stats).collect()) == [
-        "Blunt Knife",
-        "Hose",
+        "Chair",
+        "Pump",
     ]
 
 
 def test_a_product_can_be_top_and_worst(ranked_reviews):
     picked = products.picked_products(products.product_stats(ranked_reviews), 3)
-    roles = sorted((r["role"], r["rank"]) for r in picked.where("name = 'Blunt Knife'").collect())
+    roles = sorted((r["role"], r["rank"]) for r in picked.where("name = 'Chair'").collect())
     assert roles == [("top", 2), ("worst", 1)]
 
 
@@ -91,27 +91,27 @@ def test_first_k_is_exact_on_both_sides_of_the_threshold(spark, threshold):
 
 
 def test_rating_chart_names(ranked_reviews):
-    chart = products.rating_chart(ranked_reviews, "Kitchen", 1)
-    assert rows(chart) == [("Kettle", 14 / 3, 3, "Kettle...")]
+    chart = products.rating_chart(ranked_reviews, "Bike", 1)
+    assert rows(chart) == [("Helmet", 4.0, 4, "Helmet...")]
 
 
 def test_dashboard_tables(spark, ranked_reviews):
     from starloom.operators.labels import assign_sentiment_labels
 
-    stored = spark.createDataFrame([("kitchen", "text")], "category_key string, summary string")
-    page = reports.dashboard(assign_sentiment_labels(ranked_reviews), "Kitchen", stored)
-    assert rows(page["review_count"]) == [(7,)]
-    assert rows(page["sentiment_distribution"]) == [("positive", 5), ("negative", 2)]
+    stored = spark.createDataFrame([("bike", "text")], "category_key string, summary string")
+    page = reports.dashboard(assign_sentiment_labels(ranked_reviews), "Bike", stored)
+    assert rows(page["review_count"]) == [(9,)]
+    assert rows(page["sentiment_distribution"]) == [("positive", 5), ("negative", 2), ("neutral", 2)]
     assert page["sentiment_distribution"].columns == ["Sentiment", "Count"]
-    assert rows(page["summary"]) == [("Kitchen", "kitchen", "text")]
+    assert rows(page["summary"]) == [("Bike", "bike", "text")]
     assert len(rows(page["top_products"])) == 3 and len(rows(page["worst_product"])) == 1
-    assert sorted(rows(reports.category_sizes(ranked_reviews))) == [("Garden", 2), ("Kitchen", 7)]
+    assert sorted(rows(reports.category_sizes(ranked_reviews))) == [("Bike", 9), ("Office", 4)]
 
 
 def test_category_filter_reaches_the_scan(spark, tmp_path, ranked_reviews):
     ranked_reviews.write.parquet(str(tmp_path / "t"))
-    plan = executed(products.get_worst(spark.read.parquet(str(tmp_path / "t")), "Garden"))
-    assert "EqualTo(meta_category,Garden)" in plan
+    plan = executed(products.get_worst(spark.read.parquet(str(tmp_path / "t")), "Office"))
+    assert "EqualTo(meta_category,Office)" in plan
 
 
 @pytest.fixture(scope="module")
@@ -175,14 +175,31 @@ def test_classification_report_by_hand(spark):
     assert found["negative"] == pytest.approx((3 / 5, 3 / 4, 2 / 3, 4))
     # Never predicted: no precision to divide, so zero.
     assert found["neutral"] == (0.0, 0.0, 0.0, 2)
-    assert found["positive"] == pytest.approx((4 / 5, 1.0, 8 / 9, 4))
-    assert found["accuracy"] == (None, None, pytest.approx(0.7), 10)
-    macro = ((3 / 5 + 4 / 5) / 3, (3 / 4 + 1) / 3, (2 / 3 + 8 / 9) / 3)
-    assert found["macro avg"] == pytest.approx((*macro, 10))
-    weighted = ((12 / 5 + 16 / 5) / 10, 0.7, (8 / 3 + 32 / 9) / 10)
-    assert found["weighted avg"] == pytest.approx((*weighted, 10))
+    # The positive row without a prediction is a miss.
+    assert found["positive"] == pytest.approx((4 / 5, 4 / 5, 4 / 5, 5))
+    assert found["accuracy"] == (None, None, pytest.approx(7 / 11), 11)
+    macro = ((3 / 5 + 4 / 5) / 3, (3 / 4 + 4 / 5) / 3, (2 / 3 + 4 / 5) / 3)
+    assert found["macro avg"] == pytest.approx((*macro, 11))
+    weighted = ((12 / 5 + 4) / 11, 7 / 11, (8 / 3 + 4) / 11)
+    assert found["weighted avg"] == pytest.approx((*weighted, 11))
+    assert set(found) == {"negative", "neutral", "positive", "accuracy", "macro avg", "weighted avg"}
     matrix = {r["actual"]: tuple(r)[1:] for r in metrics.confusion_matrix(df).collect()}
-    assert matrix == {"negative": (3, 0, 1), "neutral": (2, 0, 0), "positive": (0, 0, 4)}
+    assert matrix == {
+        "negative": (3, 0, 1, 0),
+        "neutral": (2, 0, 0, 0),
+        "positive": (0, 0, 4, 1),
+        "other": (0, 0, 0, 0),
+    }
+
+
+def test_labels_off_the_list_are_counted_or_refused(spark):
+    pairs = [("a", "a"), ("a", "c"), ("c", "a"), ("b", None), (None, "a")]
+    df = spark.createDataFrame(pairs, "rating_sentiment string, predicted_sentiment string")
+    found = metrics.confusion_matrix(df, labels=["a", "b"], others="rest")
+    matrix = {r["actual"]: tuple(r)[1:] for r in found.collect()}
+    assert matrix == {"a": (1, 0, 1), "b": (0, 0, 1), "rest": (1, 0, 0)}
+    with pytest.raises(Exception, match="not on the list"):
+        metrics.confusion_matrix(df, labels=["a", "b"], others=None).collect()
 
 
 def test_report_agrees_with_spark_ml(spark):
@@ -208,7 +225,12 @@ def test_report_has_classes_that_are_only_predicted(spark):
     df, found = report(spark, [("negative", "neutral")])
     assert found["neutral"] == (0.0, 0.0, 0.0, 0)
     matrix = {r["actual"]: tuple(r)[1:] for r in metrics.confusion_matrix(df).collect()}
-    assert matrix == {"negative": (0, 1, 0), "neutral": (0, 0, 0), "positive": (0, 0, 0)}
+    assert matrix == {
+        "negative": (0, 1, 0, 0),
+        "neutral": (0, 0, 0, 0),
+        "positive": (0, 0, 0, 0),
+        "other": (0, 0, 0, 0),
+    }
 
 
 def evaluate(spark, expression, value, kind):
@@ -218,11 +240,11 @@ def evaluate(spark, expression, value, kind):
 @pytest.mark.parametrize(
     "label, key",
     [
-        ("Health & Beauty", "health_beauty"),
-        ("Foo&Bar", "foo_bar"),
-        ("Pet Supplies", "pet_supplies"),
-        ("ELECTRONICS", "electronics"),
-        ("Tablets & E-readers", "tablets_e-readers"),
+        ("Garden & Patio", "garden_patio"),
+        ("Salt&Pepper", "salt_pepper"),
+        ("Car  Parts", "car__parts"),
+        ("TOOLS", "tools"),
+        ("Wi-Fi & Cables", "wi-fi_cables"),
     ],
 )
 def test_category_key(spark, label, key):
