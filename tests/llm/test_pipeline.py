@@ -1,0 +1,116 @@
+"""Each stage of the pipeline on its own input, against plain versions on a small table."""
+
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline as cp
+from starloom.llm.queries import op10_factorisation_machine
+from starloom.llm.words import table
+from starloom.session import written_once
+from tests.llm.test_packing import check_packing
+from tests.llm.test_phrase_index import plain
+from tests.llm.test_simhash import plain_components, plain_fingerprint
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    """Input and output of each stage."""
+    docs, found = table(spark, SF, "documents"), {}
+    for name, stage in cp.STAGES:
+        out = written_once(stage(spark, docs, SF), "test-stage")
+        found[name] = ([r.asDict() for r in docs.collect()], [r.asDict() for r in out.collect()])
+        docs = out
+    return found
+
+
+def ids(rows):
+    return sorted(r["doc_id"] for r in rows)
+
+
+def unchanged(before, after):
+    texts = {r["doc_id"]: r for r in before}
+    return all(texts[r["doc_id"]] == r for r in after)
+
+
+def test_order_and_columns(stages):
+    assert [name for name, _ in cp.STAGES] == list(stages)
+    columns = ["doc_id", "text", "lang", "source", "n_chars"]
+    for name in list(stages)[:-1]:
+        assert all(list(r) == columns for r in stages[name][1])
+
+
+def test_quality_stage_drops_what_the_query_rejects(spark, stages):
+    before, after = stages["quality classifier"]
+    predicted = {r.doc_id: r.predicted for r in op10_factorisation_machine(spark, SF).collect()}
+    assert ids(after) == sorted(r["doc_id"] for r in before if predicted[r["doc_id"]])
+    assert unchanged(before, after) and len(after) > 0.7 * len(before)
+
+
+def test_one_document_of_each_group_stays(stages):
+    before, after = stages["near-duplicates"]
+    fps = {r["doc_id"]: plain_fingerprint(r["text"], cp.SHINGLE) for r in before}
+    label = plain_components(fps.values())
+    groups = defaultdict(list)
+    for i, fp in fps.items():
+        groups[label[fp]].append(i)
+    assert ids(after) == sorted(min(g) for g in groups.values())
+    assert unchanged(before, after)
+
+
+def test_contaminated_documents_go(spark, stages):
+    before, after = stages["decontamination"]
+    items = [(r.item_id, r.text) for r in table(spark, SF, "benchmark").collect()]
+    assert ids(after) == sorted(r["doc_id"] for r in before if not plain(r["text"], items, 13)[3])
+    assert unchanged(before, after)
+
+
+def test_personal_data_stage_keeps_all_documents(stages):
+    before, after = stages["personal data"]
+    assert ids(before) == ids(after)
+    texts = {r["doc_id"]: r["text"] for r in before}
+    assert all(r["n_chars"] == len(r["text"]) for r in after)
+    assert any(texts[r["doc_id"]] != r["text"] for r in after)
+
+
+def test_packing_stage_holds_all_documents(stages):
+    from types import SimpleNamespace
+
+    before, after = stages["packing"]
+    rows = [SimpleNamespace(**r) for r in after]
+    n = check_packing(rows, [(r["doc_id"], r["text"]) for r in before])
+    assert n == -(-sum(r.length for r in rows) // 4096)
+
+
+def test_run_is_the_stages_in_a_row(spark, stages):
+    rows = cp.run(spark, SF).collect()
+    key = lambda r: (r["doc_id"], r["piece"], r["ids_crc32"])
+    assert sorted(map(key, (r.asDict() for r in rows))) == sorted(map(key, stages["packing"][1]))
+
+
+def test_stages_take_odd_rows(spark, odd):
+    for name, stage in cp.STAGES[1:]:
+        out = stage(spark, odd, SF)
+        if name != "packing":
+            assert out.columns == odd.columns
+        assert out.count() > 0
+    kept = cp.near_duplicates(spark, odd, SF).select("doc_id").collect()
+    # Rows of one id stay together; the texts of 2 and of the rows without an id are copies of those of 1 and 3.
+    assert sorted(r.doc_id for r in kept) == [1, 1, 3, 6, 7, 8]
+
+
+def test_stages_take_empty_tables(spark, empty):
+    for _, stage in cp.STAGES:
+        assert stage(spark, empty, SF).count() == 0
+
+
+def test_dropped_rows_beyond_the_broadcast_bound(spark, monkeypatch):
+    monkeypatch.setattr(cp, "BROADCAST_ROWS", 0)
+    docs = spark.createDataFrame([(1,), (2,), (None,), (3,)], "doc_id long")
+    gone = spark.createDataFrame([(2,), (None,)], "doc_id long")
+    assert sorted(r.doc_id for r in cp._without(docs, gone, F.col("doc_id")).collect()) == [1, 3]
+
+
