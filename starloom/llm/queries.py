@@ -107,4 +107,31 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    words = """list_filter(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '')"""
+    return {
+        "op9_positional_index": f"""WITH
+            items AS (SELECT item_id, {words} AS w FROM benchmark),
+            sized AS (SELECT item_id, w, least(13, len(w)) AS k FROM items WHERE len(w) > 0),
+            windows AS (
+              SELECT DISTINCT item_id, k, array_to_string(w[s : s + k - 1], ' ') AS phrase
+              FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS s FROM sized)),
+            said AS (SELECT doc_id, {words} AS w FROM documents),
+            places AS (
+              SELECT doc_id, k, s, array_to_string(w[s : s + k - 1], ' ') AS phrase
+              FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS s
+                    FROM said CROSS JOIN (SELECT DISTINCT k FROM sized))),
+            matches AS (SELECT doc_id, s, k, item_id FROM places JOIN windows USING (k, phrase)),
+            hits AS (
+              SELECT doc_id, count(DISTINCT place) AS n_hit
+              FROM (SELECT doc_id, unnest(range(s, s + k)) AS place FROM matches) GROUP BY doc_id),
+            listed AS (
+              SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+              FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM matches)
+              WHERE item_id IS NOT NULL GROUP BY doc_id)
+            SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+                   coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+                   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+            FROM said LEFT JOIN hits USING (doc_id) LEFT JOIN listed USING (doc_id)""",
+    }
