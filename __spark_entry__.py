@@ -238,6 +238,17 @@ def balanced_sample_1206(spark: SparkSession, sf: str) -> DataFrame:
     return sample.select("review_id", "name", "rating_sentiment")
 
 
+def balanced_sample_null_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """Sizes of a sample from a table of which a third has no id, and whether it holds its share of those."""
+    linenumber = F.split("review_id", "-")[1].cast("int")
+    some = _labelled(spark, sf).withColumn("line", F.col("review_id"))
+    some = some.withColumn("review_id", F.when(linenumber % 3 != 0, F.col("review_id")))
+    found = sampling.balance_classes(some).groupBy("rating_sentiment").agg(
+        F.count(F.lit(1)).alias("n"), F.avg(F.col("review_id").isNull().cast("int")).alias("share")
+    )
+    return found.select("rating_sentiment", "n", F.col("share").between(0.2, 0.4).alias("share_without_id"))
+
+
 def hash_split(spark: SparkSession, sf: str) -> DataFrame:
     part = F.when(sampling.in_test_split(0.3), "test").otherwise("train")
     return views.reviews(spark, sf).select("review_id", part.alias("part"))
@@ -316,6 +327,17 @@ def category_mapping_own_options(spark: SparkSession, sf: str) -> DataFrame:
     return some.join(none.withColumnRenamed("meta_category", "without_rule"), "categories")
 
 
+def category_mapping_hook(spark: SparkSession, sf: str) -> DataFrame:
+    """Answers of a model that tells the length of its question; each distinct string is asked once."""
+
+    def load():
+        return lambda questions: [f" option {len(question) % 3}\n" for question in questions]
+
+    raw = categories.distinct_categories(views.reviews(spark, sf))
+    template = "Which of {options} is '{cat}'? Answer with one name."
+    return categories.classify_categories(raw, VIEW_OPTIONS, load_model=load, template=template)
+
+
 def mapping_audit(spark: SparkSession, sf: str) -> DataFrame:
     return categories.mapping_audit(_mapped(spark, sf), AUDIT_OPTIONS)
 
@@ -380,6 +402,16 @@ def article_text(spark: SparkSession, sf: str) -> DataFrame:
     return _articles(spark, sf)
 
 
+def article_text_hook(spark: SparkSession, sf: str) -> DataFrame:
+    """Articles of a model that tells the length of what it was asked."""
+
+    def load():
+        return lambda prompt: f"{len(prompt)} characters"
+
+    inputs = articles.article_inputs(_evidence(spark, sf), complaints=3)
+    return articles.write_articles(inputs, load_model=load)
+
+
 def summaries_upsert(spark: SparkSession, sf: str) -> DataFrame:
     """A stored summary per language is replaced by its article for some languages."""
     path = scratch_path(spark, "summaries")
@@ -438,6 +470,18 @@ def baseline_sentiment_wordlist(spark: SparkSession, sf: str) -> DataFrame:
     return scored.select("review_id", "predicted_sentiment")
 
 
+def baseline_sentiment_hook(spark: SparkSession, sf: str) -> DataFrame:
+    """Labels of a model that goes by the length of the text."""
+
+    def load():
+        import numpy as np
+
+        return lambda texts: np.array([f"LABEL_{len(text) % 3}" for text in texts])
+
+    scored = sentiment.baseline_sentiment(views.text_reviews(spark, sf), load_model=load)
+    return scored.select("review_id", "predicted_sentiment")
+
+
 def argmax_scores(spark: SparkSession, sf: str) -> DataFrame:
     vectors = views.table(spark, sf, "embeddings")
     return vectors.select("vec_id", fn.argmax("embedding").alias("best"))
@@ -472,6 +516,45 @@ def reloaded_model_predictions(spark: SparkSession, sf: str) -> DataFrame:
     return scored.select("review_id", "label", "predicted_sentiment")
 
 
+def reloaded_model_agreement(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows scored by the fitted and by the reloaded model, and how many of them differ."""
+    path = scratch_path(spark, "model-agreement")
+    fitted, _ = _trained(spark, sf, path)
+    texts = views.labelled_texts(spark, sf)
+    one, two = (
+        text_model.predict_sentiment(model, texts, classes=["bad", "good"]).select(
+            "review_id", F.col("predicted_sentiment").alias(name)
+        )
+        for name, model in (("fitted", fitted), ("reloaded", text_model.load_model(path)))
+    )
+    differs = ~F.col("fitted").eqNullSafe(F.col("reloaded"))
+    return one.join(two, "review_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(differs).alias("n_different")
+    )
+
+
+def kmeans_facts(spark: SparkSession, sf: str) -> DataFrame:
+    """For each number of clusters: rows assigned, and rows for which another centre is nearer."""
+    vectors = views.table(spark, sf, "embeddings")
+    found = None
+    for k in (2, 4, 6):
+        model = clusters.fit_clusters(vectors, k)
+        centres = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in model.clusterCenters()])
+        distances = F.transform(
+            centres,
+            lambda c: F.aggregate(
+                F.zip_with(c, "embedding", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, d: s + d
+            ),
+        )
+        # A tie up to rounding is no nearer centre.
+        off = F.element_at(distances, F.col("cluster") + 1) > F.array_min(distances) * (1 + 1e-9) + 1e-9
+        facts = clusters.assign_clusters(model, vectors).agg(
+            F.lit(k).alias("k"), F.count("cluster").alias("n_rows"), F.count_if(off).alias("n_not_nearest")
+        )
+        found = facts if found is None else found.unionByName(facts)
+    return found
+
+
 def kmeans_sweep(spark: SparkSession, sf: str) -> DataFrame:
     return clusters.cluster_sweep(views.table(spark, sf, "embeddings"), [2, 4, 6, 8])[1]
 
@@ -493,6 +576,32 @@ def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return back.withColumns({"text": F.md5("text"), "n": F.length("text")})
 
 
+def csv_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """Places of rows in several CSV files, read in tasks of two sizes."""
+    path = scratch_path(spark, "csv-ids")
+    ordered = views.table(spark, sf, "documents").select("doc_id", "n_chars").repartitionByRange(4, "doc_id")
+    review_files.save_csv(ordered.sortWithinPartitions("doc_id"), path)
+    setting, found = "spark.sql.files.maxPartitionBytes", None
+    usual = spark.conf.get(setting)
+    for size in ("128m", "2k"):
+        spark.conf.set(setting, size)
+        try:
+            rows = review_files.load_reviews(spark, path, {"doc_id": "bigint"}, multi_line=False)
+            rows = written_once(rows.select("doc_id", "review_id"), "csv-places").withColumn("size", F.lit(size))
+        finally:
+            spark.conf.set(setting, usual)
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
+def csv_evidence(spark: SparkSession, sf: str) -> DataFrame:
+    """The evidence of reviews that were saved as CSV and read again."""
+    path = scratch_path(spark, "csv-evidence")
+    review_files.save_csv(views.text_reviews(spark, sf), path)
+    found = evidence.article_evidence(review_files.load_reviews(spark, path), 3, 30)
+    return found.withColumns({"text": F.md5("text"), "rating": F.col("rating").cast("int")})
+
+
 def category_table(spark: SparkSession, sf: str) -> DataFrame:
     """Reviews written by category, of which one category is read back."""
     path = scratch_path(spark, "by-category")
@@ -534,6 +643,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         preview,
         balanced_sample_default,
         balanced_sample_1206,
+        balanced_sample_null_ids,
         hash_split,
         concat_tables,
         classification_report,
@@ -544,6 +654,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         category_mapping_own_options,
         reviews_with_meta,
         reviews_with_meta_rules,
+        category_mapping_hook,
         mapping_audit,
         mapping_summary,
         category_prompts,
@@ -553,6 +664,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         review_blocks,
         article_prompt,
         article_text,
+        article_text_hook,
         summaries_upsert,
         summaries_emptied,
         summaries_json,
@@ -560,14 +672,19 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         stripped_texts,
         truncate_tokens,
         baseline_sentiment_wordlist,
+        baseline_sentiment_hook,
         argmax_scores,
         text_tokens,
         train_report,
         reloaded_model_predictions,
+        reloaded_model_agreement,
         kmeans_sweep,
         kmeans_sizes,
+        kmeans_facts,
         csv_roundtrip,
         category_table,
+        csv_ids,
+        csv_evidence,
     ]
     registered = {query.__name__: query for query in found}
     return registered | llm.queries() | {"pipeline": corpus_pipeline.run} if llm else registered
@@ -704,6 +821,14 @@ def oracle_sql() -> dict[str, str]:
     prompt_options = ", ".join(f"''{o}''" for o in VIEW_OPTIONS)
     tokens = ", ".join(f"'{t}'" for t in NULL_TOKENS)
     scores = "precision, recall, f1_score"
+    prompts = """prompts AS (
+              SELECT lower(meta_category) AS category_key,
+                'Write a short blog post about the product category ' || meta_category
+                || e'.\\n\\nCompare the products with the most reviews:\\n' || top_table
+                || e'\\n\\nTell what their reviewers say and complain about most:\\n\\n' || top_reviews
+                || e'\\n\\nAlso warn of the product with the lowest rating, and say why:\\n'
+                || worst_table || e'\\n\\n' || worst_reviews AS prompt
+              FROM inputs)"""
     report = f"""
             classes AS (
               SELECT label, CAST(sum(hits) AS BIGINT) AS hits, CAST(sum(guessed) AS BIGINT) AS guessed,
@@ -826,6 +951,11 @@ def oracle_sql() -> dict[str, str]:
             "(SELECT min(n) FROM (SELECT count(*) AS n FROM placed GROUP BY rating_sentiment))"
         ),
         "balanced_sample_1206": _sample_sql("1206"),
+        "balanced_sample_null_ids": f"""WITH {REVIEWS}, {LABELLED},
+            sizes AS (SELECT rating_sentiment, count(*) AS size FROM labelled
+                      WHERE rating_sentiment IS NOT NULL GROUP BY ALL)
+            SELECT rating_sentiment, (SELECT min(size) FROM sizes) AS n, true AS share_without_id
+            FROM sizes""",
         "hash_split": f"""WITH {REVIEWS}
             SELECT review_id,
                    CASE WHEN CAST('0x' || left(md5('split|42|' || review_id), 8) AS BIGINT)
@@ -889,14 +1019,26 @@ def oracle_sql() -> dict[str, str]:
             SELECT meta_category, role, rank, name, CAST(count(*) AS INTEGER) AS n_texts,
                    md5(string_agg(text, chr(10) ORDER BY pos)) AS texts_md5
             FROM evidence GROUP BY ALL""",
-        "article_prompt": f"""WITH {ARTICLE_CTES}, prompts AS (
-              SELECT lower(meta_category) AS category_key,
-                'Write a short blog post about the product category ' || meta_category
-                || e'.\\n\\nCompare the products with the most reviews:\\n' || top_table
-                || e'\\n\\nTell what their reviewers say and complain about most:\\n\\n' || top_reviews
-                || e'\\n\\nAlso warn of the product with the lowest rating, and say why:\\n'
-                || worst_table || e'\\n\\n' || worst_reviews AS prompt
-              FROM inputs)
+        "category_mapping_hook": f"""WITH {REVIEWS}, asked AS (
+              SELECT DISTINCT categories, 'Which of {prompt_options} is ''' || categories
+                || '''? Answer with one name.' AS prompt FROM reviews)
+            SELECT categories, 'option ' || length(prompt) % 3 AS meta_category FROM asked""",
+        "baseline_sentiment_hook": """
+            SELECT doc_id AS review_id, CASE length(coalesce(text, '')) % 3 WHEN 0 THEN 'negative'
+              WHEN 1 THEN 'neutral' ELSE 'positive' END AS predicted_sentiment FROM documents""",
+        "reloaded_model_agreement": """
+            SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_different
+            FROM documents JOIN labels USING (doc_id)""",
+        "kmeans_facts": """
+            SELECT CAST(k AS INTEGER) AS k, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_not_nearest
+            FROM embeddings, (VALUES (2), (4), (6)) AS ks(k) GROUP BY k""",
+        "csv_ids": """
+            SELECT doc_id, row_number() OVER (PARTITION BY size ORDER BY doc_id) - 1 AS review_id, size
+            FROM documents, (VALUES ('128m'), ('2k')) AS sizes(size)""",
+        "csv_evidence": f"WITH {EVIDENCE_CTES} SELECT * REPLACE (md5(text) AS text) FROM evidence",
+        "article_text_hook": f"""WITH {ARTICLE_CTES}, {prompts}
+            SELECT category_key, length(prompt) || ' characters' AS summary FROM prompts""",
+        "article_prompt": f"""WITH {ARTICLE_CTES}, {prompts}
             SELECT category_key, CAST(length(prompt) AS INTEGER) AS n, md5(prompt) AS md5
             FROM prompts""",
         "article_text": f"WITH {ARTICLE_CTES} SELECT * FROM articles",

@@ -5,24 +5,48 @@ from starloom.operators.categories import (
     distinct_categories,
     join_mapping,
     mapping_audit,
+    mapping_summary,
 )
 from starloom.operators.cleaning import clean_columns
-from starloom.operators.evidence import article_evidence
+from starloom.operators.clusters import assign_clusters, cluster_sweep
+from starloom.operators.evidence import article_evidence, reviews_of_products
 from starloom.operators.labels import assign_sentiment_labels, encode_labels
 from starloom.operators.metrics import classification_report, confusion_matrix
-from starloom.operators.products import get_top_n, get_worst, product_stats, rating_chart
-from starloom.operators.profile import class_shares, table_profile, value_counts
+from starloom.operators.products import (
+    get_top_n,
+    get_worst,
+    picked_products,
+    product_means,
+    product_stats,
+    rating_chart,
+    top_per_category,
+    worst_per_category,
+)
+from starloom.operators.profile import (
+    class_shares,
+    distinct_counts,
+    null_counts,
+    table_profile,
+    value_counts,
+)
 from starloom.operators.sampling import balance_classes, train_test_split
 from starloom.operators.sentiment import baseline_sentiment
-from starloom.operators.text_model import predict_sentiment, train_sentiment
+from starloom.operators.text_model import load_model, predict_sentiment, train_sentiment
 from starloom.plans.articles import generate_category_blogs
 from starloom.plans.reports import dashboard
 from starloom.session import build_session
 from starloom.sources.reviews import load_reviews, load_table, save_csv, save_table
-from starloom.sources.summaries import load_summaries, save_summaries, upsert_summaries
+from starloom.sources.summaries import (
+    load_summaries,
+    load_summaries_json,
+    save_summaries,
+    save_summaries_json,
+    upsert_summaries,
+)
 
 __all__ = [
     "article_evidence",
+    "assign_clusters",
     "assign_sentiment_labels",
     "balance_classes",
     "baseline_sentiment",
@@ -31,27 +55,39 @@ __all__ = [
     "classification_report",
     "classify_categories",
     "clean_columns",
+    "cluster_sweep",
     "confusion_matrix",
     "dashboard",
     "distinct_categories",
+    "distinct_counts",
     "encode_labels",
     "generate_category_blogs",
     "get_top_n",
     "get_worst",
     "join_mapping",
+    "load_model",
     "load_reviews",
     "load_summaries",
+    "load_summaries_json",
     "load_table",
     "mapping_audit",
+    "mapping_summary",
+    "null_counts",
+    "picked_products",
     "predict_sentiment",
+    "product_means",
     "product_stats",
     "rating_chart",
+    "reviews_of_products",
     "save_csv",
     "save_summaries",
+    "save_summaries_json",
     "save_table",
     "table_profile",
+    "top_per_category",
     "train_sentiment",
     "train_test_split",
     "upsert_summaries",
     "value_counts",
+    "worst_per_category",
 ]

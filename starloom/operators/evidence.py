@@ -35,8 +35,14 @@ def _first_reviews(
     the order of the files, most of it is not even read: no chosen id is above their maximum.
     """
     by_id = [named(id_col).asc()]
-    of_products = only_listed(reviews.select(NAME, named(id_col)), NAME, listed, rows)
-    ids = first_k(of_products, [NAME], by_id, k, "pos")
+    if rows is None:
+        # A join of two plain tables, in which the partition of a hot name can be split; ranking follows
+        # in slices of a name.
+        of_products = reviews.select(NAME, named(id_col)).join(listed.select(named(NAME)), NAME, "left_semi")
+    else:
+        reviews = only_listed(reviews, NAME, listed, rows)
+        of_products = reviews.select(NAME, named(id_col))
+    ids = first_k(of_products, [NAME], by_id, k, "pos", sliced=True)
     wanted, chosen = small_side(
         ids.select(named(NAME).alias("_name"), named(id_col).alias("_id")).distinct()
     )
@@ -45,7 +51,7 @@ def _first_reviews(
         in_reach = named(id_col).isNull()
         if present:
             in_reach = in_reach | (named(id_col) <= F.lit(max(present)))
-        reviews = only_listed(reviews, NAME, listed, rows).where(in_reach)
+        reviews = reviews.where(in_reach)
     # An id that more than one review carries can bring in too many rows: number them again.
     same = (named(NAME) == F.col("_name")) & named(id_col).eqNullSafe(F.col("_id"))
     return first_k(reviews.join(wanted, same, "left_semi"), [NAME], by_id, k, "pos")
@@ -75,7 +81,10 @@ def article_evidence(
         named(text_col).alias("text"),
     )
     if max_reviews_per_product is None:
-        used = only_listed(texts, NAME, picks, rows).withColumn("pos", F.lit(None).cast("int"))
+        # The join with the picks below filters by name; a semi join before it would keep it from
+        # splitting the partition of a hot name.
+        used = texts if rows is None else only_listed(texts, NAME, picks, rows)
+        used = used.withColumn("pos", F.lit(None).cast("int"))
     else:
         used = _first_reviews(texts, picks, rows, max_reviews_per_product, REVIEW_ID)
     return used.join(picks, NAME).select(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from starloom.fixed_values import REVIEW_ID, SENTIMENT
 from starloom.functions.columns import named, seeded_hash
@@ -42,9 +42,10 @@ def balance_classes(
     labelled = df.where(named(label_col).isNotNull())
     if n_per_class == 0:
         return labelled.limit(0)
-    hashed = seeded_hash("sample", seed, id_col)
+    identity = row_identity(labelled, id_col)
+    hashed = seeded_hash("sample", seed, identity)
     keyed = labelled.select(
-        named(label_col).alias("_label"), named(id_col).alias("_id"), hashed.alias("_hash")
+        named(label_col).alias("_label"), identity.alias("_id"), hashed.alias("_hash")
     )
     cuts = _cuts(keyed, n_per_class, edge_rows)
     if cuts.isEmpty():
@@ -54,7 +55,7 @@ def balance_classes(
     marked = labelled.withColumns({"_label": named(label_col), "_hash": hashed}).join(
         cuts, "_label"
     )
-    here, last = F.struct("_hash", named(id_col)), F.struct("_last_hash", "_last_id")
+    here, last = F.struct("_hash", identity), F.struct("_last_hash", "_last_id")
     if cuts.where("_spare > 0").isEmpty():
         return marked.where(F.col("_last_hash").isNull() | (here <= last)).select(*columns)
     # The cut falls between rows with one and the same id.
@@ -62,6 +63,13 @@ def balance_classes(
     return clear.unionByName(_some_copies(marked.where(here == last), df.columns))
 
 
+def row_identity(df: DataFrame, id_col: str = REVIEW_ID) -> Column:
+    """The id as text. A row without one goes by its content, so that such rows spread like any other and
+    only equal rows share a place."""
+    content = [named(f.name) for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    return F.coalesce(named(id_col).cast("string"), F.concat(F.lit("row "), F.hex(F.xxhash64(*content))))
+
+
 def _cuts(keyed: DataFrame, n: int | None, edge_rows: int) -> DataFrame:
     """Hash and id of the last sampled row per class, null for a class that stays whole.
 
@@ -156,7 +164,7 @@ def _some_copies(tied: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def in_test_split(test_size: float, seed: int = 42, id_col: str = REVIEW_ID) -> Column:
+def in_test_split(test_size: float, seed: int = 42, id_col: str | Column = REVIEW_ID) -> Column:
     """Whether a row belongs to the test part: its hash lies in the first ``test_size`` of all."""
     if not 0 <= test_size <= 1:
         raise ValueError("test_size must lie between 0 and 1")
@@ -169,7 +177,7 @@ def train_test_split(
     df: DataFrame, test_size: float = 0.3, seed: int = 42, id_col: str = REVIEW_ID
 ) -> tuple[DataFrame, DataFrame]:
     """Two parts that together are the table; sizes are close to, not exactly, ``test_size``."""
-    in_test = in_test_split(test_size, seed, id_col)
+    in_test = in_test_split(test_size, seed, row_identity(df, id_col))
     return df.where(~in_test), df.where(in_test)
 
 

@@ -6,10 +6,11 @@ import csv
 from collections import Counter
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from starloom.fixed_values import META, NULL_TOKENS, RATING, REVIEW_ID
 from starloom.functions.columns import named
+from starloom.operators.bounded import small_side
 from starloom.operators.cleaning import refuse_collisions
 
 # Quotes inside a field are doubled, and a field may run over several lines.
@@ -29,21 +30,25 @@ def load_reviews(
 
     Columns are found by name, whatever their order, and missing-value tokens become null.
     ``numeric`` gives the types of number columns by lower-case name; text in them that is no number
-    becomes null. ``"infer"`` reads the file once more to find the columns that hold only numbers.
+    becomes null. ``"infer"`` reads the file once more to find the columns that hold only numbers. By
+    default the rating is a number, and so is a ``review_id`` column that holds only whole numbers.
 
     A file with line breaks inside fields has to be read by one task, so convert a large set of
     files to Parquet once (``save_table``) and query that. ``with_id`` adds ``review_id``, the place
-    of the row in the input, unless the file has that column; the conversion stores it for good.
+    of the row in the input, by file name and then by line, unless the file has that column. Rows are
+    counted for it once more.
     """
-    header = _header(spark, path)
+    written, header = _header(spark, path)
     schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
-    # The header of every file is checked against the first one.
+    if written != header:
+        _refuse_other_headers(spark, path)
+    # Where names are unique, Spark holds the header of every file against the first one.
     raw = (
         spark.read.schema(schema)
         .options(**CSV_DIALECT)
         .option("header", True)
         .option("multiLine", multi_line)
-        .option("enforceSchema", False)
+        .option("enforceSchema", written != header)
         .csv(path)
     )
     present = {name: F.when(~named(name).isin(*NULL_TOKENS), named(name)) for name in header}
@@ -51,15 +56,46 @@ def load_reviews(
         types = _number_types(raw, present)
     else:
         types = NUMERIC_COLUMNS if numeric is None else numeric
+    if numeric is None and REVIEW_ID in header:
+        found = _number_types(raw, {REVIEW_ID: present[REVIEW_ID]})
+        if found.get(REVIEW_ID) == "bigint":
+            types = types | found
     cells = []
     for name, cell in present.items():
         wanted = types.get(name.lower())
         cells.append((cell.try_cast(wanted) if wanted else cell).alias(name))
     if with_id and REVIEW_ID not in header:
-        cells.append(F.monotonically_increasing_id().alias(REVIEW_ID))
+        return _with_place(raw, cells)
     return raw.select(*cells)
 
 
+def _with_place(raw: DataFrame, cells: list[Column]) -> DataFrame:
+    """``cells`` and the place of each row in the input, however files are packed into tasks.
+
+    Rows are counted by block of a file; the blocks before it, and the rows before it in its own block,
+    make the place of a row.
+    """
+    at = {
+        "_file": F.col("_metadata.file_path"),
+        "_start": F.col("_metadata.file_block_start"),
+        "_row": F.monotonically_increasing_id(),
+    }
+    placed = [column.alias(name) for name, column in at.items()]
+    blocks = (
+        raw.select(*placed)
+        .groupBy("_file", "_start")
+        .agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    )
+    earlier = Window.orderBy("_file", "_start").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before")
+    # A row for each 128 MB or so of input.
+    offsets, _ = small_side(blocks.select("_file", "_start", "_first", before))
+    place = F.col("_before") + F.col("_row") - F.col("_first")
+    joined = raw.select(*cells, *placed).join(offsets, ["_file", "_start"])
+    names = [name for name in joined.columns if name not in (*at, "_first", "_before")]
+    return joined.select(*map(named, names), place.alias(REVIEW_ID))
+
+
 def _number_types(raw: DataFrame, present: dict[str, Column]) -> dict[str, str]:
     """Whole-number and number columns by lower-case name, from one pass over the text."""
     counts = []
@@ -76,8 +112,18 @@ def _number_types(raw: DataFrame, present: dict[str, Column]) -> dict[str, str]:
     return types
 
 
-def _header(spark: SparkSession, path: str) -> list[str]:
-    """Names of the first line; a repeated name gets a number, one that differs in case is refused."""
+def _refuse_other_headers(spark: SparkSession, path: str) -> None:
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("row")
+    )
+    headers = lines.groupBy("file").agg(F.min_by("value", "row").alias("header"))
+    if headers.select("header").distinct().limit(2).count() > 1:
+        raise ValueError(f"files under {path} have different headers")
+
+
+def _header(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
+    """Names of the first line, and the names of the columns: a repeated name gets a number, one that
+    differs in case is refused."""
     first = spark.read.text(path).limit(1).collect()
     if not first:
         raise ValueError(f"no header in {path}")
@@ -88,7 +134,7 @@ def _header(spark: SparkSession, path: str) -> list[str]:
         unique.append(f"{name}.{seen[name]}" if seen[name] else name)
         seen[name] += 1
     refuse_collisions(unique)
-    return unique
+    return names, unique
 
 
 def save_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:

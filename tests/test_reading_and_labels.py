@@ -64,6 +64,7 @@ def test_repeated_header_is_numbered_and_case_clash_is_refused(spark, tmp_path):
     (tmp_path / "a.csv").write_text("name,name\nx,y\n")
     numbered = files.load_reviews(spark, str(tmp_path / "a.csv"), with_id=False)
     assert numbered.columns == ["name", "name.1"]
+    assert [tuple(r) for r in numbered.collect()] == [("x", "y")]
     (tmp_path / "b.csv").write_text("Name,name\nx,y\n")
     with pytest.raises(ValueError, match="Name, name"):
         files.load_reviews(spark, str(tmp_path / "b.csv"))
@@ -74,6 +75,11 @@ def test_files_with_another_header_are_refused(spark, tmp_path):
     (tmp_path / "b.csv").write_text("reviews.rating,name\n1,x\n")
     with pytest.raises(Exception, match="(?i)header"):
         files.load_reviews(spark, str(tmp_path)).collect()
+    (tmp_path / "same").mkdir()
+    (tmp_path / "same" / "a.csv").write_text("name,name\nx,1\n")
+    (tmp_path / "same" / "b.csv").write_text("name,other\nx,1\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        files.load_reviews(spark, str(tmp_path / "same")).collect()
     (tmp_path / "empty").mkdir()
     (tmp_path / "empty" / "c.csv").write_text("")
     with pytest.raises(ValueError, match="no header"):
@@ -85,6 +91,29 @@ def test_ids_follow_the_input_order(spark, review_csv):
     assert column(rows, "id") == [str(i) for i in range(1, 16)]
 
 
+@pytest.mark.parametrize("partitions", ["1", "7"])
+def test_ids_are_places_however_files_are_packed(spark, tmp_path, partitions):
+    (tmp_path / "a.csv").write_text("name\n" + "".join(f"a{i}\n" for i in range(5)))
+    (tmp_path / "b.csv").write_text("name\n" + "".join(f"b{i} {'x' * 50}\n" for i in range(40)))
+    (tmp_path / "c.csv").write_text("name\n")
+    spark.conf.set("spark.sql.files.minPartitionNum", partitions)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "500")
+    try:
+        found = files.load_reviews(spark, str(tmp_path), multi_line=False).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    places = {r["review_id"]: r["name"].split(" ")[0] for r in found}
+    assert places == dict(enumerate([f"a{i}" for i in range(5)] + [f"b{i}" for i in range(40)]))
+
+
+@pytest.mark.parametrize("ids, kind", [([3, 20, 100], "bigint"), (["3", "b", "c"], "string")])
+def test_stored_ids_keep_their_type(spark, tmp_path, ids, kind):
+    path = str(tmp_path / "out")
+    files.save_csv(spark.createDataFrame([(i,) for i in ids], f"review_id {kind}"), path)
+    assert files.load_reviews(spark, path).dtypes == [("review_id", kind)]
+
+
 def test_csv_folder_reads_back_unchanged(spark, tmp_path):
     texts = [' padded "x" ', "a,b\nc", "\ttab", "back\\slash", "'", "é", "line\r\nend", None]
     df = spark.createDataFrame(list(enumerate(texts)), "n bigint, `reviews.text` string")

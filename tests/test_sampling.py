@@ -87,6 +87,13 @@ def test_rows_without_an_id_take_part(spark):
     assert train.count() + test.count() == 90
 
 
+def test_rows_without_an_id_go_to_both_parts(spark):
+    rows = spark.range(1000).select(F.lit(None).cast("long").alias("review_id"), F.col("id").alias("n"))
+    train, test = sampling.train_test_split(rows)
+    assert train.count() + test.count() == 1000
+    assert 230 < test.count() < 370
+
+
 def test_bad_arguments(spark, uneven):
     with pytest.raises(ValueError, match="negative"):
         sampling.balance_classes(uneven, "label", -1)

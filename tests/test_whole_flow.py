@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 import starloom
 from starloom.fixed_values import META_CATEGORIES
-from starloom.operators import bounded, categories
+from starloom.operators import bounded, categories, evidence
 
 
 def test_csv_to_dashboard(spark, review_csv, tmp_path):
@@ -77,6 +77,39 @@ def test_hot_key_of_a_shuffle_join_is_split(spark, tmp_path, monkeypatch):
     assert len(rows) == 300_000 and {r["meta_category"] for r in rows} == {"m"}
 
 
+def test_hot_product_of_many_picks_is_split(spark, tmp_path, monkeypatch):
+    """Picks too many to broadcast, and one product with a third of the reviews."""
+    hot = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("p"), F.col("id") % 50))
+    rows = spark.range(0, 200_000, 1, 8).select(
+        F.col("id").alias("review_id"),
+        hot.alias("name"),
+        F.concat(F.lit("c"), F.col("id") % 5).alias("meta_category"),
+        (F.col("id") % 5 + 1).cast("double").alias("reviews.rating"),
+        F.concat(F.lit("text "), F.col("id")).alias("reviews.text"),
+    )
+    rows.write.parquet(str(tmp_path / "reviews"))
+    reviews = spark.read.parquet(str(tmp_path / "reviews"))
+    whole = {n: set(evidence.article_evidence(reviews, 3, n).collect()) for n in (4, None)}
+    monkeypatch.setattr(evidence, "small_side", lambda df: bounded.small_side(df, max_rows=1))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        uncapped = evidence.article_evidence(reviews, 3, None)
+        assert set(uncapped.collect()) == whole[None]
+        assert "skew=true" in uncapped._jdf.queryExecution().executedPlan().toString()
+        assert set(evidence.article_evidence(reviews, 3, 4).collect()) == whole[4]
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+
+
 @pytest.mark.parametrize("name", starloom.__all__)
 def test_public_names_are_there(name):
     assert callable(getattr(starloom, name))
