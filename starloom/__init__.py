@@ -34,7 +34,7 @@ from starloom.operators.sentiment import baseline_sentiment
 from starloom.operators.text_model import load_model, predict_sentiment, train_sentiment
 from starloom.plans.articles import generate_category_blogs
 from starloom.plans.reports import dashboard
-from starloom.session import build_session
+from starloom.session import build_session, remove_scratch
 from starloom.sources.reviews import load_reviews, load_table, save_csv, save_table
 from starloom.sources.summaries import (
     load_summaries,
@@ -78,6 +78,7 @@ __all__ = [
     "product_means",
     "product_stats",
     "rating_chart",
+    "remove_scratch",
     "reviews_of_products",
     "save_csv",
     "save_summaries",

@@ -14,6 +14,7 @@ from starloom.fixed_values import ACTUAL, PREDICTED, REVIEW_ID, SENTIMENT, SENTI
 from starloom.functions.columns import look_up, named
 from starloom.operators.metrics import classification_report
 from starloom.operators.sampling import train_test_split
+from starloom.session import written_once
 
 # Working columns of the model, which do not clash with those of a review table.
 INPUT = "_text"
@@ -51,8 +52,9 @@ def train_sentiment(
 ) -> tuple[PipelineModel, DataFrame]:
     """Fit on one part of a labelled table, report on the other.
 
-    The features of the training part are computed once and kept, spilling to disk, for the passes of
-    the optimiser; each of these is one distributed aggregate over them.
+    What the table is made of is computed once and written to the scratch folder. The features of the
+    training part are kept, spilling to disk, for the passes of the optimiser; each of these is one
+    distributed aggregate over them.
     """
     code = {name: i for i, name in enumerate(classes)}
     table = balanced.select(
@@ -61,7 +63,7 @@ def train_sentiment(
         named(label_col).alias(label_col),
         look_up(label_col, code).cast("double").alias(ACTUAL),
     ).where(F.col(ACTUAL).isNotNull())
-    train, test = train_test_split(table, test_size, seed, REVIEW_ID)
+    train, test = train_test_split(written_once(table, "training"), test_size, seed, REVIEW_ID)
 
     features = Pipeline(stages=text_features(num_features)).fit(train)
     rows = features.transform(train).select(ACTUAL, FEATURES)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -52,16 +55,36 @@ def build_session(
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A new path under the folder the cluster shares for checkpoints.
 
-    Only a local session without that setting falls back to a folder of this machine.
+    Only a local session without that setting falls back to a folder of this machine, which is removed
+    when the process ends. ``remove_scratch`` removes the shared one.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    return f"{_application_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def _application_folder(spark: SparkSession) -> str:
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not shared:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "local")):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="starloom-")
-    # One folder per application, so that it can be removed when the application has ended.
-    application = spark.sparkContext.applicationId
-    return f"{shared.rstrip('/')}/starloom/{application}/{purpose}-{uuid.uuid4().hex}"
+        shared = _own_folder()
+    return f"{shared.rstrip('/')}/starloom/{spark.sparkContext.applicationId}"
+
+
+_OWN: list[str] = []
+
+
+def _own_folder() -> str:
+    """One folder for all that this process writes."""
+    if not _OWN:
+        _OWN.append(tempfile.mkdtemp(prefix="starloom-"))
+        atexit.register(shutil.rmtree, _OWN[0], ignore_errors=True)
+    return _OWN[0]
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Remove all scratch tables of this application; results that still read them are lost."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def written_once(df: DataFrame, purpose: str) -> DataFrame:
