@@ -34,6 +34,8 @@ EDGES = [0, 13, 26, 39, 52, 64]
 SEGMENTS = [(low, high - low) for low, high in zip(EDGES, EDGES[1:], strict=False)]
 CELL = 4096
 PAIRS_AT_ONCE = 1 << 20
+# Shared keys that are broadcast, three longs each; more are joined by a shuffle.
+BROADCAST_KEYS = 500_000
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -90,9 +92,14 @@ def links(fps: DataFrame) -> DataFrame:
         entries.groupBy("key")
         .agg(F.sum(F.col("own").cast("long")).alias("owners"), F.count(F.lit(1)).alias("members"))
         .where("owners > 0 AND members > 1")
-        .select("key", F.expr(f"(owners - 1) div {CELL} + 1").alias("down"), F.expr(f"(members - 1) div {CELL} + 1").alias("across"))
+        .select(
+            "key",
+            F.expr(f"(owners - 1) div {CELL} + 1").alias("down"),
+            F.expr(f"(members - 1) div {CELL} + 1").alias("across"),
+        )
     )
-    met = entries.join(written_once(sizes, "ring-key-sizes"), "key")
+    sizes = written_once(sizes, "ring-key-sizes")
+    met = entries.join(F.broadcast(sizes) if sizes.count() <= BROADCAST_KEYS else sizes, "key")
     part = lambda n: F.pmod(F.xxhash64("fp"), F.col(n))
     cells = met.where("own").select(
         "key", part("down").alias("i"), F.explode(F.expr("sequence(0L, across - 1)")).alias("j"), F.lit(True).alias("own"), "fp"
