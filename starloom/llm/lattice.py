@@ -32,7 +32,7 @@ from starloom.session import written_once
 MARK = "▁"
 # A word cannot hold a blank, so this cannot be a word.
 END = " "
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 32 << 20
 SMOOTHING = 0.5
 # Longer words are scored one by one, since few have the same length.
 TOGETHER = 48
