@@ -53,27 +53,33 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     )
 
 
-def text_fingerprints(texts: pa.Array, shingle: int = SHINGLE) -> np.ndarray:
+def shingle_hashes(texts: pa.Array, shingle: int) -> list[np.ndarray]:
+    """The hash of each shingle of each text."""
     trimmed = pc.ascii_trim_whitespace(pc.ascii_lower(filled(texts)))
     lists = pc.ascii_split_whitespace(trimmed)
     sizes = np.asarray(pc.list_value_length(lists)).astype(np.int64)
     sizes[np.asarray(pc.binary_length(trimmed)) == 0] = 0
     lengths = np.asarray(pc.binary_length(lists.flatten()))
     first = lists.offsets.to_numpy()
-    hashes, counts = [], np.zeros(len(texts), np.int64)
+    hashes = []
     for row, text in enumerate(pc.binary_join(lists, " ").cast(pa.binary()).to_pylist()):
         n = int(sizes[row])
         if not n:
-            continue
-        if n <= shingle:
+            found = []
+        elif n <= shingle:
             found = [xxh64_intdigest(text, HASH_SEED)]
         else:
             after = np.cumsum(lengths[first[row] : first[row] + n] + 1)
             begins = np.concatenate([[0], after[: n - shingle]]).tolist()
             ends = (after[shingle - 1 :] - 1).tolist()
             found = [xxh64_intdigest(text[a:b], HASH_SEED) for a, b in zip(begins, ends, strict=True)]
-        counts[row] = len(found)
         hashes.append(np.array(found, np.uint64))
+    return hashes
+
+
+def text_fingerprints(texts: pa.Array, shingle: int = SHINGLE) -> np.ndarray:
+    hashes = shingle_hashes(texts, shingle)
+    counts = np.array([len(h) for h in hashes], np.int64)
     total = np.zeros((len(texts), 64), np.int64)
     if hashes:
         each = np.concatenate(hashes)
