@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from xxhash import xxh64_intdigest
 
 from starloom.llm.components import components
@@ -38,18 +38,20 @@ PAIRS_AT_ONCE = 1 << 20
 BROADCAST_KEYS = 500_000
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp) of each (doc_id, text); the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, row_key: Column | None = None) -> DataFrame:
+    """(doc_id, fp) of each (doc_id, text), and its ``row_key`` where one is given; the fingerprint as a signed long."""
+    carried = ["doc_id"] if row_key is None else ["doc_id", "row_key"]
+    own = [] if row_key is None else [row_key.cast("long").alias("row_key")]
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in chunks(batches, max_bytes=1 << 20):
             found = text_fingerprints(chunk.column("text"), shingle)
             yield pa.RecordBatch.from_arrays(
-                [chunk.column("doc_id"), pa.array(found.view(np.int64))], ["doc_id", "fp"]
+                [*map(chunk.column, carried), pa.array(found.view(np.int64))], [*carried, "fp"]
             )
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        hashed, "doc_id long, fp long"
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *own).mapInArrow(
+        hashed, ", ".join(f"{c} long" for c in [*carried, "fp"])
     )
 
 
@@ -219,7 +221,26 @@ def merge(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, fp, component_id) of each (doc_id, text); the component is its smallest doc_id."""
     hashed = written_once(fingerprints(docs, shingle), "fingerprints")
-    known = written_once(hashed.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
+    named = _first_of_each(hashed.groupBy("fp").agg(F.min("doc_id").alias("first")))
+    return hashed.join(named, "fp").select("doc_id", "fp", F.col("first").alias("component_id"))
+
+
+def keepers(docs: DataFrame, row_key: Column, shingle: int = SHINGLE) -> DataFrame:
+    """(doc_id, row_key, kept) of each (doc_id, text): whether the row is the one that stands for its component.
+
+    That is the row with the smallest id, one without an id only where no other is there, and of equal ids the
+    one with the smallest ``row_key``. Rows equal in both are kept or not together.
+    """
+    hashed = written_once(fingerprints(docs, shingle, row_key), "fingerprints")
+    place = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "row_key")
+    named = _first_of_each(hashed.groupBy("fp").agg(F.min(place).alias("first")))
+    same = F.col("first.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("first.row_key") == F.col("row_key"))
+    return hashed.join(named, "fp").select("doc_id", "row_key", same.alias("kept"))
+
+
+def _first_of_each(known: DataFrame) -> DataFrame:
+    """(fp, first) from the same of single fingerprints: the smallest ``first`` of the component."""
+    known = written_once(known, "distinct-fingerprints")
     labels = components(links(known))
     rooted = written_once(
         known.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select(
@@ -227,6 +248,5 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
         ),
         "rooted-fingerprints",
     )
-    smallest = rooted.groupBy("label").agg(F.min("first").alias("component_id"))
-    named = written_once(rooted.join(smallest, "label").select("fp", "component_id"), "named-fingerprints")
-    return hashed.join(named, "fp").select("doc_id", "fp", "component_id")
+    smallest = rooted.groupBy("label").agg(F.min("first").alias("first"))
+    return written_once(rooted.drop("first").join(smallest, "label").select("fp", "first"), "named-fingerprints")
