@@ -52,7 +52,7 @@ def test_quality_stage_drops_what_the_query_rejects(spark, stages):
 
 def test_one_document_of_each_group_stays(stages):
     before, after = stages["near-duplicates"]
-    fps = {r["doc_id"]: plain_fingerprint(r["text"], cp.SHINGLE) for r in before}
+    fps = {r["doc_id"]: plain_fingerprint(r["text"]) for r in before}
     label = plain_components(fps.values())
     groups = defaultdict(list)
     for i, fp in fps.items():
@@ -98,8 +98,26 @@ def test_stages_take_odd_rows(spark, odd):
             assert out.columns == odd.columns
         assert out.count() > 0
     kept = cp.near_duplicates(spark, odd, SF).select("doc_id").collect()
-    # Rows of one id stay together; the texts of 2 and of the rows without an id are copies of those of 1 and 3.
-    assert sorted(r.doc_id for r in kept) == [1, 1, 3, 6, 7, 8]
+    # The texts of 2 and of the rows without an id are copies of those of 1 and 3, and 1 stands there twice.
+    assert sorted(r.doc_id for r in kept) == [1, 3, 6, 7, 8]
+
+
+def test_rows_go_by_their_own_text(spark):
+    """Unique texts stay beside copies of the same id, and beside copies without one."""
+    one, two, three = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    rows = [(1, one), (None, one), (None, two), (2, three), (2, one), (3, one)]
+    kept = cp.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()
+    assert {(r.doc_id, r.text) for r in kept} == {(1, one), (None, two), (2, three)} and len(kept) == 3
+
+
+def test_one_of_equal_rows_stays(spark):
+    """Also of rows without an id, and whatever their other columns; the columns are those of the input."""
+    one, two = (" ".join(f"{x}{i}" for i in range(30)) for x in "ab")
+    rows = [(1, one, "b"), (1, one, "a"), (None, two, None), (None, two, None), (None, two, "c"), (4, "x y", "d")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, kept string")
+    kept = cp.near_duplicates(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert {(r.doc_id, r.kept) for r in kept.collect()} == {(1, "a"), (None, None), (4, "d")} and kept.count() == 3
 
 
 def test_stages_take_empty_tables(spark, empty):
@@ -109,8 +127,6 @@ def test_stages_take_empty_tables(spark, empty):
 
 def test_dropped_rows_beyond_the_broadcast_bound(spark, monkeypatch):
     monkeypatch.setattr(cp, "BROADCAST_ROWS", 0)
-    docs = spark.createDataFrame([(1,), (2,), (None,), (3,)], "doc_id long")
-    gone = spark.createDataFrame([(2,), (None,)], "doc_id long")
-    assert sorted(r.doc_id for r in cp._without(docs, gone, F.col("doc_id")).collect()) == [1, 3]
-
-
+    docs = spark.createDataFrame([(1, 10), (2, 20), (2, 21), (None, 30), (3, 30)], "doc_id long, k long")
+    gone = spark.createDataFrame([(2, 20), (None, 30)], "doc_id long, row_key long")
+    assert sorted(r.k for r in cp._without(docs, gone, F.col("k")).collect()) == [10, 21, 30]
