@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starloom.llm import byte_contexts, factorisation, lattice, packing, phrase_index, rule_forest, separator_scan, simhash, surrogates, url_rules
+from starloom.llm import byte_contexts, factorisation, lattice, packing, part_trie, phrase_index, rule_forest, separator_scan, simhash, surrogates, url_rules
 from starloom.llm.words import fold, table
 from starloom.session import scratch_path, written_once
 
@@ -101,8 +101,13 @@ def op10_factorisation_machine(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op11_part_trie(spark: SparkSession, sf: str) -> DataFrame:
+    found = part_trie.compressed(table(spark, sf, "embeddings"))
+    return found.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_separator_scan, op2_surrogates, op3_subword_lattice, op4_association_rules, op5_swap_packing, op6_language_contexts, op7_rule_forest, op8_pigeonring, op9_positional_index, op10_factorisation_machine]
+    found = [op1_separator_scan, op2_surrogates, op3_subword_lattice, op4_association_rules, op5_swap_packing, op6_language_contexts, op7_rule_forest, op8_pigeonring, op9_positional_index, op10_factorisation_machine, op11_part_trie]
     return {query.__name__: query for query in found}
 
 
@@ -111,6 +116,7 @@ def oracle_sql() -> dict[str, str]:
         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
         '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '')"""
     return {
+        "op11_part_trie": codes_sql(),
         "op9_positional_index": f"""WITH
             items AS (SELECT item_id, {words} AS w FROM benchmark),
             sized AS (SELECT item_id, w, least(13, len(w)) AS k FROM items WHERE len(w) > 0),
@@ -135,3 +141,44 @@ def oracle_sql() -> dict[str, str]:
                    coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
             FROM said LEFT JOIN hits USING (doc_id) LEFT JOIN listed USING (doc_id)""",
     }
+
+
+def codes_sql(n_parts: int = part_trie.PARTS, n_entries: int = part_trie.ENTRIES, rounds: int = part_trie.ROUNDS) -> str:
+    """All distances of every round; whole numbers in doubles, which are exact here."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (
+              SELECT id, p, any_value(x) AS x, min(struct_pack(far := far, k := k)) AS best FROM (
+                SELECT id, parts.p, x, k, list_inner_product(x, x) - 2 * list_inner_product(x, c)
+                       + list_inner_product(c, c) AS far
+                FROM parts JOIN c{r} ON parts.p = c{r}.p) GROUP BY id, p)""")
+        if r < rounds:
+            steps.append(f"""m{r} AS (
+              SELECT p, k, list(mean ORDER BY i) AS c FROM (
+                SELECT p, best.k AS k, i, floor(sum(x[i]) / count(*)) AS mean
+                FROM (SELECT *, unnest(range(1, len(x) + 1)) AS i FROM a{r}) GROUP BY p, best.k, i) GROUP BY p, k),
+            c{r + 1} AS MATERIALIZED (
+              SELECT c{r}.p, c{r}.k, coalesce(m{r}.c, c{r}.c) AS c
+              FROM c{r} LEFT JOIN m{r} ON c{r}.p = m{r}.p AND c{r}.k = m{r}.k)""")
+    return f"""WITH
+            kept AS (
+              SELECT row_number() OVER (ORDER BY vec_id) AS id, vec_id, label,
+                     list_transform(embedding, lambda x: floor({part_trie.SCALE} * CAST(x AS DOUBLE))) AS v
+              FROM embeddings
+              WHERE len(embedding) > 0
+                AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+            parts AS MATERIALIZED (
+              SELECT id, p, v[p * len(v) // {n_parts} + 1 : (p + 1) * len(v) // {n_parts}] AS x
+              FROM (SELECT *, unnest(range({n_parts})) AS p FROM kept)),
+            c0 AS MATERIALIZED (SELECT p, id - 1 AS k, x AS c FROM parts WHERE id <= {n_entries}),
+            {", ".join(steps)},
+            rows_ AS (
+              SELECT id, string_agg(printf('%02x', best.k), '' ORDER BY p) AS code,
+                     CAST(sum(best.far) AS BIGINT) AS error
+              FROM a{rounds} GROUP BY id),
+            sha AS (
+              SELECT sha256(string_agg(CAST(CAST(y AS BIGINT) AS VARCHAR), ',' ORDER BY p, k, i)) AS codebooks_sha256
+              FROM (SELECT p, k, unnest(c) AS y, unnest(range(len(c))) AS i FROM c{rounds}))
+            SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+                   codebooks_sha256
+            FROM kept JOIN rows_ USING (id), sha"""
