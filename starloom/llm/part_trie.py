@@ -32,8 +32,8 @@ PARTS, ENTRIES, ROUNDS, SCALE = 4, 256, 4, 1024
 LARGEST = 1 << 30
 # A subtree of fewer leaves is measured with its neighbours, and so many leaves at a time.
 SHARED, TOGETHER = 32, 2048
-# Leading dimensions by which parts are dealt to tasks.
-LEAD = 2
+# Leading dimensions by which parts are dealt to tasks, and tasks among which those of equal ones are dealt.
+LEAD, SPREAD = 2, 16
 # Labels that are broadcast; more are joined by a shuffle.
 BROADCAST_LABELS = 100_000
 
@@ -122,9 +122,13 @@ def counted_parts(vectors: DataFrame, dimensions: int, n_parts: int) -> DataFram
 
     each = vectors.select("embedding").mapInArrow(parts, "position int, part binary, copies long")
     # One shuffle: the grouping is by more columns than the rows are dealt by.
-    dealt = each.withColumn("lead", F.substring("part", 1, 4 * min(LEAD, width))).repartition("position", "lead")
-    counted = dealt.groupBy("position", "lead", "part").agg(F.sum("copies").alias("copies"))
-    return written_once(counted.drop("lead").sortWithinPartitions("position", "part"), "distinct-parts")
+    by = ["position", "lead", "share"]
+    lead, share = F.substring("part", 1, 4 * min(LEAD, width)), F.pmod(F.xxhash64("part"), F.lit(SPREAD))
+    dealt = each.withColumns({"lead": lead, "share": share}).repartition(*by)
+    counted = dealt.groupBy(*by, "part").agg(F.sum("copies").alias("copies"))
+    return written_once(
+        counted.select("position", "part", "copies").sortWithinPartitions("position", "part"), "distinct-parts"
+    )
 
 
 def bettered(parts: DataFrame, codebooks: np.ndarray) -> np.ndarray:

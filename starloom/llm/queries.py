@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starloom.llm import byte_contexts, factorisation, lattice, packing, part_trie, phrase_index, rule_forest, separator_scan, simhash, surrogates, url_rules
+from starloom.llm import byte_contexts, factorisation, lattice, packing, part_trie, phrase_index, rule_forest, separator_scan, simhash, surrogates, term_pipeline, url_rules
 from starloom.llm.words import fold, table
 from starloom.session import scratch_path, written_once
 
@@ -106,8 +106,12 @@ def op11_part_trie(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
 
 
+def op13_term_pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    return term_pipeline.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_separator_scan, op2_surrogates, op3_subword_lattice, op4_association_rules, op5_swap_packing, op6_language_contexts, op7_rule_forest, op8_pigeonring, op9_positional_index, op10_factorisation_machine, op11_part_trie]
+    found = [op1_separator_scan, op2_surrogates, op3_subword_lattice, op4_association_rules, op5_swap_packing, op6_language_contexts, op7_rule_forest, op8_pigeonring, op9_positional_index, op10_factorisation_machine, op11_part_trie, op13_term_pipeline]
     return {query.__name__: query for query in found}
 
 
@@ -115,8 +119,29 @@ def oracle_sql() -> dict[str, str]:
     words = """list_filter(string_split_regex(
         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
         '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '')"""
+    terms = words.replace("\\x3A-\\x60", "\\x3A-\\x40\\x5B-\\x60")
     return {
         "op11_part_trie": codes_sql(),
+        "op13_term_pipeline": f"""WITH
+            said AS (
+              SELECT row_number() OVER () AS row_id, doc_id, {terms} AS t FROM documents),
+            totals AS (
+              SELECT count(*) FILTER (len(t) > 0) AS n_docs, CAST(sum(len(t)) AS BIGINT) AS n_terms FROM said),
+            asked AS (SELECT DISTINCT item_id, unnest({terms}) AS term FROM benchmark),
+            held AS (
+              SELECT row_id, doc_id, n, term, count(*) AS tf
+              FROM (SELECT row_id, doc_id, len(t) AS n, unnest(t) AS term FROM said)
+              WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+            weights AS (
+              SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+              FROM held, totals GROUP BY term, n_docs),
+            scored AS (
+              SELECT item_id, row_id, doc_id, CAST(sum(w * ((1000000000 * tf)
+                     // (1000 * tf + 8 * (100 - 90 + (90 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+              FROM asked JOIN held USING (term) JOIN weights USING (term), totals GROUP BY ALL)
+            SELECT item_id, CAST(row_number() OVER best AS INTEGER) AS rank, doc_id, score
+            FROM scored WHERE score > 0
+            WINDOW best AS (PARTITION BY item_id ORDER BY score DESC, doc_id) QUALIFY rank <= 10""",
         "op9_positional_index": f"""WITH
             items AS (SELECT item_id, {words} AS w FROM benchmark),
             sized AS (SELECT item_id, w, least(13, len(w)) AS k FROM items WHERE len(w) > 0),

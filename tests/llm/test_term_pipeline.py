@@ -1,0 +1,111 @@
+"""Ranked search against a plain ranking, and against SQL on the test tables."""
+
+import math
+import re
+from collections import Counter
+
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings, strategies as st
+
+from starloom.llm import term_pipeline as tp
+from starloom.llm.queries import op13_term_pipeline, oracle_sql
+from tests.llm.test_simhash import LOW
+from tests.oracle_check import duck
+
+
+def terms(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", (text or "").translate(LOW))
+
+
+def plain(docs, items, top):
+    """(item_id, rank, doc_id, score) by the formula, a document at a time."""
+    said = [(i, Counter(terms(t))) for i, t in docs]
+    n_docs, n_terms = sum(bool(c) for _, c in said), sum(sum(c.values()) for _, c in said)
+    df = Counter(t for _, c in said for t in c)
+    found = []
+    for item_id, text in set(items):
+        scored = []
+        for i, c in said:
+            m = 100 - 90 + 90 * sum(c.values()) * n_docs // max(n_terms, 1)
+            score = 0
+            for t in set(terms(text)) & set(c):
+                w = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1)))
+                score += w * (1_000_000_000 * c[t] // (1000 * c[t] + 8 * m))
+            if score > 0:
+                scored.append((-score, i is None, i or 0, i))
+        found += [(item_id, rank, i, -score) for rank, (score, _, _, i) in enumerate(sorted(scored)[:top], 1)]
+    return Counter(found)
+
+
+def search(spark, docs, items, **more):
+    docs = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    items = spark.createDataFrame(items, "item_id long, text string")
+    return Counter(map(tuple, tp.search(docs, items, **more).collect()))
+
+
+DOCS = [
+    (1, "One two, THREE three_three!"),
+    (2, "two two two"),
+    (3, None),
+    (4, ""),
+    (5, " ... "),
+    (6, "É été 漢字 one2 2one"),
+    (7, "one " * 5000 + "rare"),
+    (8, "two two two"),
+    (8, "two two two"),
+    (None, "two two two"),
+    (9, "ONE\x00two\x7fthree"),
+    *((100 + i, "common " * (1 + i % 3) + f"own{i}") for i in range(40)),
+]
+ITEMS = [
+    (1, "one two three"),
+    (1, "one two three"),
+    (1, "common"),
+    (2, "TWO two"),
+    (3, None),
+    (4, "..."),
+    (5, "never said"),
+    (6, "É 漢字 rare"),
+    (None, "rare three"),
+    (7, "own7 own8 common one2"),
+]
+
+
+@pytest.mark.parametrize("rows,items,owners,bounds", [(4096, 256, 4, 200_000), (3, 2, 1, 0), (1, 1, 7, 200_000)])
+def test_ranking_is_that_of_the_formula(spark, monkeypatch, rows, items, owners, bounds):
+    """In blocks and bundles of any size, with one owner and many, with and without broadcasts."""
+    monkeypatch.setattr(tp, "BLOCK_ROWS", rows)
+    monkeypatch.setattr(tp, "ITEMS", items)
+    monkeypatch.setattr(tp, "BROADCAST_TERMS", bounds)
+    for top in (3, 10):
+        assert search(spark, DOCS, ITEMS, top=top, owners=owners) == plain(DOCS, ITEMS, top)
+
+
+def test_empty_tables(spark):
+    assert not search(spark, [], ITEMS)
+    assert not search(spark, DOCS, [])
+    assert not search(spark, [(1, None), (2, "")], ITEMS)
+
+
+def test_odd_rows(spark, odd, empty):
+    items = [(1, "word1 and2"), (2, "long TEXT"), (3, "漢字 é"), (4, "x" * 300_000)]
+    asked = spark.createDataFrame([(i, t, "clash", 1) for i, t in items], "item_id long, text string, term string, rank int")
+    found = Counter(map(tuple, tp.search(odd, asked).collect()))
+    assert found == plain([(r.doc_id, r.text) for r in odd.collect()], items, 10)
+    assert tp.search(empty, asked).count() == 0
+
+
+@settings(deadline=None, max_examples=200)
+@given(st.lists(st.one_of(st.none(), st.text(st.sampled_from("aZ09_-é漢 \n\x7f"), max_size=20)), min_size=1, max_size=6))
+def test_terms_by_hand(texts):
+    found = tp.plain_terms(pa.array(["dropped", *texts], pa.string()).slice(1)).to_pylist()
+    assert [t.split() for t in found] == [terms(t) for t in texts]
+
+
+def test_query_matches_its_sql(spark):
+    folder = "/root/testdata/sf0.01"
+    rows = Counter(tuple(r) for r in op13_term_pipeline(spark, folder).collect())
+    cursor = duck(folder).execute(oracle_sql()["op13_term_pipeline"])
+    assert [c[0] for c in cursor.description] == ["item_id", "rank", "doc_id", "score"]
+    assert rows == Counter(cursor.fetchall()) and len(rows) > 300
