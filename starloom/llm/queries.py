@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starloom.llm import byte_contexts, factorisation, lattice, packing, part_trie, phrase_index, rule_forest, separator_scan, simhash, surrogates, term_pipeline, url_rules
+from starloom.llm import byte_contexts, factorisation, lattice, min_max, packing, part_trie, phrase_index, rule_forest, separator_scan, simhash, surrogates, term_pipeline, url_rules
 from starloom.llm.words import fold, table
 from starloom.session import scratch_path, written_once
 
@@ -106,12 +106,16 @@ def op11_part_trie(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
 
 
+def op12_min_max(spark: SparkSession, sf: str) -> DataFrame:
+    return min_max.near_copies(table(spark, sf, "documents"))
+
+
 def op13_term_pipeline(spark: SparkSession, sf: str) -> DataFrame:
     return term_pipeline.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_separator_scan, op2_surrogates, op3_subword_lattice, op4_association_rules, op5_swap_packing, op6_language_contexts, op7_rule_forest, op8_pigeonring, op9_positional_index, op10_factorisation_machine, op11_part_trie, op13_term_pipeline]
+    found = [op1_separator_scan, op2_surrogates, op3_subword_lattice, op4_association_rules, op5_swap_packing, op6_language_contexts, op7_rule_forest, op8_pigeonring, op9_positional_index, op10_factorisation_machine, op11_part_trie, op12_min_max, op13_term_pipeline]
     return {query.__name__: query for query in found}
 
 
@@ -122,6 +126,26 @@ def oracle_sql() -> dict[str, str]:
     terms = words.replace("\\x3A-\\x60", "\\x3A-\\x40\\x5B-\\x60")
     return {
         "op11_part_trie": codes_sql(),
+        "op12_min_max": f"""WITH RECURSIVE
+            said AS (
+              SELECT doc_id, {words.replace("\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F", "\\x20\\x09-\\x0D")} AS w
+              FROM documents),
+            sets AS MATERIALIZED (
+              SELECT DISTINCT doc_id, array_to_string(w[s : s + 2], ' ') AS shingle
+              FROM (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - 2) + 1)) AS s FROM said WHERE len(w) > 0)),
+            sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+            common AS (
+              SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+              FROM sets a JOIN sets b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+            links AS MATERIALIZED (
+              SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+              WHERE 100 * c >= 85 * (x.n + y.n - c)),
+            reach AS (
+              SELECT doc_id AS node, doc_id AS other FROM documents
+              UNION SELECT node, b FROM reach JOIN links ON other = a),
+            named AS (SELECT node, min(other) AS component_id FROM reach GROUP BY node)
+            SELECT said.doc_id, coalesce(n, 0) AS n_shingles, component_id, said.doc_id = component_id AS kept
+            FROM said LEFT JOIN sizes USING (doc_id) JOIN named ON node = said.doc_id""",
         "op13_term_pipeline": f"""WITH
             said AS (
               SELECT row_number() OVER () AS row_id, doc_id, {terms} AS t FROM documents),
