@@ -26,6 +26,8 @@ from starloom.llm.rule_forest import COUNTS, features, text_counts
 from starloom.llm.words import chunks, filled, split_words
 
 MAX_ROWS = 12_000
+# Text that one step turns into features: some 15 arrays as long as its words are held meanwhile.
+STEP_BYTES = 1 << 20
 BUCKETS, FACTORS, EPOCHS, BATCH, RATE, DECAY, SEED = 1 << 15, 8, 6, 128, 0.05, 1e-5, 11
 N_STATISTICS = 9
 
@@ -141,7 +143,7 @@ def train(docs: DataFrame, labelled: DataFrame, metadata: list[str], max_rows: i
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             batch = batch.filter(pc.is_in(batch.column("doc_id"), pa.array(shared.value, pa.int64())))
-            for chunk in chunks(iter([batch])):
+            for chunk in chunks(iter([batch]), max_bytes=STEP_BYTES):
                 rows = featurise(chunk, metadata)
                 lists = [pa.array(x) for x in (rows.index.astype(np.int32), rows.value.astype(np.float32))]
                 yield pa.RecordBatch.from_arrays(
@@ -184,7 +186,7 @@ def score(docs: DataFrame, model: Model, metadata: list[str]) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in chunks(batches):
+        for chunk in chunks(batches, max_bytes=STEP_BYTES):
             found = pa.array(scores(shared.value, chunk, metadata))
             yield pa.RecordBatch.from_arrays([chunk.column("doc_id"), found], ["doc_id", "score"])
 
@@ -201,7 +203,7 @@ def accepted(docs: DataFrame, model: Model, metadata: list[str], threshold: floa
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in chunks(batches):
+        for chunk in chunks(batches, max_bytes=STEP_BYTES):
             yield chunk.filter(pa.array(scores(shared.value, chunk, metadata) >= threshold))
 
     return docs.mapInArrow(kept, docs.schema)

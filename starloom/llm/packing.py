@@ -29,6 +29,8 @@ from starloom.session import written_once
 CAPACITY = 4096
 # Pairs of kinds of bins that the local search looks at; it stops earlier where no bin can be saved.
 TRIALS = 50_000
+# Text that one step encodes.
+STEP_BYTES = 2 << 20
 
 PIECES = "doc_id long, piece int, start long, length long, ids binary, part int, rank long"
 
@@ -42,7 +44,7 @@ def cut(docs: DataFrame, tokenizer: str, end: int, capacity: int = CAPACITY) ->
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, before = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
-        for chunk in chunks(batches):
+        for chunk in chunks(batches, max_bytes=STEP_BYTES):
             ids, starts = encoder(tokenizer).encode(chunk.column("text"), end)
             counts = -(-np.diff(starts) // capacity)
             owner = np.repeat(np.arange(len(counts)), counts)
@@ -70,6 +72,7 @@ def cut(docs: DataFrame, tokenizer: str, end: int, capacity: int = CAPACITY) ->
                 ],
                 ["doc_id", "piece", "start", "length", "ids", "part", "rank"],
             )
+        encoder(tokenizer).forget()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(pieces, PIECES)
 

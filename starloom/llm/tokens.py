@@ -37,13 +37,14 @@ class Encoder:
         names = self.tokenizer.get_vocab()
         self.closes = np.zeros(max(names.values()) + 1, bool)
         self.closes[[i for name, i in names.items() if name.endswith("</w>")]] = True
-        self._forget()
+        self.forget()
 
     @staticmethod
     def one_piece(word: str) -> bool:
         return LETTERS.fullmatch(word) is not None
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
+        """Empties the store of words, as a worker process outlives the task that filled it."""
         self.place: dict[str, int] = {"": 0}
         self.bytes = 0
         self.ids = np.zeros(1 << 16, np.uint32)
@@ -53,7 +54,7 @@ class Encoder:
     def places(self, words: list[str]) -> np.ndarray:
         """The number of each word in the store, encoding those that are new."""
         if self.n > KEPT_WORDS or self.bytes > KEPT_BYTES:
-            self._forget()
+            self.forget()
         known = self.place
         new = [w for w in dict.fromkeys(words) if w not in known]
         if new:
