@@ -34,7 +34,7 @@ def balance_classes(
     The rows with the smallest seeded hash of their id are taken, so the sample is the same however
     the table is partitioned. No class is sorted for that: counts per hash prefix tell in which
     prefix the n-th row lies, and only the rows there are ranked. Those passes read label and id
-    alone and run when this is called. The sample itself is a filter on the cut of the class, so
+    alone, but for rows without an id, and run when this is called. The sample itself is a filter on the cut of the class, so
     whole rows are not shuffled. Rows without a label belong to no class.
     """
     if n_per_class is not None and n_per_class < 0:
@@ -42,16 +42,15 @@ def balance_classes(
     labelled = df.where(named(label_col).isNotNull())
     if n_per_class == 0:
         return labelled.limit(0)
-    identity = row_identity(labelled, id_col)
-    hashed = seeded_hash("sample", seed, identity)
-    keyed = labelled.select(
-        named(label_col).alias("_label"), identity.alias("_id"), hashed.alias("_hash")
-    )
+    missing = has_missing(labelled, id_col)
+    keyed = _keyed(labelled, label_col, seed, id_col, missing)
     cuts = _cuts(keyed, n_per_class, edge_rows)
     if cuts.isEmpty():
         raise ValueError(f"no row has a label in {label_col}")
 
     columns = [named(c) for c in df.columns]
+    identity = row_identity(labelled, id_col, missing)
+    hashed = seeded_hash("sample", seed, identity)
     marked = labelled.withColumns({"_label": named(label_col), "_hash": hashed}).join(
         cuts, "_label"
     )
@@ -63,11 +62,35 @@ def balance_classes(
     return clear.unionByName(_some_copies(marked.where(here == last), df.columns))
 
 
-def row_identity(df: DataFrame, id_col: str = REVIEW_ID) -> Column:
+def has_missing(df: DataFrame, column: str) -> bool:
+    """Whether a row has no value there: a pass over that column, which skips files that hold no nulls."""
+    return not df.where(named(column).isNull()).isEmpty()
+
+
+def row_identity(df: DataFrame, id_col: str = REVIEW_ID, missing: bool = True) -> Column:
     """The id as text. A row without one goes by its content, so that such rows spread like any other and
-    only equal rows share a place."""
-    content = [named(f.name) for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
-    return F.coalesce(named(id_col).cast("string"), F.concat(F.lit("row "), F.hex(F.xxhash64(*content))))
+    only equal rows share a place. Where no id is ``missing``, no other column is read."""
+    known = named(id_col).cast("string")
+    return F.coalesce(known, _content(df)) if missing else known
+
+
+def _content(df: DataFrame) -> Column:
+    fields = [named(f.name) for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    return F.concat(F.lit("row "), F.hex(F.xxhash64(*fields)))
+
+
+def _keyed(df: DataFrame, label_col: str, seed: int, id_col: str, missing: bool) -> DataFrame:
+    """(_label, _id, _hash) of each row. Rows without an id are a branch of their own, so that the others are read
+    by label and id alone."""
+    known = df.where(named(id_col).isNotNull()).select(
+        named(label_col).alias("_label"), named(id_col).cast("string").alias("_id")
+    )
+    if missing:
+        content = _content(df).alias("_id")
+        known = known.unionByName(
+            df.where(named(id_col).isNull()).select(named(label_col).alias("_label"), content)
+        )
+    return known.withColumn("_hash", seeded_hash("sample", seed, F.col("_id")))
 
 
 def _cuts(keyed: DataFrame, n: int | None, edge_rows: int) -> DataFrame:
@@ -177,7 +200,8 @@ def train_test_split(
     df: DataFrame, test_size: float = 0.3, seed: int = 42, id_col: str = REVIEW_ID
 ) -> tuple[DataFrame, DataFrame]:
     """Two parts that together are the table; sizes are close to, not exactly, ``test_size``."""
-    in_test = in_test_split(test_size, seed, row_identity(df, id_col))
+    identity = row_identity(df, id_col, has_missing(df, id_col))
+    in_test = in_test_split(test_size, seed, identity)
     return df.where(~in_test), df.where(in_test)
 
 

@@ -1,4 +1,5 @@
 import hashlib
+import re
 from collections import Counter, defaultdict
 
 import pytest
@@ -130,3 +131,26 @@ def test_split_of_a_sample_is_independent_of_the_sample(uneven):
 def test_concat_fills_missing_columns(spark):
     a, b = spark.createDataFrame([(1, "x")], "i int, t string"), spark.createDataFrame([(2,)], "i int")
     assert sorted(map(tuple, sampling.concat(a, b).collect())) == [(1, "x"), (2, None)]
+
+
+def scanned(df):
+    return re.findall(r"ReadSchema: struct<([^>]*)>", df._jdf.queryExecution().executedPlan().toString())
+
+
+def test_counting_passes_read_label_and_id_only(spark, tmp_path):
+    """Rows without an id are the only ones read whole, and the split reads what is asked of it."""
+    rows = spark.range(200).selectExpr("id AS review_id", "concat('class ', id % 3) AS label", "repeat('x', 50) AS text")
+    missing = rows.where("review_id % 50 = 0").selectExpr("CAST(null AS long) AS review_id", "label", "concat(text, review_id) AS text")
+    for table, all_have_ids in ((rows, True), (rows.unionByName(missing), False)):
+        path = str(tmp_path / f"rows-{all_have_ids}")
+        table.write.parquet(path)
+        held = spark.read.parquet(path)
+        assert sampling.has_missing(held, "review_id") != all_have_ids
+        schemas = scanned(sampling._keyed(held, "label", 42, "review_id", not all_have_ids).drop("_hash"))
+        narrow, wide = "review_id:bigint,label:string", "review_id:bigint,label:string,text:string"
+        assert schemas == [narrow] if all_have_ids else sorted(schemas) == [narrow, wide]
+        sample = sampling.balance_classes(held, "label", 40)
+        assert sorted(r["count"] for r in sample.groupBy("label").count().collect()) == [40, 40, 40]
+        train, test = sampling.train_test_split(held)
+        assert train.count() + test.count() == held.count() and test.count() > 0
+        assert scanned(train.select("label")) == [narrow if all_have_ids else wide]
