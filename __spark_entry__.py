@@ -594,6 +594,24 @@ def csv_ids(spark: SparkSession, sf: str) -> DataFrame:
     return found
 
 
+def csv_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """One CSV file of documents, with line breaks and quotes in its fields, read by many tasks."""
+    path = scratch_path(spark, "csv-blocks")
+    texts = views.table(spark, sf, "documents").select(
+        "doc_id", F.concat(F.lit('said: "'), "text", F.lit('",\n\n"'), "lang").alias("text"), "source"
+    )
+    review_files.save_csv(texts.coalesce(1).sortWithinPartitions("doc_id"), path)
+    setting = "spark.sql.files.maxPartitionBytes"
+    usual = spark.conf.get(setting)
+    spark.conf.set(setting, "64k")
+    try:
+        rows = review_files.load_reviews(spark, path, {"doc_id": "bigint"})
+        rows = rows.select("doc_id", "review_id", F.md5("text").alias("text_md5"), "source")
+        return written_once(rows, "csv-block-rows")
+    finally:
+        spark.conf.set(setting, usual)
+
+
 def csv_evidence(spark: SparkSession, sf: str) -> DataFrame:
     """The evidence of reviews that were saved as CSV and read again."""
     path = scratch_path(spark, "csv-evidence")
@@ -684,6 +702,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         csv_roundtrip,
         category_table,
         csv_ids,
+        csv_blocks,
         csv_evidence,
     ]
     registered = {query.__name__: query for query in found}
@@ -1035,6 +1054,10 @@ def oracle_sql() -> dict[str, str]:
         "csv_ids": """
             SELECT doc_id, row_number() OVER (PARTITION BY size ORDER BY doc_id) - 1 AS review_id, size
             FROM documents, (VALUES ('128m'), ('2k')) AS sizes(size)""",
+        "csv_blocks": """
+            SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS review_id,
+                   md5('said: "' || text || '",' || chr(10) || chr(10) || '"' || lang) AS text_md5, source
+            FROM documents""",
         "csv_evidence": f"WITH {EVIDENCE_CTES} SELECT * REPLACE (md5(text) AS text) FROM evidence",
         "article_text_hook": f"""WITH {ARTICLE_CTES}, {prompts}
             SELECT category_key, length(prompt) || ' characters' AS summary FROM prompts""",

@@ -12,6 +12,7 @@ from starloom.fixed_values import META, NULL_TOKENS, RATING, REVIEW_ID
 from starloom.functions.columns import named
 from starloom.operators.bounded import small_side
 from starloom.operators.cleaning import refuse_collisions
+from starloom.sources import csv_blocks
 
 # Quotes inside a field are doubled, and a field may run over several lines.
 CSV_DIALECT = {"quote": '"', "escape": '"', "encoding": "UTF-8"}
@@ -25,6 +26,7 @@ def load_reviews(
     numeric: dict[str, str] | str | None = None,
     multi_line: bool = True,
     with_id: bool = True,
+    blocks: bool | None = None,
 ) -> DataFrame:
     """A review CSV with its header as it stands.
 
@@ -33,12 +35,16 @@ def load_reviews(
     becomes null. ``"infer"`` reads the file once more to find the columns that hold only numbers. By
     default the rating is a number, and so is a ``review_id`` column that holds only whole numbers.
 
-    A file with line breaks inside fields has to be read by one task, so convert a large set of
-    files to Parquet once (``save_table``) and query that. ``with_id`` adds ``review_id``, the place
-    of the row in the input, by file name and then by line, unless the file has that column. Rows are
-    counted for it once more.
+    A file with line breaks inside fields (``multi_line``) is read by one task, or in ``blocks`` by many, which
+    gives the same rows; by default in blocks where a file is larger than one. Its lines are then read
+    once more, to learn which blocks begin inside quotes. Lines of such files end with a line feed.
+
+    ``with_id`` adds ``review_id``, the place of the row in the input, by file name and then by line,
+    unless the file has that column. Rows are counted for it once more.
     """
     written, header = _header(spark, path)
+    if multi_line and (_has_large_file(spark, path) if blocks is None else blocks):
+        return _in_blocks(spark, path, header, numeric, with_id)
     schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
     if written != header:
         _refuse_other_headers(spark, path)
@@ -51,6 +57,14 @@ def load_reviews(
         .option("enforceSchema", written != header)
         .csv(path)
     )
+    cells = _cells(raw, header, numeric)
+    if with_id and REVIEW_ID not in header:
+        return _with_place(raw, cells)
+    return raw.select(*cells)
+
+
+def _cells(raw: DataFrame, header: list[str], numeric: dict[str, str] | str | None) -> list[Column]:
+    """Columns without missing-value tokens, numbers as numbers."""
     present = {name: F.when(~named(name).isin(*NULL_TOKENS), named(name)) for name in header}
     if numeric == "infer":
         types = _number_types(raw, present)
@@ -64,8 +78,35 @@ def load_reviews(
     for name, cell in present.items():
         wanted = types.get(name.lower())
         cells.append((cell.try_cast(wanted) if wanted else cell).alias(name))
+    return cells
+
+
+def _has_large_file(spark: SparkSession, path: str) -> bool:
+    """Whether a file is larger than a task's share; lists files and reads none."""
+    setting = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    share = F.expr(f"CAST(regexp_extract('{setting}', '[0-9]+', 0) AS LONG)") * _UNIT[setting.rstrip("bB").lstrip("0123456789").lower()]
+    sizes = spark.read.format("binaryFile").load(path).select("length")
+    return not sizes.where(F.col("length") > share).isEmpty()
+
+
+_UNIT = {"": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+
+
+def _in_blocks(
+    spark: SparkSession, path: str, header: list[str], numeric: dict[str, str] | str | None, with_id: bool
+) -> DataFrame:
+    found, firsts = csv_blocks.records(spark, path)
+    plain = F.regexp_replace(F.col("first"), "^\ufeff|\r$", "")
+    if firsts.select(plain).distinct().limit(2).count() > 1:
+        raise ValueError(f"files under {path} have different headers")
+    fields = ", ".join("`" + name.replace("`", "``") + "` string" for name in header)
+    parsed = F.from_csv("record", fields, {**CSV_DIALECT, "multiLine": "true"})
+    place = "_place" if "_place" not in header else "_place of the row"
+    raw = found.select(parsed.alias("_row"), F.col("place").alias(place))
+    raw = raw.select(*(F.col("_row").getField(name).alias(name) for name in header), place)
+    cells = _cells(raw, header, numeric)
     if with_id and REVIEW_ID not in header:
-        return _with_place(raw, cells)
+        cells.append(named(place).alias(REVIEW_ID))
     return raw.select(*cells)
 
 
