@@ -13,6 +13,7 @@ from starloom.operators import (
     categories,
     cleaning,
     clusters,
+    count_model,
     evidence,
     labels,
     metrics,
@@ -533,6 +534,28 @@ def reloaded_model_agreement(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def count_model_terms(spark: SparkSession, sf: str) -> DataFrame:
+    """The weights of a model of the training part, in closed form."""
+    train, _ = sampling.train_test_split(views.labelled_texts(spark, sf))
+    model = count_model.fit_counts(train, label_col="label", classes=["bad", "good"])
+    return model.terms.select("term", *[F.col("weights")[i].alias(c) for i, c in enumerate(["bad", "good"])])
+
+
+def count_model_report(spark: SparkSession, sf: str) -> DataFrame:
+    """The report on the part that training does not see."""
+    texts = views.labelled_texts(spark, sf)
+    _, report = count_model.train_counts(texts, label_col="label", classes=["bad", "good"])
+    return report.withColumns({c: F.round(c, 9) for c in ("precision", "recall", "f1_score")})
+
+
+def count_model_predictions(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents by a model that was saved and loaded again."""
+    path = scratch_path(spark, "count-model")
+    count_model.train_counts(views.labelled_texts(spark, sf), path, label_col="label", classes=["bad", "good"])
+    scored = count_model.predict_counts(count_model.load_counts(spark, path), views.text_reviews(spark, sf))
+    return scored.select("review_id", "predicted_sentiment")
+
+
 def kmeans_facts(spark: SparkSession, sf: str) -> DataFrame:
     """For each number of clusters: rows assigned, and rows for which another centre is nearer."""
     vectors = views.table(spark, sf, "embeddings")
@@ -696,6 +719,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         train_report,
         reloaded_model_predictions,
         reloaded_model_agreement,
+        count_model_terms,
+        count_model_report,
+        count_model_predictions,
         kmeans_sweep,
         kmeans_sizes,
         kmeans_facts,
@@ -848,6 +874,32 @@ def oracle_sql() -> dict[str, str]:
                 || e'\\n\\nAlso warn of the product with the lowest rating, and say why:\\n'
                 || worst_table || e'\\n\\n' || worst_reviews AS prompt
               FROM inputs)"""
+    tokens_of = "list_filter(string_split_regex(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda w: w <> '')"
+    counted = f"""labelled AS (
+              SELECT row_number() OVER () AS row_id, {tokens_of} AS tokens,
+                     CASE WHEN quality = 1 THEN 'good' ELSE 'bad' END AS label,
+                     CASE WHEN CAST('0x' || left(md5('split|42|' || doc_id), 8) AS BIGINT)
+                       < {round(0.3 * 2**32)} THEN 'test' ELSE 'train' END AS part
+              FROM documents JOIN labels USING (doc_id)),
+            token_counts AS (
+              SELECT term, count(*) FILTER (label = 'bad') AS n0, count(*) FILTER (label = 'good') AS n1
+              FROM (SELECT label, unnest(tokens) AS term FROM labelled WHERE part = 'train') GROUP BY term),
+            totals AS (SELECT count(*) AS v, sum(n0) AS t0, sum(n1) AS t1 FROM token_counts),
+            weights AS (
+              SELECT term, CAST(floor(1000000 * ln((n0 + 1) / (t0 + v))) AS BIGINT) AS bad,
+                     CAST(floor(1000000 * ln((n1 + 1) / (t1 + v))) AS BIGINT) AS good
+              FROM token_counts, totals),
+            priors AS (
+              SELECT CAST(floor(1000000 * ln((count(*) FILTER (label = 'bad') + 1) / (count(*) + 2))) AS BIGINT) AS bad,
+                     CAST(floor(1000000 * ln((count(*) FILTER (label = 'good') + 1) / (count(*) + 2))) AS BIGINT) AS good
+              FROM labelled WHERE part = 'train'),
+            rated AS (
+              SELECT row_id, any_value(label) AS label, any_value(part) AS part,
+                     any_value(priors.bad) + coalesce(sum(weights.bad), 0) AS bad,
+                     any_value(priors.good) + coalesce(sum(weights.good), 0) AS good
+              FROM priors, labelled LEFT JOIN (
+                SELECT row_id, unnest(tokens) AS term FROM labelled) AS spoken USING (row_id)
+              LEFT JOIN weights USING (term) GROUP BY row_id)"""
     report = f"""
             classes AS (
               SELECT label, CAST(sum(hits) AS BIGINT) AS hits, CAST(sum(guessed) AS BIGINT) AS guessed,
@@ -1045,6 +1097,19 @@ def oracle_sql() -> dict[str, str]:
         "baseline_sentiment_hook": """
             SELECT doc_id AS review_id, CASE length(coalesce(text, '')) % 3 WHEN 0 THEN 'negative'
               WHEN 1 THEN 'neutral' ELSE 'positive' END AS predicted_sentiment FROM documents""",
+        "count_model_terms": f"WITH {counted} SELECT term, bad, good FROM weights",
+        "count_model_report": f"""WITH {counted},
+            predicted AS (
+              SELECT label AS actual, CASE WHEN bad >= good THEN 'bad' ELSE 'good' END AS predicted
+              FROM rated WHERE part = 'test'),
+            {report}""",
+        "count_model_predictions": f"""WITH {counted}
+            SELECT doc_id AS review_id, CASE WHEN any_value(priors.bad) + coalesce(sum(weights.bad), 0)
+              >= any_value(priors.good) + coalesce(sum(weights.good), 0) THEN 'bad' ELSE 'good' END
+              AS predicted_sentiment
+            FROM priors, documents LEFT JOIN (
+              SELECT doc_id, unnest({tokens_of}) AS term FROM documents) AS spoken USING (doc_id)
+            LEFT JOIN weights USING (term) GROUP BY doc_id""",
         "reloaded_model_agreement": """
             SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_different
             FROM documents JOIN labels USING (doc_id)""",
