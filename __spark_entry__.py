@@ -21,7 +21,9 @@ from starloom.operators import (
     profile,
     sampling,
     sentiment,
+    steady_clusters,
     text_model,
+    token_cut,
 )
 from starloom.plans import articles, reports
 from starloom.session import scratch_path, written_once
@@ -588,6 +590,31 @@ def kmeans_sizes(spark: SparkSession, sf: str) -> DataFrame:
     return profile.class_sizes(clusters.assign_clusters(model, vectors), "cluster")
 
 
+NAME_KS, VECTOR_K, STEPS = [2, 4, 6], 6, 3
+
+
+def _name_points(spark: SparkSession, sf: str) -> DataFrame:
+    names = views.table(spark, sf, "part").select(F.col("p_name").alias("name")).distinct()
+    return steady_clusters.whole_points(names.withColumn("embedding", clusters.embed_names("name")), "name", "embedding")
+
+
+def name_cluster_sweep(spark: SparkSession, sf: str) -> DataFrame:
+    """Sizes and costs of clusters of product names, for several numbers of clusters."""
+    return steady_clusters.steady_sweep(_name_points(spark, sf), NAME_KS, STEPS)
+
+
+def name_clusters(spark: SparkSession, sf: str) -> DataFrame:
+    points = _name_points(spark, sf)
+    found = steady_clusters.assigned(points, steady_clusters.steady_clusters(points, NAME_KS[-1], STEPS))
+    return found.select(F.col("key").alias("name"), "cluster")
+
+
+def vector_clusters(spark: SparkSession, sf: str) -> DataFrame:
+    points = steady_clusters.whole_points(views.table(spark, sf, "embeddings"), "vec_id", "embedding")
+    found = steady_clusters.assigned(points, steady_clusters.steady_clusters(points, VECTOR_K, STEPS))
+    return found.select(F.col("key").alias("vec_id"), "cluster")
+
+
 # Files --------------------------------------------------------------------------------------------
 
 
@@ -599,6 +626,16 @@ def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return back.withColumns({"text": F.md5("text"), "n": F.length("text")})
 
 
+def truncate_model_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents cut after 512 tokens of a public tokenizer."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    cut = token_cut.truncate_by_tokenizer(views.text_reviews(spark, sf), path)
+    text = F.col("`reviews.text`")
+    return cut.select("review_id", F.length(text).alias("n"), F.md5(text).alias("text_md5"))
+
+
 def csv_ids(spark: SparkSession, sf: str) -> DataFrame:
     """Places of rows in several CSV files, read in tasks of two sizes."""
     path = scratch_path(spark, "csv-ids")
@@ -725,6 +762,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         kmeans_sweep,
         kmeans_sizes,
         kmeans_facts,
+        name_cluster_sweep,
+        name_clusters,
+        vector_clusters,
+        truncate_model_tokens,
         csv_roundtrip,
         category_table,
         csv_ids,
@@ -735,8 +776,41 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return registered | llm.queries() | {"pipeline": corpus_pipeline.run} if llm else registered
 
 
+def _clusters_sql(points: str, ks: list[int], steps: int, result: str) -> str:
+    """Farthest-first starts and steps of means over ``points`` (key, v), all distances; whole numbers in doubles."""
+    far = "list_inner_product(v, v) - 2 * list_inner_product(v, c) + list_inner_product(c, c)"
+    parts = [points, "hashed AS MATERIALIZED (SELECT key, v, md5(CAST(key AS VARCHAR)) AS h FROM points)"]
+    parts.append("s0 AS MATERIALIZED (SELECT 0 AS i, v AS c FROM hashed ORDER BY h, v LIMIT 1)")
+    for i in range(1, max(ks)):
+        parts.append(f"""s{i} AS MATERIALIZED (
+              SELECT * FROM s{i - 1} UNION ALL SELECT * FROM (
+                SELECT {i} AS i, v AS c FROM (
+                  SELECT key, v, h, min({far}) AS near FROM hashed, s{i - 1} GROUP BY ALL)
+                WHERE near > 0 ORDER BY near DESC, h, v LIMIT 1))""")
+    for k in ks:
+        parts.append(f"c{k}_0 AS (SELECT * FROM s{k - 1})")
+        for r in range(steps + 1):
+            parts.append(f"""a{k}_{r} AS MATERIALIZED (
+              SELECT key, v, min(struct_pack(far := {far}, i := i)) AS best FROM hashed, c{k}_{r} GROUP BY key, v)""")
+            if r < steps:
+                parts.append(f"""m{k}_{r} AS (
+              SELECT i, list(mean ORDER BY d) AS c FROM (
+                SELECT best.i AS i, d, floor(sum(v[d]) / count(*)) AS mean
+                FROM (SELECT *, unnest(range(1, len(v) + 1)) AS d FROM a{k}_{r}) GROUP BY ALL) GROUP BY i),
+            c{k}_{r + 1} AS MATERIALIZED (
+              SELECT i, coalesce(m{k}_{r}.c, c{k}_{r}.c) AS c FROM c{k}_{r} LEFT JOIN m{k}_{r} USING (i))""")
+    return "WITH " + ", ".join(parts) + " " + result
+
+
 # Oracles ------------------------------------------------------------------------------------------
 
+NAME_POINTS = """places AS (
+              SELECT name, list_transform(range(1, length(name) + 1), lambda i:
+                CAST('0x' || left(md5(substr(' ' || lower(name) || ' ', i, 3)), 8) AS BIGINT) % 32) AS p
+              FROM (SELECT DISTINCT p_name AS name FROM part)),
+            points AS (
+              SELECT name AS key, list_transform(range(32), lambda d:
+                CAST(1024 * len(list_filter(p, lambda x: x = d)) AS DOUBLE)) AS v FROM places)"""
 REVIEWS = """reviews AS (
   SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS review_id,
          p_name AS name, p_type || ',' || p_brand AS categories, p_brand AS primarycategories,
@@ -1116,6 +1190,24 @@ def oracle_sql() -> dict[str, str]:
         "kmeans_facts": """
             SELECT CAST(k AS INTEGER) AS k, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_not_nearest
             FROM embeddings, (VALUES (2), (4), (6)) AS ks(k) GROUP BY k""",
+        "name_cluster_sweep": _clusters_sql(
+            NAME_POINTS, NAME_KS, STEPS,
+            " UNION ALL ".join(
+                f"""SELECT {k} AS k, best.i AS cluster, count(*) AS size, CAST(sum(best.far) AS BIGINT) AS cost
+                FROM a{k}_{STEPS} GROUP BY best.i"""
+                for k in NAME_KS
+            ),
+        ),
+        "name_clusters": _clusters_sql(
+            NAME_POINTS, NAME_KS[-1:], STEPS,
+            f"SELECT key AS name, best.i AS cluster FROM a{NAME_KS[-1]}_{STEPS}",
+        ),
+        "vector_clusters": _clusters_sql(
+            """points AS (
+              SELECT vec_id AS key, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v
+              FROM embeddings)""",
+            [VECTOR_K], STEPS, f"SELECT key AS vec_id, best.i AS cluster FROM a{VECTOR_K}_{STEPS}",
+        ),
         "csv_ids": """
             SELECT doc_id, row_number() OVER (PARTITION BY size ORDER BY doc_id) - 1 AS review_id, size
             FROM documents, (VALUES ('128m'), ('2k')) AS sizes(size)""",

@@ -12,15 +12,19 @@ from pyspark.sql import Column, DataFrame, types as T
 from pyspark.storagelevel import StorageLevel
 
 from starloom.functions.columns import named
+from starloom.operators.steady_clusters import hashed_ngrams
 
 FEATURES = "_features"
 
 
 def embed_names(
-    name: str | Column, load_model: Callable[[], Callable[[np.ndarray], np.ndarray]],
+    name: str | Column, load_model: Callable[[], Callable[[np.ndarray], np.ndarray]] | None = None,
     batch_size: int = 256,
 ) -> Column:
-    """Embeddings of product names by a sentence model that is loaded once per Python worker."""
+    """Embeddings of product names by a sentence model that is loaded once per Python worker; without a model, the
+    numbers of their hashed runs of characters."""
+    if load_model is None:
+        return hashed_ngrams(name)
     embed = predict_batch_udf(
         load_model, return_type=T.ArrayType(T.FloatType()), batch_size=batch_size
     )

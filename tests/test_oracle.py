@@ -32,6 +32,7 @@ def test_only_models_go_without_sql():
         "reloaded_model_predictions",
         "kmeans_sweep",
         "kmeans_sizes",
+        "truncate_model_tokens",
     }
 
 
