@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -446,6 +447,22 @@ def summaries_json(spark: SparkSession, sf: str) -> DataFrame:
     return summaries.load_summaries_json(spark, path)
 
 
+def summaries_of_writers(spark: SparkSession, sf: str) -> DataFrame:
+    """A store to which a writer for each language adds at the same time."""
+    path = scratch_path(spark, "shared-summaries")
+    languages = views.table(spark, sf, "documents").where("lang IS NOT NULL").groupBy("lang").count()
+
+    def add(lang: str) -> None:
+        own = languages.where(F.col("lang") == lang)
+        text = F.concat(F.col("count").cast("string"), F.lit(" texts")).alias("summary")
+        summaries.upsert_summaries(own.select(F.col("lang").alias("category_key"), text), path)
+
+    names = [r["lang"] for r in languages.select("lang").collect()]
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(add, names))
+    return summaries.load_summaries(spark, path)
+
+
 def summary_lookup(spark: SparkSession, sf: str) -> DataFrame:
     stored = _articles(spark, sf).where(F.col("category_key") != "en")
     return summaries.summaries_for(spark, stored, ["en", "DE", "fr", "Pet Supplies"])
@@ -747,6 +764,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         summaries_emptied,
         summaries_json,
         summary_lookup,
+        summaries_of_writers,
         stripped_texts,
         truncate_tokens,
         baseline_sentiment_wordlist,
@@ -1226,6 +1244,9 @@ def oracle_sql() -> dict[str, str]:
             SELECT category_key, CASE WHEN category_key IN ('de', 'en') THEN summary
               ELSE 'article of ' || length(summary) || ' characters' END AS summary
             FROM articles""",
+        "summaries_of_writers": """
+            SELECT lang AS category_key, count(*) || ' texts' AS summary
+            FROM documents WHERE lang IS NOT NULL GROUP BY lang""",
         "summaries_json": f"WITH {ARTICLE_CTES} SELECT * FROM articles",
         "summary_lookup": f"""WITH {ARTICLE_CTES}, wanted (meta_category, category_key) AS (
               VALUES ('en', 'en'), ('DE', 'de'), ('fr', 'fr'), ('Pet Supplies', 'pet_supplies'))

@@ -1,9 +1,15 @@
-"""The summary store: one text per category key, versioned, with JSON import and export."""
+"""The summary store: one text per category key, versioned, with JSON import and export.
+
+Writers do not lock each other out. Each writes its rows to a folder of its own and then commits them as the next
+version, which only one can; the others start again from that version.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -13,68 +19,129 @@ from starloom.sources.reviews import path_is_missing
 KEY = "category_key"
 SUMMARY = "summary"
 SCHEMA = f"{KEY} string, {SUMMARY} string"
-STORED = f"{SCHEMA}, version bigint"
+# The folder of commits; Spark's readers skip it.
+COMMITS = "_commits"
 # A JSON object is one value in one task.
 JSON_ROWS, JSON_BYTES = 1_000_000, 256 * 1024 * 1024
 KEPT_VERSIONS = 2
+# Times a writer starts again because another one was first.
+ATTEMPTS = 50
+
+
+def _fs(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _committed(spark: SparkSession, path: str) -> int:
+    """The latest version, 0 if there is none."""
+    folder, files = _fs(spark, f"{path}/{COMMITS}")
+    if not files.exists(folder):
+        return 0
+    names = [status.getPath().getName() for status in files.listStatus(folder)]
+    return max((int(name) for name in names if name.isdigit()), default=0)
 
 
-def _versions(spark: SparkSession, path: str) -> DataFrame | None:
+def _data_of(spark: SparkSession, path: str, version: int) -> DataFrame:
+    """The rows of a version, which its commit names the folder of."""
+    if not version:
+        return spark.createDataFrame([], SCHEMA)
+    writer = spark.read.text(f"{path}/{COMMITS}/{version:012d}").first()[0]
+    return spark.read.schema(SCHEMA).parquet(f"{path}/{writer}").where(F.col(KEY).isNotNull())
+
+
+def _commit(spark: SparkSession, path: str, version: int, writer: str) -> bool:
+    """Whether ``writer`` is now the folder of ``version``; False if another one is already.
+
+    The commit is a whole file before it gets its name, and it gets it only where no file has it: by a link on a
+    local disk, else by the file system's rename, which has to be atomic.
+    """
+    jvm = spark._jvm
+    folder, files = _fs(spark, f"{path}/{COMMITS}")
+    files.mkdirs(folder)
+    own = jvm.org.apache.hadoop.fs.Path(folder, f".{writer}")
+    name = jvm.org.apache.hadoop.fs.Path(folder, f"{version:012d}")
+    out = files.create(own, False)
+    out.write(bytearray(writer.encode()))
+    out.close()
     try:
-        return spark.read.schema(STORED).parquet(path)
-    except AnalysisException as error:
-        if path_is_missing(error):
-            return None
+        if files.getUri().getScheme() == "file":
+            jvm.java.nio.file.Files.createLink(_local(jvm, name), _local(jvm, own))
+        else:
+            options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+            options[0] = jvm.org.apache.hadoop.fs.Options.Rename.NONE
+            jvm.org.apache.hadoop.fs.FileContext.getFileContext(folder.toUri(), spark._jsc.hadoopConfiguration()).rename(own, name, options)
+        return True
+    except Py4JJavaError as error:
+        if error.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException":
+            return False
         raise
+    finally:
+        files.delete(own, False)
 
 
-def _latest(stored: DataFrame | None) -> int:
-    if stored is None:
-        return 0
-    return stored.agg(F.max("version")).first()[0] or 0
+def _local(jvm, path):
+    return jvm.java.io.File(path.toUri().getPath()).toPath()
 
 
 def load_summaries(spark: SparkSession, path: str) -> DataFrame:
     """The latest version; a store that does not exist yet is an empty table."""
-    stored = _versions(spark, path)
-    if stored is None:
-        return spark.createDataFrame([], SCHEMA)
-    latest = stored.where(F.col("version") == _latest(stored))
-    return latest.where(F.col(KEY).isNotNull()).select(KEY, SUMMARY)
+    return _data_of(spark, path, _committed(spark, path))
 
 
 def save_summaries(summaries: DataFrame, path: str, keep: int = KEPT_VERSIONS) -> None:
     """Replace the content of the store. Every key must be there once, and none may be null.
 
     A new version is added beside the old ones, so ``summaries`` may itself come from the store; the
-    newest ``keep`` versions stay. Each version has a row without a key, so that an empty table is a
-    version as well. One writer at a time.
+    newest ``keep`` versions stay. Of several writers at once, the last to commit decides.
     """
-    spark = summaries.sparkSession
+    _checked(summaries)
+    _write(summaries.sparkSession, path, lambda _: summaries, keep)
+
+
+def upsert_summaries(new: DataFrame, path: str, keep: int = KEPT_VERSIONS) -> None:
+    """Set the summaries of the given keys, keep the others, also those that other writers set meanwhile."""
+    _checked(new)
+    _write(new.sparkSession, path, lambda old: merged(old, new), keep)
+
+
+def _checked(summaries: DataFrame) -> None:
     counts = summaries.groupBy(KEY).agg(F.count(F.lit(1)).alias("n"))
     wrong = counts.where(F.col(KEY).isNull() | (F.col("n") > 1)).first()
     if wrong is not None:
         raise ValueError(f"{wrong['n']} summaries have the key {wrong[KEY]}")
-    version = _latest(_versions(spark, path)) + 1
-    marker = spark.createDataFrame([(None, None)], SCHEMA)
-    (
-        summaries.select(KEY, SUMMARY)
-        .unionByName(marker)
-        .withColumn("version", F.lit(version).cast("long"))
-        .write.mode("append")
-        .partitionBy("version")
-        .parquet(path)
-    )
-    _drop_versions(spark, path, version - max(1, keep))
+
+
+def _write(spark: SparkSession, path: str, content: Callable[[DataFrame], DataFrame], keep: int) -> None:
+    """Commit ``content`` of the latest version as the next one; where another writer was first, start again from
+    what that one has committed. Rows lie in a folder of their own, so nobody sees those of a commit that failed."""
+    for _ in range(ATTEMPTS):
+        base = _committed(spark, path)
+        writer = f"version={base + 1:012d}-{uuid.uuid4().hex}"
+        try:
+            rows = content(_data_of(spark, path, base)).select(KEY, SUMMARY)
+            # A row without a key, so that an empty table is a version as well.
+            rows.unionByName(spark.createDataFrame([(None, None)], SCHEMA)).write.parquet(f"{path}/{writer}")
+        except Exception:
+            if _committed(spark, path) == base:
+                raise
+            continue  # others have committed so often that the base is gone
+        if _commit(spark, path, base + 1, writer):
+            _drop_versions(spark, path, base + 1 - max(1, keep))
+            return
+        folder, files = _fs(spark, f"{path}/{writer}")
+        files.delete(folder, True)
+    raise RuntimeError(f"{ATTEMPTS} other versions of {path} were committed first")
 
 
 def _drop_versions(spark: SparkSession, path: str, last: int) -> None:
-    """Remove the folders of the versions up to ``last``."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    for status in files.listStatus(folder):
+    """Remove the commits up to version ``last`` and the folders that were written for them."""
+    folder, files = _fs(spark, path)
+    commits, _ = _fs(spark, f"{path}/{COMMITS}")
+    for status in [*files.listStatus(commits), *files.listStatus(folder)]:
         name = status.getPath().getName()
-        if name.startswith("version=") and int(name.removeprefix("version=")) <= last:
+        number = name if name.isdigit() else name.removeprefix("version=").split("-")[0]
+        if number.isdigit() and int(number) <= last:
             files.delete(status.getPath(), True)
 
 
@@ -83,11 +150,6 @@ def merged(old: DataFrame, new: DataFrame) -> DataFrame:
     return old.join(new, KEY, "left_anti").select(KEY, SUMMARY).unionByName(new.select(KEY, SUMMARY))
 
 
-def upsert_summaries(new: DataFrame, path: str) -> None:
-    """Set the summaries of the given keys, keep the others."""
-    save_summaries(merged(load_summaries(new.sparkSession, path), new), path)
-
-
 def load_summaries_json(spark: SparkSession, path: str) -> DataFrame:
     """One JSON object ``{category_key: text}``; a missing file is an empty table, a broken one an error."""
     try:
