@@ -28,7 +28,7 @@ from starloom.operators import (
 )
 from starloom.plans import articles, reports
 from starloom.session import scratch_path, written_once
-from starloom.sources import summaries, views
+from starloom.sources import running_stats, summaries, views
 from starloom.sources import reviews as review_files
 
 try:
@@ -607,6 +607,25 @@ def kmeans_sizes(spark: SparkSession, sf: str) -> DataFrame:
     return profile.class_sizes(clusters.assign_clusters(model, vectors), "cluster")
 
 
+def _running(spark: SparkSession, sf: str) -> str:
+    """A store of three batches of reviews, one of which is sent twice."""
+    path = scratch_path(spark, "running-stats")
+    reviews = views.reviews(spark, sf, nulls=True)
+    batch = F.pmod(F.crc32("review_id"), F.lit(3))
+    for number in (0, 1, 0, 2):
+        running_stats.add_batch(reviews.where(batch == number), path, f"batch {number}")
+    return path
+
+
+def running_product_stats(spark: SparkSession, sf: str) -> DataFrame:
+    stats = running_stats.running_stats(spark, _running(spark, sf))
+    return stats.withColumn("avg_rating", F.round("avg_rating", 9))
+
+
+def running_sentiment(spark: SparkSession, sf: str) -> DataFrame:
+    return running_stats.running_sentiment(spark, _running(spark, sf))
+
+
 NAME_KS, VECTOR_K, STEPS = [2, 4, 6], 6, 3
 
 
@@ -712,6 +731,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         picked_products,
         product_stats,
         product_stats_nulls,
+        running_product_stats,
+        running_sentiment,
         product_means,
         top_n_one_category,
         worst_one_category,
@@ -1208,6 +1229,12 @@ def oracle_sql() -> dict[str, str]:
         "kmeans_facts": """
             SELECT CAST(k AS INTEGER) AS k, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_not_nearest
             FROM embeddings, (VALUES (2), (4), (6)) AS ks(k) GROUP BY k""",
+        "running_product_stats": f"""WITH {REVIEWS}, {NULLS}
+            SELECT meta_category, name, round(avg(rating), 9) AS avg_rating, count(rating) AS num_reviews
+            FROM nulls WHERE name IS NOT NULL AND meta_category IS NOT NULL GROUP BY meta_category, name""",
+        "running_sentiment": f"""WITH {REVIEWS}, {NULLS}
+            SELECT meta_category, {SENTIMENT} AS sentiment, count(*) AS reviews
+            FROM nulls WHERE name IS NOT NULL AND meta_category IS NOT NULL AND rating IS NOT NULL GROUP BY ALL""",
         "name_cluster_sweep": _clusters_sql(
             NAME_POINTS, NAME_KS, STEPS,
             " UNION ALL ".join(

@@ -9,11 +9,11 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Sequence
 
-from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starloom.functions.columns import category_key
+from starloom.sources import commits
 from starloom.sources.reviews import path_is_missing
 
 KEY = "category_key"
@@ -28,18 +28,9 @@ KEPT_VERSIONS = 2
 ATTEMPTS = 50
 
 
-def _fs(spark: SparkSession, path: str):
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
 def _committed(spark: SparkSession, path: str) -> int:
     """The latest version, 0 if there is none."""
-    folder, files = _fs(spark, f"{path}/{COMMITS}")
-    if not files.exists(folder):
-        return 0
-    names = [status.getPath().getName() for status in files.listStatus(folder)]
-    return max((int(name) for name in names if name.isdigit()), default=0)
+    return max(map(int, commits.claimed(spark, f"{path}/{COMMITS}")), default=0)
 
 
 def _data_of(spark: SparkSession, path: str, version: int) -> DataFrame:
@@ -51,37 +42,8 @@ def _data_of(spark: SparkSession, path: str, version: int) -> DataFrame:
 
 
 def _commit(spark: SparkSession, path: str, version: int, writer: str) -> bool:
-    """Whether ``writer`` is now the folder of ``version``; False if another one is already.
-
-    The commit is a whole file before it gets its name, and it gets it only where no file has it: by a link on a
-    local disk, else by the file system's rename, which has to be atomic.
-    """
-    jvm = spark._jvm
-    folder, files = _fs(spark, f"{path}/{COMMITS}")
-    files.mkdirs(folder)
-    own = jvm.org.apache.hadoop.fs.Path(folder, f".{writer}")
-    name = jvm.org.apache.hadoop.fs.Path(folder, f"{version:012d}")
-    out = files.create(own, False)
-    out.write(bytearray(writer.encode()))
-    out.close()
-    try:
-        if files.getUri().getScheme() == "file":
-            jvm.java.nio.file.Files.createLink(_local(jvm, name), _local(jvm, own))
-        else:
-            options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
-            options[0] = jvm.org.apache.hadoop.fs.Options.Rename.NONE
-            jvm.org.apache.hadoop.fs.FileContext.getFileContext(folder.toUri(), spark._jsc.hadoopConfiguration()).rename(own, name, options)
-        return True
-    except Py4JJavaError as error:
-        if error.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException":
-            return False
-        raise
-    finally:
-        files.delete(own, False)
-
-
-def _local(jvm, path):
-    return jvm.java.io.File(path.toUri().getPath()).toPath()
+    """Whether ``writer`` is now the folder of ``version``; False if another one is already."""
+    return commits.claim(spark, f"{path}/{COMMITS}", f"{version:012d}", writer)
 
 
 def load_summaries(spark: SparkSession, path: str) -> DataFrame:
@@ -129,16 +91,15 @@ def _write(spark: SparkSession, path: str, content: Callable[[DataFrame], DataFr
         if _commit(spark, path, base + 1, writer):
             _drop_versions(spark, path, base + 1 - max(1, keep))
             return
-        folder, files = _fs(spark, f"{path}/{writer}")
-        files.delete(folder, True)
+        commits.remove(spark, f"{path}/{writer}")
     raise RuntimeError(f"{ATTEMPTS} other versions of {path} were committed first")
 
 
 def _drop_versions(spark: SparkSession, path: str, last: int) -> None:
     """Remove the commits up to version ``last`` and the folders that were written for them."""
-    folder, files = _fs(spark, path)
-    commits, _ = _fs(spark, f"{path}/{COMMITS}")
-    for status in [*files.listStatus(commits), *files.listStatus(folder)]:
+    folder, files = commits.folder_of(spark, path)
+    listed, _ = commits.folder_of(spark, f"{path}/{COMMITS}")
+    for status in [*files.listStatus(listed), *files.listStatus(folder)]:
         name = status.getPath().getName()
         number = name if name.isdigit() else name.removeprefix("version=").split("-")[0]
         if number.isdigit() and int(number) <= last:
