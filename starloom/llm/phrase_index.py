@@ -4,8 +4,8 @@ Of the training texts, postings are stored for the terms that queries need: per
 document, the position, and the words next to it. Each window of a benchmark item is looked up by its
 two rarest terms, by their number in the training texts: their posting lists are shifted by the terms'
 places in the item, and meet where document, item and shifted position agree. What meets is held against
-the item word by word, which gives exact phrases; where all terms of a window stand around the rarest one,
-but not as the phrase, it is a proximity match.
+the item word by word, which gives exact phrases. A proximity match is a stretch of a document that has the words of a window,
+each as often, in whatever order: it holds the window's rarest term, so the words next to that term's postings tell.
 
 Only SQL functions are used. A window in which a term occurs nowhere is not looked up. Texts are split
 where they are read and never moved: only postings of rare terms are.
@@ -128,11 +128,19 @@ def agreeing(a: Column, b: Column) -> Column:
     return F.when(differs == 0, F.size(same)).otherwise(differs - 1).cast("int")
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+def bags(words: Column, place: Column, size: Column) -> Column:
+    """(start, bag) of each stretch of ``size`` words that holds the one at ``place``, from 1; a bag has no order."""
+    first, last = F.greatest(place - size + 1, F.lit(1)), F.least(place, F.size(words) - size + 1)
+    starts = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+    bag = lambda at: F.array_join(F.array_sort(F.slice(words, at, size)), " ")
+    return F.transform(starts, lambda at: F.struct(at.alias("start"), bag(at).alias("bag")))
+
+
+def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, proximity: bool = True) -> DataFrame:
     """(key, item_id, item, first, last, exact): stretches of a document that are in an item.
 
-    An exact stretch is a phrase of at least a window that document and item share; the others are windows
-    whose terms all stand within a window's reach of its rarest term, in whatever order.
+    Without ``proximity`` exact ones only. An exact stretch is a phrase of at least a window that document and item share; the others have the words of a
+    window in another order. An item may have both in one document.
     """
     items = written_once(item_words(benchmark), "benchmark-items")
     looked = written_once(lookups(docs, items, window), "benchmark-lookups")
@@ -141,6 +149,14 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Data
     )
     asked = looked.select("term", "item", "item_id", "need", "place", F.col("left").alias("item_left"), F.col("right").alias("item_right"))
     small = asked.count() <= BROADCAST_TERMS
+    here, there = (F.concat(F.reverse(a), F.array("term"), b) for a, b in (("left", "right"), ("item_left", "item_right")))
+    wanted = bags(there, F.size("item_left") + 1, F.col("need"))["bag"]
+    permuted = F.filter(bags(here, F.size("left") + 1, F.col("need")), lambda s: F.array_contains(wanted, s["bag"]))
+    # Of the words beside the item's place, no more may be missing here than a window leaves out.
+    beside_item = F.concat("item_left", "item_right")
+    possible = F.size(F.array_except(beside_item, here)) <= F.size(beside_item) + 1 - F.col("need")
+    apart = F.col("position") - F.size("left") - 1 + F.get(permuted, F.lit(0))["start"]
+    near = F.when(possible, apart) if proximity else F.lit(None).cast("int")
     met = index.join(F.broadcast(asked) if small else asked, "term").select(
         "key",
         "item",
@@ -151,9 +167,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Data
         (F.col("position") - F.col("place")).alias("shift"),
         agreeing(F.col("left"), F.col("item_left")).alias("before"),
         agreeing(F.col("right"), F.col("item_right")).alias("after"),
-        (
-            F.size(F.array_except(F.concat("item_left", "item_right"), F.concat("left", "right", F.array("term")))) == 0
-        ).alias("near"),
+        near.alias("near"),
     )
     lists = met.groupBy("key", "item", "item_id", "need", "shift").agg(
         F.collect_set(F.struct("position", "before", "after", "near")).alias("hits")
@@ -161,33 +175,35 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Data
     # Both rarest terms of a window meet in its list; an item of one word has only one.
     both = F.size("hits") >= F.least(F.col("need"), F.lit(2))
     exact = (F.col("hit.before") + 1 + F.col("hit.after")) >= F.col("need")
+    near = F.col("hit.near")
     return (
         lists.withColumn("hit", F.explode("hits"))
         .select(
             "key",
             "item",
             "item_id",
-            F.when(exact & both, F.col("hit.position") - F.col("hit.before"))
-            .otherwise(F.greatest(F.col("hit.position") - window + 1, F.lit(0)))
-            .alias("first"),
+            F.when(exact & both, F.col("hit.position") - F.col("hit.before")).otherwise(near).alias("first"),
             F.when(exact & both, F.col("hit.position") + F.col("hit.after"))
-            .otherwise(F.col("hit.position") + window - 1)
+            .otherwise(near + F.col("need") - 1)
             .alias("last"),
             (exact & both).alias("exact"),
-            F.col("hit.near").alias("near"),
+            near.isNotNull().alias("near"),
         )
         .where("exact OR near")
         .drop("near")
     )
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, proximity: bool = False) -> DataFrame:
     """(doc_id, key, n_words, n_hit, n_items, item_ids, contaminated) of each (doc_id, text).
 
-    A document is contaminated where at least a twentieth of its words are in exact matches.
+    A document is contaminated where at least a twentieth of its words are in exact matches. With ``proximity`` there
+    is ``n_near`` as well, the items with a window whose words the document has together in whatever order.
     """
-    found = matches(docs, benchmark, window).where("exact")
-    stretches = F.array_sort(F.collect_set(F.struct("first", "last")))
+    found = matches(docs, benchmark, window, proximity)
+    near = [F.countDistinct("item_id").alias("n_near")] if proximity else []
+    own = lambda c: F.when(F.col("exact"), c)
+    stretches = F.array_sort(F.collect_set(own(F.struct("first", "last"))))
     covered = F.aggregate(
         "stretches",
         F.struct(F.lit(0).alias("n"), F.lit(-1).alias("to")),
@@ -200,10 +216,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
         found.groupBy("key")
         .agg(
             stretches.alias("stretches"),
-            F.countDistinct("item_id").alias("n_items"),
-            F.array_sort(F.collect_set("item_id")).alias("item_ids"),
+            F.array_sort(F.collect_set(own(F.col("item_id")))).alias("item_ids"),
+            *near,
         )
-        .select("key", covered.cast("long").alias("n_hit"), "n_items", "item_ids")
+        .select("key", covered.cast("long").alias("n_hit"), F.size("item_ids").cast("long").alias("n_items"), "item_ids", *("n_near" for _ in near))
     )
     counted = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
@@ -220,4 +236,5 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
         F.coalesce("n_items", F.lit(0)).alias("n_items"),
         F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),
         ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"),
+        *(F.coalesce("n_near", F.lit(0)).alias("n_near") for _ in near),
     )

@@ -84,9 +84,9 @@ def op8_pigeonring(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op9_positional_index(spark: SparkSession, sf: str) -> DataFrame:
-    judged = phrase_index.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    judged = phrase_index.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"), proximity=True)
     digest = F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256")
-    return judged.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated")
+    return judged.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated", "n_near")
 
 
 def op10_factorisation_machine(spark: SparkSession, sf: str) -> DataFrame:
@@ -170,14 +170,18 @@ def oracle_sql() -> dict[str, str]:
             items AS (SELECT item_id, {words} AS w FROM benchmark),
             sized AS (SELECT item_id, w, least(13, len(w)) AS k FROM items WHERE len(w) > 0),
             windows AS (
-              SELECT DISTINCT item_id, k, array_to_string(w[s : s + k - 1], ' ') AS phrase
+              SELECT DISTINCT item_id, k, array_to_string(w[s : s + k - 1], ' ') AS phrase,
+                     array_to_string(list_sort(w[s : s + k - 1]), ' ') AS bag
               FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS s FROM sized)),
             said AS (SELECT doc_id, {words} AS w FROM documents),
             places AS (
-              SELECT doc_id, k, s, array_to_string(w[s : s + k - 1], ' ') AS phrase
+              SELECT doc_id, k, s, array_to_string(w[s : s + k - 1], ' ') AS phrase,
+                     array_to_string(list_sort(w[s : s + k - 1]), ' ') AS bag
               FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS s
                     FROM said CROSS JOIN (SELECT DISTINCT k FROM sized))),
             matches AS (SELECT doc_id, s, k, item_id FROM places JOIN windows USING (k, phrase)),
+            near AS (
+              SELECT doc_id, count(DISTINCT item_id) AS n_near FROM places JOIN windows USING (k, bag) GROUP BY doc_id),
             hits AS (
               SELECT doc_id, count(DISTINCT place) AS n_hit
               FROM (SELECT doc_id, unnest(range(s, s + k)) AS place FROM matches) GROUP BY doc_id),
@@ -187,8 +191,10 @@ def oracle_sql() -> dict[str, str]:
               WHERE item_id IS NOT NULL GROUP BY doc_id)
             SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
                    coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
-                   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
-            FROM said LEFT JOIN hits USING (doc_id) LEFT JOIN listed USING (doc_id)""",
+                   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated,
+                   coalesce(n_near, 0) AS n_near
+            FROM said LEFT JOIN hits USING (doc_id) LEFT JOIN listed USING (doc_id)
+            LEFT JOIN near USING (doc_id)""",
     }
 
 

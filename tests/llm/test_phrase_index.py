@@ -73,17 +73,46 @@ def test_contamination_by_hand(tables, monkeypatch, window, bound):
     assert all(r.n_items == len(r.item_ids) for r in found)
 
 
-def test_proximity_matches_have_all_terms_nearby(tables):
+def plain_near(text, window):
+    """Items with a window whose words stand together in whatever order."""
+    said, found = words(text), set()
+    for item_id, item in ITEMS + LONGER:
+        asked = words(item)
+        size = min(window, len(asked))
+        for s in range(len(asked) - size + 1) if asked else ():
+            bag = Counter(asked[s : s + size])
+            if item_id is not None and any(Counter(said[at : at + size]) == bag for at in range(len(said) - size + 1)):
+                found.add(str(item_id))
+    return found
+
+
+# Words in another order: of the middle of a long item, with one twice, and with one missing.
+LONGER = [(20, " ".join(f"item{chr(97 + i)}" for i in range(26)) + " again again")]
+SCRAMBLED = [
+    (30, "x itemn itemj itemk iteml itemm y"),
+    (31, "x itemn itemj itemk iteml y"),
+    (32, "again itemz again itemy itemx"),
+    (33, "again itemz itemy itemx itemx"),
+    (34, "itemc itemb"),
+]
+
+
+@pytest.mark.parametrize("window", [2, 4, 5, 13])
+def test_proximity_is_a_window_in_any_order(spark, tables, window):
     docs, items = tables
-    near = [r for r in px.matches(docs, items, window=4).collect() if not r.exact]
-    keys = {r.key: r.doc_id for r in docs.select(px.document_key().alias("key"), "doc_id").collect()}
-    # Document 10 has all terms of the stretch "one two three four" in another order.
-    assert (10, "10") in {(keys[r.key], r.item_id) for r in near}
-    texts = dict(DOCS)
-    for r in near:
-        said = words(texts[keys[r.key]])
-        item = next(words(t) for i, t in ITEMS if str(i) == str(r.item_id) and t)
-        assert set(said[r.first : r.last + 1]) & set(item)
+    docs = docs.unionByName(spark.createDataFrame([(*d, "clash") for d in SCRAMBLED], docs.schema))
+    items = items.unionByName(spark.createDataFrame([(*i, "clash") for i in LONGER], items.schema))
+    keys = {r.key: (r.doc_id, r.text) for r in docs.select(px.document_key().alias("key"), "doc_id", "text").collect()}
+    found = px.matches(docs, items, window).collect()
+    for r in found:
+        if not r.exact:  # the stretch has the words of a window
+            said = words(keys[r.key][1])[r.first : r.last + 1]
+            item = [words(t) for i, t in ITEMS + LONGER if str(i) == str(r.item_id) and t]
+            assert any(Counter(w[s : s + len(said)]) == Counter(said) for w in item for s in range(len(w)))
+    judged = px.contamination(docs, items, window, proximity=True).collect()
+    expected = Counter((i, len(plain_near(text, window))) for i, text in DOCS + SCRAMBLED)
+    assert Counter((r.doc_id, r.n_near) for r in judged) == expected
+    assert all(r.n_near >= r.n_items for r in judged)
 
 
 def test_empty_tables(tables):
@@ -107,7 +136,7 @@ def test_query_against_its_sql(spark, small):
     rows = Counter(tuple(r) for r in op9_positional_index(spark, small).collect())
     cursor = duck(small).execute(oracle_sql()["op9_positional_index"])
     names = [c[0] for c in cursor.description]
-    assert names == ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+    assert names == ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "n_near"]
     assert rows == Counter(cursor.fetchall())
 
 
