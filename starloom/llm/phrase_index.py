@@ -25,7 +25,6 @@ from starloom.session import written_once
 WINDOW = 13
 # Benchmark terms that are broadcast; more are joined by a shuffle.
 BROADCAST_TERMS = 200_000
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -152,9 +151,12 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, proximi
     here, there = (F.concat(F.reverse(a), F.array("term"), b) for a, b in (("left", "right"), ("item_left", "item_right")))
     wanted = bags(there, F.size("item_left") + 1, F.col("need"))["bag"]
     permuted = F.filter(bags(here, F.size("left") + 1, F.col("need")), lambda s: F.array_contains(wanted, s["bag"]))
-    # Of the words beside the item's place, no more may be missing here than a window leaves out.
+    # A word next to the posting has to be beside the item's place as well, and of the words there no more may be
+    # missing here than a window leaves out.
     beside_item = F.concat("item_left", "item_right")
-    possible = F.size(F.array_except(beside_item, here)) <= F.size(beside_item) + 1 - F.col("need")
+    held = lambda words: F.array_contains(beside_item, F.get(words, F.lit(0)))
+    beside_too = (F.col("need") == 1) | F.coalesce(held("left"), F.lit(False)) | F.coalesce(held("right"), F.lit(False))
+    possible = beside_too & (F.size(F.array_except(beside_item, here)) <= F.size(beside_item) + 1 - F.col("need"))
     apart = F.col("position") - F.size("left") - 1 + F.get(permuted, F.lit(0))["start"]
     near = F.when(possible, apart) if proximity else F.lit(None).cast("int")
     met = index.join(F.broadcast(asked) if small else asked, "term").select(
@@ -224,7 +226,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, p
     counted = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         document_key().alias("key"),
-        F.coalesce(F.regexp_count(F.col("text").cast("string"), F.lit(WORD)), F.lit(0)).cast("long").alias("n_words"),
+        F.size(raw_words(F.col("text").cast("string"))).cast("long").alias("n_words"),
     )
     judged = counted.join(written_once(hits, "benchmark-hits"), "key", "left")
     n_hit = F.coalesce("n_hit", F.lit(0))
