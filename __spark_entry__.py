@@ -34,7 +34,10 @@ from starloom.sources import reviews as review_files
 try:
     import corpus_pipeline
     from starloom.llm import queries as llm
-except ImportError:
+except ModuleNotFoundError as missing:
+    # Only the subpackage itself may be absent; a library that it needs may not.
+    if missing.name not in ("corpus_pipeline", "starloom.llm"):
+        raise
     corpus_pipeline = llm = None
 
 CATEGORY = "PROMO"

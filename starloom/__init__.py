@@ -9,6 +9,7 @@ from starloom.operators.categories import (
 )
 from starloom.operators.cleaning import clean_columns
 from starloom.operators.clusters import assign_clusters, cluster_sweep
+from starloom.operators.count_model import load_counts, predict_counts, train_counts
 from starloom.operators.evidence import article_evidence, reviews_of_products
 from starloom.operators.labels import assign_sentiment_labels, encode_labels
 from starloom.operators.metrics import classification_report, confusion_matrix
@@ -31,11 +32,14 @@ from starloom.operators.profile import (
 )
 from starloom.operators.sampling import balance_classes, train_test_split
 from starloom.operators.sentiment import baseline_sentiment
+from starloom.operators.steady_clusters import steady_clusters, steady_sweep
 from starloom.operators.text_model import load_model, predict_sentiment, train_sentiment
+from starloom.operators.token_cut import truncate_by_tokenizer
 from starloom.plans.articles import generate_category_blogs
 from starloom.plans.reports import dashboard
 from starloom.session import build_session, remove_scratch
 from starloom.sources.reviews import load_reviews, load_table, save_csv, save_table
+from starloom.sources.running_stats import add_batch, running_sentiment, running_stats
 from starloom.sources.summaries import (
     load_summaries,
     load_summaries_json,
@@ -45,6 +49,7 @@ from starloom.sources.summaries import (
 )
 
 __all__ = [
+    "add_batch",
     "article_evidence",
     "assign_clusters",
     "assign_sentiment_labels",
@@ -65,6 +70,7 @@ __all__ = [
     "get_top_n",
     "get_worst",
     "join_mapping",
+    "load_counts",
     "load_model",
     "load_reviews",
     "load_summaries",
@@ -74,20 +80,27 @@ __all__ = [
     "mapping_summary",
     "null_counts",
     "picked_products",
+    "predict_counts",
     "predict_sentiment",
     "product_means",
     "product_stats",
     "rating_chart",
     "remove_scratch",
     "reviews_of_products",
+    "running_sentiment",
+    "running_stats",
     "save_csv",
     "save_summaries",
     "save_summaries_json",
     "save_table",
+    "steady_clusters",
+    "steady_sweep",
     "table_profile",
     "top_per_category",
+    "train_counts",
     "train_sentiment",
     "train_test_split",
+    "truncate_by_tokenizer",
     "upsert_summaries",
     "value_counts",
     "worst_per_category",
