@@ -702,7 +702,7 @@ def csv_blocks(spark: SparkSession, sf: str) -> DataFrame:
     review_files.save_csv(texts.coalesce(1).sortWithinPartitions("doc_id"), path)
     setting = "spark.sql.files.maxPartitionBytes"
     usual = spark.conf.get(setting)
-    spark.conf.set(setting, "64k")
+    spark.conf.set(setting, "256k")
     try:
         rows = review_files.load_reviews(spark, path, {"doc_id": "bigint"})
         rows = rows.select("doc_id", "review_id", F.md5("text").alias("text_md5"), "source")
