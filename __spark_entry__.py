@@ -23,10 +23,11 @@ from starloom.operators import (
     sampling,
     sentiment,
     steady_clusters,
+    text_blocks,
     text_model,
     token_cut,
 )
-from starloom.plans import articles, reports
+from starloom.plans import articles, digests, reports
 from starloom.session import scratch_path, written_once
 from starloom.sources import running_stats, summaries, views
 from starloom.sources import reviews as review_files
@@ -399,6 +400,32 @@ def review_blocks(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _whole_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    reviews = views.text_reviews(spark, sf)
+    picked = products.picked_products(products.product_stats(reviews), 3)
+    return text_blocks.product_blocks(reviews, picked.select("name").distinct(), 2000)
+
+
+def whole_review_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """All reviews of the picked products in blocks of at most 2,000 characters."""
+    texts = F.md5(F.array_join("texts", "\n"))
+    return _whole_blocks(spark, sf).select("name", "block", "reviews", "chars", texts.alias("texts_md5"))
+
+
+def review_digests(spark: SparkSession, sf: str) -> DataFrame:
+    """A tree over the blocks, by a model that adds up the lengths of what it was shown."""
+
+    def load():
+        def answer(prompt: str) -> str:
+            if prompt.startswith("Sum up"):
+                return str(len(prompt))
+            return str(sum(int(line[2:]) for line in prompt.split("\n")[1:]))
+
+        return answer
+
+    return digests.digest_blocks(_whole_blocks(spark, sf), load, fan=4)
+
+
 def article_prompt(spark: SparkSession, sf: str) -> DataFrame:
     inputs = articles.article_inputs(_evidence(spark, sf))
     prompt = articles.article_prompt()
@@ -781,6 +808,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         article_evidence,
         article_evidence_uncapped,
         review_blocks,
+        whole_review_blocks,
+        review_digests,
         article_prompt,
         article_text,
         article_text_hook,
@@ -951,6 +980,15 @@ ARTICLES = """articles AS (
            || e'\\n\\n## Avoid\\n\\n' || worst_table || e'\\n' AS summary
   FROM inputs)"""
 ARTICLE_CTES = ", ".join([EVIDENCE_CTES, INPUTS, ARTICLES])
+WHOLE_BLOCKS = f"""{TEXTS}, {STATS}, {RANKS}, {PICKS}, parts AS (
+  SELECT name, review_id, part, substr(text, 999 * part + 1, 999) AS piece
+  FROM (SELECT *, unnest(range(greatest(1, CAST(ceil(coalesce(length(text), 0) / 999) AS BIGINT)))) AS part
+        FROM reviews WHERE name IN (SELECT name FROM picks))),
+placed AS (
+  SELECT *, 1 + coalesce(length(piece), 0) AS size, CAST(coalesce(sum(1 + coalesce(length(piece), 0)) OVER (
+           PARTITION BY name ORDER BY review_id NULLS FIRST, part
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) // 1000 AS block
+  FROM parts)"""
 BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 
@@ -1206,6 +1244,17 @@ def oracle_sql() -> dict[str, str]:
             SELECT meta_category, role, rank, name, CAST(count(*) AS INTEGER) AS n_texts,
                    md5(string_agg(text, chr(10) ORDER BY pos)) AS texts_md5
             FROM evidence GROUP BY ALL""",
+        "whole_review_blocks": f"""WITH {WHOLE_BLOCKS}
+            SELECT name, block, count(*) FILTER (part = 0) AS reviews, CAST(sum(size) AS BIGINT) AS chars,
+                   md5(string_agg(piece, chr(10) ORDER BY review_id NULLS FIRST, part)) AS texts_md5
+            FROM placed GROUP BY name, block""",
+        "review_digests": f"""WITH {WHOLE_BLOCKS}, asked AS (
+              SELECT name, 'Sum up in a few sentences what these reviews of ' || name
+                || ' praise and what they complain about:' || chr(10)
+                || string_agg('- ' || coalesce(piece, ''), chr(10) ORDER BY review_id NULLS FIRST, part) AS prompt
+              FROM placed GROUP BY name, block)
+            SELECT name, CAST(CAST(sum(length(prompt)) AS BIGINT) AS VARCHAR) AS digest, count(*) AS blocks
+            FROM asked GROUP BY name""",
         "category_mapping_hook": f"""WITH {REVIEWS}, asked AS (
               SELECT DISTINCT categories, 'Which of {prompt_options} is ''' || categories
                 || '''? Answer with one name.' AS prompt FROM reviews)

@@ -95,7 +95,8 @@ def article_evidence(
 def review_blocks(evidence: DataFrame) -> DataFrame:
     """Texts per picked product in review order, a missing text kept as null.
 
-    The cap of the evidence bounds what is gathered into one row; evidence without one is refused.
+    The cap of the evidence bounds what is gathered into one row; evidence without one is refused, and
+    ``text_blocks.product_blocks`` deals all reviews into blocks.
     """
     no_cap = F.raise_error(F.lit("review blocks need evidence with a cap on reviews"))
     pos = F.when(F.col("pos").isNull(), no_cap.cast("int")).otherwise(F.col("pos"))

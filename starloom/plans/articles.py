@@ -18,7 +18,7 @@ Write = Callable[[str], str]
 LOW_RATING = 2
 
 
-def _product_line() -> Column:
+def product_line() -> Column:
     return F.concat(
         F.col("rank").cast("string"),
         F.lit(". "),
@@ -31,7 +31,13 @@ def _product_line() -> Column:
     )
 
 
-def _listed(texts: Column) -> Column:
+def product_heading() -> Column:
+    return F.concat(
+        F.lit("Reviews of "), F.col(NAME), F.lit(" (place "), F.col("rank").cast("string"), F.lit(")\n")
+    )
+
+
+def listed(texts: Column) -> Column:
     """A bullet per text; one that is missing leaves an empty bullet."""
     bullets = F.transform(texts, lambda t: F.concat(F.lit("- "), F.coalesce(t, F.lit(""))))
     return F.array_join(bullets, "\n")
@@ -61,19 +67,21 @@ def article_inputs(
     if complaints is not None:
         low = F.slice(low, 1, complaints)
     low = F.transform(low, lambda r: r["text"])
-    heading = F.concat(
-        F.lit("Reviews of "), F.col(NAME), F.lit(" (place "), F.col("rank").cast("string"), F.lit(")\n")
-    )
     blocks = review_blocks(evidence).select(
         META,
         "role",
         "rank",
-        _product_line().alias("line"),
-        F.concat(heading, _listed(F.col("texts"))).alias("block"),
+        product_line().alias("line"),
+        F.concat(product_heading(), listed(F.col("texts"))).alias("block"),
         F.when(
-            F.size(low) > 0, F.concat(F.col(NAME), F.lit(":\n"), _listed(low))
+            F.size(low) > 0, F.concat(F.col(NAME), F.lit(":\n"), listed(low))
         ).alias("complaint"),
     )
+    return assembled(blocks)
+
+
+def assembled(blocks: DataFrame) -> DataFrame:
+    """One row per category from rows of products: their ``line``, ``block`` and ``complaint`` by role and rank."""
     return (
         blocks.groupBy(META)
         .agg(
