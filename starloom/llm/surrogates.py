@@ -8,6 +8,13 @@ case, digits, separators, country code and card issuer where the kind has them,
 digits, and names keep script and gender. Draws are checked against each other and against all found
 entities; who collides draws again, so different entities stay different and none becomes another's name.
 
+A word of a name is one entity in its script, whatever title it follows or place it has in a name, so first and
+family names are kept apart too. It is drawn as what it is most often in all documents: a family name (the last
+word behind a title), or a first name of the gender its titles tell. Where a document names somebody behind a
+title, the same capitalised words are replaced elsewhere in it too. Names are drawn in Latin, Cyrillic, Greek,
+Armenian and Georgian; those of other scripts with capitals become Latin ones. Names in scripts that have no
+capitals, but for Georgian, are not found.
+
 Only SQL functions are used. Documents without an entity are passed through; those with one are written
 once with their text cut at the entities, and only mentions are joined with the table of surrogates.
 
@@ -29,7 +36,11 @@ TITLES = {
     "f": ["Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Sra", "Señora", "г-жа", "κα"],
     "x": ["Dr", "Prof"],
 }
-NAME = r"\p{Lu}[\p{L}'’-]+"
+# A possessive s is no part of a name, nor is a quotation mark beside it.
+JOINT = r"['’-](?!s(?!\p{L}))"
+NAME = rf"[\p{{Lu}}\p{{IsGeorgian}}](?=(?:{JOINT})?\p{{L}})\p{{L}}*+(?:{JOINT}\p{{L}}++){{0,3}}"
+BEFORE_NAME = r"(?<![\p{L}\p{M}\p{N}_]|\p{L}['’-])"
+AFTER_NAME = rf"(?![\p{{L}}\p{{M}}\p{{N}}_]|{JOINT}\p{{L}})"
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,24}(?![A-Za-z0-9-])",
     "secret": rf"(?<![A-Za-z0-9]){SECRET_WORD}[A-Za-z0-9+/_-]{{12,}}",
@@ -54,15 +65,20 @@ KIND_TESTS = [
     ("phone", "^[+(0-9]"),
 ]
 # Syllables and endings that names are drawn from, by script: female, male, either, family name.
+SCRIPTS = {"cyrillic": "Cyrillic", "greek": "Greek", "armenian": "Armenian", "georgian": "Georgian"}
 SYLLABLES = {
     "latin": "ba be bi bo da de di do fa fe ga go ha he ja jo ka ke ki ko la le li lo ma me mi mo na ne no pa pe ra re ri ro sa se si so ta te ti to va ve vi",
     "cyrillic": "ба бе би бо да де ди до за зе ка ке ки ко ла ле ли ло ма ме ми мо на не но па пе ра ре ри ро са се си со та те ти то ва ве ви",
     "greek": "βα βε βι γα γε δα δε δι ζα ζε θα θε κα κε κι λα λε λι μα με μι να νε νι πα πε πι ρα ρε ρι σα σε σι τα τε τι φα φε φι",
+    "armenian": "բա բե բի գա գե գի դա դե դի զա զե կա կե կի լա լե լի մա մե մի նա նե նի պա պե պի ռա ռե ռի սա սե սի տա տե տի վա վե վի",
+    "georgian": "ბა ბე ბი გა გე გი და დე დი ზა ზე კა კე კი ლა ლე ლი მა მე მი ნა ნე ნი პა პე პი რა რე რი სა სე სი ტა ტე ტი ვა ვე ვი",
 }
 ENDINGS = {
     "latin": {"f": "na lia ra tta", "m": "n rd s l", "x": "lin ren rin ton", "surname": "ner son ley mann"},
     "cyrillic": {"f": "на лия ра та", "m": "н р с л", "x": "ша ня ля ся", "surname": "енко ук ых ко"},
     "greek": {"f": "να λία ρα τα", "m": "νος ρης λος της", "x": "νι λι ρι τι", "surname": "ίδη άκη ίου έα"},
+    "armenian": {"f": "նուշ նե իկ ուհի", "m": "ն մ կ գ", "x": "լի րի նի սի", "surname": "յան ունի ենց ուց"},
+    "georgian": {"f": "ნა კო ია ლა", "m": "რი ზი გი ნი", "x": "ლო შო ტო ქო", "surname": "ძე შვილი ური ია"},
 }
 MAX_DRAWS = 40
 
@@ -72,21 +88,16 @@ def surrogates_for(docs: DataFrame, key: str, count_as: str | None = None) -> Da
     own = [c for c in docs.columns if c != count_as]
     held = docs.select(F.struct(*(F.col(f"`{c}`") for c in own)).alias("kept"), F.col("text").cast("string").alias("said"))
     has = F.coalesce(may_hold(F.col("said")) & F.col("said").rlike(ANY), F.lit(False))
-    marked = written_once(
-        held.where(has).select(
-            "kept",
-            F.split("said", ANY, -1).alias("gaps"),
-            F.regexp_extract_all("said", F.lit(ANY), F.lit(0)).alias("found"),
-            F.monotonically_increasing_id().alias("row"),
-        ),
-        "pii-marked",
+    cut = held.where(has).select(
+        "kept", F.split("said", ANY, -1).alias("gaps"), F.regexp_extract_all("said", F.lit(ANY), F.lit(0)).alias("found")
     )
+    marked = written_once(with_untitled(cut).withColumn("row", F.monotonically_increasing_id()), "pii-marked")
     mentions = (
         marked.select("row", F.posexplode("found").alias("pos", "mention"))
-        .select("row", "pos", "mention", F.posexplode(units(F.col("mention"))).alias("sub", "unit"))
+        .select("row", "pos", F.posexplode(units(F.col("mention"))).alias("sub", "unit"))
         .select("row", "pos", "sub", "unit.*")
     )
-    table = surrogate_table(mentions.where("kind IS NOT NULL").select("kind", "entity").distinct(), key)
+    table = surrogate_table(entities_of(mentions.where("kind IS NOT NULL")), key)
     # Both sides are plain tables here, so that the partition of a very frequent entity can be split.
     known = mentions.where("kind IS NOT NULL").join(table, ["kind", "entity"])
     spoken = known.select("row", "pos", "sub", "before", dressed("kind", "form", "surrogate").alias("out"), F.lit(1).alias("n"))
@@ -115,14 +126,32 @@ def may_hold(text: Column) -> Column:
     return holds
 
 
+def with_untitled(cut: DataFrame) -> DataFrame:
+    """``gaps`` and ``found`` cut again where a word of a name that ``found`` has behind a title stands without one."""
+    # Names have letters, apostrophes and hyphens only, so they are patterns of themselves.
+    words = F.flatten(F.transform(F.filter("found", is_person), lambda m: F.slice(F.split(m, " "), 2, F.size(F.split(m, " ")))))
+    names = F.array_join(F.array_distinct(words), "|")
+    pattern = F.when(names == "", "(?!)").otherwise(F.concat(F.lit(f"{BEFORE_NAME}(?:"), names, F.lit(f"){AFTER_NAME}")))
+    cut = cut.withColumn("names", pattern)
+    entity_after = lambda i: F.when(i < F.size("found"), F.array(F.get("found", i))).otherwise(F.array().cast("array<string>"))
+    found = F.transform("gaps", lambda g, i: F.concat(F.regexp_extract_all(g, F.col("names"), F.lit(0)), entity_after(i)))
+    gaps = F.transform("gaps", lambda g: F.split(g, F.col("names"), -1))
+    return cut.select("kept", F.flatten(gaps).alias("gaps"), F.flatten(found).alias("found"))
+
+
+def is_person(mention: Column) -> Column:
+    return mention.rlike(f"^{PATTERNS['person']}$")
+
+
 def units(mention: Column) -> Column:
-    """What of a mention is replaced: structs of kind, entity (one spelling), before (what stays) and form.
+    """What of a mention is replaced: structs of kind, entity (one spelling), before (what stays), form and,
+    for a name behind a title, the part it plays there.
 
     A name is a unit a word, the last one the family name, so that a shorter mention agrees with a longer.
     """
     digits = F.regexp_replace(mention, "[^0-9]", "")
     compact = F.upper(F.regexp_replace(mention, " ", ""))
-    kind = F.lit("person")
+    kind = F.when(is_person(mention), "person").otherwise("name")
     for name, pattern in reversed(KIND_TESTS):
         kind = F.when(mention.rlike(pattern), name).otherwise(kind)
     kind = F.when((kind == "card") & ~luhn_holds(digits), None).otherwise(kind)
@@ -136,7 +165,8 @@ def units(mention: Column) -> Column:
         .when(kind == "iban", compact)
         .otherwise(form)
     )
-    unit = lambda k, e, b, f: F.struct(k.alias("kind"), e.alias("entity"), b.alias("before"), f.alias("form"))
+    none = F.lit(None).cast("string")
+    unit = lambda k, e, b, f, p=none: F.struct(k.alias("kind"), e.alias("entity"), b.alias("before"), f.alias("form"), p.alias("part"))
     words = F.split(mention, " ")
     title = F.regexp_replace(words[0], r"\.$", "")
     gender = F.when(title.isin(TITLES["m"]), "m").when(title.isin(TITLES["f"]), "f").otherwise("x")
@@ -144,26 +174,41 @@ def units(mention: Column) -> Column:
     named = F.transform(
         F.slice(words, 2, F.size(words)),
         lambda w, i: unit(
-            F.concat(script(w), F.lit(" "), F.when(i == last, "surname").otherwise(gender)),
+            F.concat(script(w), F.lit(" name")),
             F.lower(w),
             F.when(i == 0, F.concat(words[0], F.lit(" "))).otherwise(" "),
             w,
+            F.when(i == last, "surname").otherwise(gender),
         ),
     )
-    return F.when(kind == "person", named).otherwise(F.array(unit(kind, entity, before, form)))
+    untitled = unit(F.concat(script(mention), F.lit(" name")), F.lower(mention), F.lit(""), mention)
+    return F.when(kind == "person", named).when(kind == "name", F.array(untitled)).otherwise(F.array(unit(kind, entity, before, form)))
 
 
 def script(word: Column) -> Column:
-    return F.when(word.rlike(r"\p{IsCyrillic}"), "cyrillic").when(word.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
+    found = F.lit("latin")
+    for name, block in SCRIPTS.items():
+        found = F.when(word.rlike(rf"\p{{Is{block}}}"), name).otherwise(found)
+    return found
+
+
+def entities_of(mentions: DataFrame) -> DataFrame:
+    """(kind, entity, part) for each entity of the mentions, with what a name is most often: a family name, or a
+    first name (ties: family) of the gender of most titles (ties: either). Other kinds have no part."""
+    plays = lambda *parts: F.count_if(F.col("part").isin(*parts))
+    counted = mentions.groupBy("kind", "entity").agg(plays("surname").alias("s"), plays("m").alias("m"), plays("f").alias("f"), plays("m", "f", "x").alias("first"))
+    gender = F.when(F.col("m") > F.col("f"), "m").when(F.col("f") > F.col("m"), "f").otherwise("x")
+    part = F.when(~F.col("kind").contains(" "), "").when(F.col("s") >= F.col("first"), "surname").otherwise(gender)
+    return counted.select("kind", "entity", part.alias("part"))
 
 
 def surrogate_table(entities: DataFrame, key: str) -> DataFrame:
-    """(kind, entity, surrogate) for distinct (kind, entity); no surrogate twice in a kind, and none that is
-    an entity of it. Draws of each round are kept where nobody else holds or draws them."""
+    """(kind, entity, surrogate) for distinct (kind, entity) with a part; no surrogate twice in a kind, and none
+    that is an entity of it. Draws of each round are kept where nobody else holds or draws them."""
     open_ = written_once(entities, "pii-entities")
     every, settled, rounds = open_, None, 0
     while True:
-        drawn = written_once(open_.withColumn("surrogate", draw("kind", "entity", key, rounds)), "pii-drawn")
+        drawn = written_once(open_.withColumn("surrogate", draw("kind", "entity", "part", key, rounds)), "pii-drawn")
         free = drawn.join(
             every.select("kind", F.col("entity").alias("surrogate")), ["kind", "surrogate"], "left_anti"
         )
@@ -180,9 +225,9 @@ def surrogate_table(entities: DataFrame, key: str) -> DataFrame:
             raise ValueError(f"no free surrogates for {open_.first()['kind']}")
 
 
-def draw(kind: str, entity: str, key: str, round_: int) -> Column:
+def draw(kind: str, entity: str, part: str, key: str, round_: int) -> Column:
     """The surrogate of an entity in one spelling, from a keyed hash."""
-    kind, entity = F.col(kind), F.col(entity)
+    kind, entity, part = F.col(kind), F.col(entity), F.col(part)
     hash_ = F.sha2(F.concat_ws("\x1f", F.lit(key), kind, entity, F.lit(str(round_))), 256)
     byte = lambda i: F.conv(F.substr(hash_, 1 + 2 * ((i if isinstance(i, Column) else F.lit(i)) % 32), F.lit(2)), 16, 10).cast("int")
     digit = lambda i, low=0, n=10: (low + byte(i) % n).cast("string")
@@ -237,7 +282,7 @@ def draw(kind: str, entity: str, key: str, round_: int) -> Column:
         stem = F.concat(*(parts[byte(i) % len(syllables.split())] for i in range(2 + (round_ + 1) // 2)))
         for role, endings in ENDINGS[name].items():
             ending = F.split(F.lit(endings), " ")[byte(31) % len(endings.split())]
-            found = F.when(kind == f"{name} {role}", F.concat(stem, ending)).otherwise(found)
+            found = F.when((kind == f"{name} name") & (part == role), F.concat(stem, ending)).otherwise(found)
     return found
 
 

@@ -85,6 +85,59 @@ def test_names_keep_gender_script_and_reference(spark):
     assert re.fullmatch(r"κα [Α-Ω]\w+ [Α-Ω]\w+, Dr [A-Z][a-z]+", three)
 
 
+def test_one_name_has_one_surrogate_over_titles_and_without_one(spark):
+    one, two, three = replaced(
+        spark,
+        "Dr Maria Lopez wrote. Mrs Maria Lopez agreed. Lopez left, LOPEZ too; 'Lopez' and Lopez's dog. Lopezia stays, lopez too.",
+        "Maria Lopez is a stranger here.",
+        "Prof Maria said: Maria, see Mr O'Neil's and 'Mr Lopez'.",
+    )
+    name = r"([A-Z][a-z]+)"
+    match = re.fullmatch(
+        rf"Dr {name} {name} wrote\. Mrs \1 \2 agreed\. \2 left, LOPEZ too; '\2' and \2's dog\. Lopezia stays, lopez too\.", one
+    )
+    assert match, one
+    first, last = match.groups()
+    assert first != last and not {"Maria", "Lopez"} & {first, last}
+    assert any(first.endswith(e) for e in su.ENDINGS["latin"]["f"].split())
+    assert any(last.endswith(e) for e in su.ENDINGS["latin"]["surname"].split())
+    assert two == "Maria Lopez is a stranger here."
+    assert re.fullmatch(rf"Prof {first} said: {first}, see Mr [A-Z][a-z]+'s and 'Mr {last}'\.", three), three
+
+
+def test_first_and_family_names_are_distinct(spark):
+    """Words of names share one space of surrogates, whatever part they play."""
+    words = [a + b for a in "Ka Lo Mi Ne Ru Sa To Vi".split() for b in "ban dor fel gim hul".split()]
+    texts = [f"Mr {a} {b} met Ms {b} {a}" for a, b in zip(words, words[1:] + words[:1], strict=True)]
+    seen = {}
+    for before, after in zip(texts, replaced(spark, *texts), strict=True):
+        for a, b in zip(before.split(), after.split(), strict=True):
+            assert seen.setdefault(a, b) == b
+    names = {a: b for a, b in seen.items() if a in words}
+    assert len(names) == len(set(names.values())) == len(words) and not set(names.values()) & set(words)
+
+
+def test_scripts_stay(spark):
+    texts = ["Mr Սարգսյան Արամ, Արամ", "Mr გიორგი ბერიძე; ბერიძე", "г-жа Анна Петров, Анна", "Mr 王伟"]
+    patterns = [r"Mr ([Ա-Ֆ][ա-և]+) ([Ա-Ֆ][ա-և]+), \2", r"Mr ([ა-ჰ]+) ([ა-ჰ]+); \2", r"г-жа ([А-Я][а-я]+) ([А-Я][а-я]+), \1", "Mr 王伟"]
+    for before, after, pattern in zip(texts, replaced(spark, *texts), patterns, strict=True):
+        match = re.fullmatch(pattern, after)
+        assert match, after
+        assert not set(match.groups()) & set(re.split("[ ,;]+", before))
+
+
+def test_long_names_and_many(spark):
+    """A name of 200,000 letters, and a text with 3,000 names, each of which is said again without a title."""
+    letters = "abcdefghijklmnopqrst"
+    names = ["N" + letters[i // 400] + letters[i // 20 % 20] + letters[i % 20] for i in range(3000)]
+    many = " ".join(f"Mr {n}." for n in names) + " # " + " ".join(names)
+    long, after = replaced(spark, "Mr X" + "y" * 200_000 + ".", many)
+    assert re.fullmatch(r"Mr [A-Z][a-z]+\.", long) and len(long) < 50
+    titled, untitled = after.split(" # ")
+    assert re.findall(r"Mr (\w+)\.", titled) == untitled.split(" ")
+    assert len(set(untitled.split(" "))) == 3000 and not set(untitled.split(" ")) & set(names)
+
+
 def test_another_key_gives_other_surrogates(spark):
     rows = spark.createDataFrame([("to x.y@example.com",)], "text string")
     one, two = (su.surrogates_for(rows, key).first().text for key in ("a", "b"))
@@ -93,8 +146,8 @@ def test_another_key_gives_other_surrogates(spark):
 
 def test_collisions_are_drawn_again(spark, monkeypatch):
     """First draws fall on one of three values, one of which is itself an entity."""
-    entities = spark.range(40).select(F.lit("key").alias("kind"), F.concat(F.lit("e"), F.col("id")).alias("entity"))
-    crowded = lambda kind, entity, key, round_: F.concat(
+    entities = spark.range(40).select(F.lit("key").alias("kind"), F.concat(F.lit("e"), F.col("id")).alias("entity"), F.lit("").alias("part"))
+    crowded = lambda kind, entity, part, key, round_: F.concat(
         F.lit("e"), F.pmod(F.xxhash64(F.col(entity), F.lit(round_)), F.lit(60 + 20 * round_)) + (38 if round_ == 0 else 0)
     )
     monkeypatch.setattr(su, "draw", crowded)
@@ -105,7 +158,7 @@ def test_collisions_are_drawn_again(spark, monkeypatch):
 
 
 def test_no_free_surrogate_is_an_error(spark, monkeypatch):
-    entities = spark.createDataFrame([("key", "a"), ("key", "b")], "kind string, entity string")
+    entities = spark.createDataFrame([("key", "a", ""), ("key", "b", "")], "kind string, entity string, part string")
     monkeypatch.setattr(su, "draw", lambda *_: F.lit("x"))
     monkeypatch.setattr(su, "MAX_DRAWS", 2)
     with pytest.raises(ValueError, match="no free surrogates"):
