@@ -13,6 +13,7 @@ from starloom.functions.prompts import category_prompt
 from starloom.operators import (
     categories,
     cleaning,
+    closest,
     clusters,
     count_model,
     evidence,
@@ -346,6 +347,16 @@ def category_mapping_hook(spark: SparkSession, sf: str) -> DataFrame:
     return categories.classify_categories(raw, VIEW_OPTIONS, load_model=load, template=template)
 
 
+def answers_held(spark: SparkSession, sf: str) -> DataFrame:
+    """Misspelt answers, two edits away and more, held to the types that parts have."""
+    said = F.lower(F.split("categories", ",")[0])
+    at = (1 + F.length("categories") % 9).cast("int")
+    misspelt = F.concat(F.substr(said, F.lit(1), at - 1), F.substr(said, at + 1), F.when(F.length(said) % 4 == 0, "xyz").otherwise("x"))
+    mapping = categories.distinct_categories(views.reviews(spark, sf)).withColumn("meta_category", misspelt)
+    types = views.table(spark, sf, "part").select(F.col("p_type").alias("option")).distinct()
+    return closest.hold_to_options(mapping, types)
+
+
 def mapping_audit(spark: SparkSession, sf: str) -> DataFrame:
     return categories.mapping_audit(_mapped(spark, sf), AUDIT_OPTIONS)
 
@@ -801,6 +812,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         reviews_with_meta,
         reviews_with_meta_rules,
         category_mapping_hook,
+        answers_held,
         mapping_audit,
         mapping_summary,
         category_prompts,
@@ -1244,6 +1256,21 @@ def oracle_sql() -> dict[str, str]:
             SELECT meta_category, role, rank, name, CAST(count(*) AS INTEGER) AS n_texts,
                    md5(string_agg(text, chr(10) ORDER BY pos)) AS texts_md5
             FROM evidence GROUP BY ALL""",
+        "answers_held": f"""WITH {REVIEWS}, said AS (
+              SELECT DISTINCT categories, lower(split_part(categories, ',', 1)) AS said, 1 + length(categories) % 9 AS place
+              FROM reviews),
+            answers AS (
+              SELECT categories, substr(said, 1, place - 1) || substr(said, place + 1)
+                || CASE WHEN length(said) % 4 = 0 THEN 'xyz' ELSE 'x' END AS answer FROM said),
+            near AS (
+              SELECT answer, p_type, levenshtein(regexp_replace(answer, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'),
+                       regexp_replace(lower(p_type), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) AS d
+              FROM (SELECT DISTINCT answer FROM answers), (SELECT DISTINCT p_type FROM part)),
+            best AS (
+              SELECT answer, min(p_type) AS meta_category
+              FROM (SELECT *, min(d) OVER (PARTITION BY answer) AS least FROM near)
+              WHERE d = least AND d <= 2 GROUP BY answer HAVING count(*) = 1)
+            SELECT categories, answer, meta_category FROM answers LEFT JOIN best USING (answer)""",
         "whole_review_blocks": f"""WITH {WHOLE_BLOCKS}
             SELECT name, block, count(*) FILTER (part = 0) AS reviews, CAST(sum(size) AS BIGINT) AS chars,
                    md5(string_agg(piece, chr(10) ORDER BY review_id NULLS FIRST, part)) AS texts_md5
