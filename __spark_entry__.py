@@ -30,7 +30,7 @@ from starloom.operators import (
 )
 from starloom.plans import articles, digests, reports
 from starloom.session import scratch_path, written_once
-from starloom.sources import running_stats, summaries, views
+from starloom.sources import running_profile, running_stats, summaries, views
 from starloom.sources import reviews as review_files
 
 try:
@@ -670,6 +670,19 @@ def running_sentiment(spark: SparkSession, sf: str) -> DataFrame:
 NAME_KS, VECTOR_K, STEPS = [2, 4, 6], 6, 3
 
 
+def running_profiles(spark: SparkSession, sf: str) -> DataFrame:
+    """Profiles of three batches, one of which is sent twice; estimates are held against exact counts."""
+    path = scratch_path(spark, "running-profile")
+    reviews = views.reviews(spark, sf, nulls=True).withColumnRenamed("reviews.rating", "rating")
+    for batch in (0, 1, 1, 2):
+        part = reviews.where(F.pmod(F.hash("review_id"), F.lit(3)) == batch)
+        running_profile.add_profile(part, path, str(batch))
+    exact = profile.distinct_counts(reviews, *reviews.columns)
+    off = F.abs(F.col("distinct_estimate") - F.col("n_distinct"))
+    merged = running_profile.running_profile(spark, path).join(exact, "column")
+    return merged.select("column", "rows", "nulls", "n_distinct", (off <= F.col("n_distinct") * 0.08).alias("close"))
+
+
 def _name_points(spark: SparkSession, sf: str) -> DataFrame:
     names = views.table(spark, sf, "part").select(F.col("p_name").alias("name")).distinct()
     return steady_clusters.whole_points(names.withColumn("embedding", clusters.embed_names("name")), "name", "embedding")
@@ -774,6 +787,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         product_stats_nulls,
         running_product_stats,
         running_sentiment,
+        running_profiles,
         product_means,
         top_n_one_category,
         worst_one_category,
@@ -1158,6 +1172,11 @@ def oracle_sql() -> dict[str, str]:
             f"""SELECT '{shown}' AS "column", count(*) - count({c}) AS nulls FROM nulls"""
             for shown, c, _ in profile_columns
         ),
+        "running_profiles": f"WITH {REVIEWS}, {NULLS} " + " UNION ALL ".join(
+            f"""SELECT '{c}' AS "column", count(*) AS rows, count(*) - count({c}) AS nulls,
+                count(DISTINCT {c}) AS n_distinct, true AS close FROM nulls"""
+            for _, c, _ in profile_columns
+        ),
         "table_profile": f"WITH {REVIEWS}, {NULLS} " + " UNION ALL ".join(
             f"""SELECT '{shown}' AS "column", {i} AS position, '{kind}' AS dtype,
                 count(*) AS rows, count({c}) AS non_null, count(*) - count({c}) AS nulls

@@ -31,12 +31,17 @@ def add_batch(reviews: DataFrame, path: str, batch: str, rating_col: str = RATIN
     One aggregate that combines in each partition first. Reviews without a category or product count nowhere, those
     without a rating are kept as such.
     """
-    spark = reviews.sparkSession
-    if _name(batch) in commits.claimed(spark, f"{path}/{COMMITS}"):
-        return False
     kept = reviews.where(named(META).isNotNull() & named(NAME).isNotNull())
     keys = [named(META).cast("string").alias(META), named(NAME).cast("string").alias(NAME)]
     counts = kept.groupBy(*keys, named(rating_col).cast("double").alias("rating")).agg(F.count(F.lit(1)).alias("reviews"))
+    return add_counts(counts, path, batch)
+
+
+def add_counts(counts: DataFrame, path: str, batch: str) -> bool:
+    """Store what was counted of a batch; False, without counting, if the batch is there already."""
+    spark = counts.sparkSession
+    if _name(batch) in commits.claimed(spark, f"{path}/{COMMITS}"):
+        return False
     folder = f"counts-{uuid.uuid4().hex}"
     counts.write.parquet(f"{path}/{folder}")
     if commits.claim(spark, f"{path}/{COMMITS}", _name(batch), folder):
@@ -47,11 +52,16 @@ def add_batch(reviews: DataFrame, path: str, batch: str, rating_col: str = RATIN
 
 def rating_counts(spark: SparkSession, path: str) -> DataFrame:
     """(meta_category, name, rating, reviews) over all batches; a row for each of them in each batch."""
+    return stored(spark, path, SCHEMA)
+
+
+def stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The rows of all committed batches."""
     names = commits.claimed(spark, f"{path}/{COMMITS}")
     if not names:
-        return spark.createDataFrame([], SCHEMA)
+        return spark.createDataFrame([], schema)
     folders = spark.read.text([f"{path}/{COMMITS}/{name}" for name in names]).collect()  # a row per batch
-    return spark.read.schema(SCHEMA).parquet(*(f"{path}/{row[0]}" for row in folders))
+    return spark.read.schema(schema).parquet(*(f"{path}/{row[0]}" for row in folders))
 
 
 def running_stats(spark: SparkSession, path: str) -> DataFrame:
