@@ -10,6 +10,10 @@ Statistics are counted over all training texts. A context is kept where it holds
 of its language's bytes, which bounds a tree by 1 / MIN_SHARE contexts an order at any corpus size; texts
 in a context that is not kept are predicted from the longest kept one.
 
+Any number of languages is learned. Where their tables together would be larger than ``TABLE_BYTES``, the
+languages are split into groups, each with tables and a pass over the texts of its own; a language's code
+lengths do not depend on its group, and each text keeps the shortest of all.
+
 Defined cases: null texts and texts without a letter are ``und`` with score 0; ids may repeat; null
 languages teach nothing; without any training text all is ``und``; ties go to the first language by name.
 Other columns are ignored, whatever their names.
@@ -17,7 +21,8 @@ Other columns are ignored, whatever their names.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -25,10 +30,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from starloom.llm.words import chunks, filled
+from starloom.operators.bounded import small_side
+from starloom.session import written_once
 
 ORDER = 3
 MIN_SHARE = 1e-4
-MAX_LANGUAGES = 200
+# Of the code lengths of a group of languages, which the driver makes and each task holds.
+TABLE_BYTES = 128 << 20
 PAD = b" " * ORDER
 CHUNK = 2 << 20
 
@@ -91,7 +99,8 @@ def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
 
 
 def kept_counts(counts: DataFrame, min_share: float = MIN_SHARE) -> DataFrame:
-    """(lang, depth, context, symbol, n) of the contexts of all orders that are kept."""
+    """(lang, depth, context, symbols) of the contexts of all orders that are kept. ``counts`` is read twice
+    and should be a written table."""
     orders = F.explode(F.sequence(F.lit(0), F.lit(ORDER)))
     context = F.expr("(gram div 256) % shiftleft(1L, 8 * depth)")
     every = (
@@ -103,18 +112,31 @@ def kept_counts(counts: DataFrame, min_share: float = MIN_SHARE) -> DataFrame:
     totals = every.groupBy("lang", "depth", "context").agg(
         F.sum("n").alias("total"), F.collect_list(F.struct("symbol", "n")).alias("symbols")
     )
-    sizes = totals.where("depth = 0").select("lang", F.col("total").alias("size"))
-    return totals.join(F.broadcast(sizes), "lang").where(F.col("total") >= min_share * F.col("size")).select(
+    sizes, _ = small_side(counts.groupBy("lang").agg(F.sum("n").alias("size")))
+    return totals.join(sizes, "lang").where(F.col("total") >= min_share * F.col("size")).select(
         "lang", "depth", "context", "symbols"
     )
 
 
-def build(kept: list[tuple[str, int, int, list[tuple[int, int]]]]) -> Trees:
-    """Tables of code lengths from rows of ``kept_counts``."""
+def groups(contexts: dict[str, int], classes: int, table_bytes: int = TABLE_BYTES) -> list[list[str]]:
+    """Languages by name in groups whose tables are within ``table_bytes``, or of one language, from the number of
+    contexts of each."""
+    found: list[list[str]] = []
+    held = 0
+    for name in sorted(contexts):
+        held += contexts[name]
+        if not found or 4 * held * classes * (len(found[-1]) + 1) > table_bytes:
+            found.append([])
+            held = contexts[name]
+        found[-1].append(name)
+    return found
+
+
+def build(kept: list[tuple[str, int, int, list[tuple[int, int]]]], symbols_seen: Iterable[int]) -> Trees:
+    """Tables of code lengths from rows of ``kept_counts`` of some languages; ``symbols_seen`` are the bytes that
+    any language has."""
     languages = sorted({row[0] for row in kept})
-    if len(languages) > MAX_LANGUAGES:
-        raise ValueError(f"{len(languages)} languages; the tables are sized for {MAX_LANGUAGES}")
-    seen = sorted({s for *_, symbols in kept for s, _ in symbols} | {PAD[0]})
+    seen = sorted({*symbols_seen, PAD[0]})
     classes = len(seen) + 1  # class 0: bytes never seen in a kept context
     symbol = np.zeros(256, np.int64)
     symbol[seen] = np.arange(1, classes)
@@ -149,12 +171,19 @@ def build(kept: list[tuple[str, int, int, list[tuple[int, int]]]]) -> Trees:
     return Trees(languages, symbol, row.reshape(-1), found.astype(np.float32))
 
 
-def learn(docs: DataFrame, min_share: float = MIN_SHARE) -> Trees:
-    """Trees from the texts of (text, lang)."""
+def learn(docs: DataFrame, min_share: float = MIN_SHARE, table_bytes: int = TABLE_BYTES) -> list[Trees]:
+    """Trees from the texts of (text, lang), for each group of languages."""
     known = docs.where("lang IS NOT NULL AND text IS NOT NULL").select(
         F.col("lang").cast("string"), F.col("text").cast("string")
     )
-    return build([tuple(r) for r in kept_counts(count_contexts(known), min_share).collect()])
+    counts = written_once(count_contexts(known), "contexts")
+    kept = written_once(kept_counts(counts, min_share), "kept-contexts")
+    contexts = {r[0]: r[1] for r in kept.groupBy("lang").agg(F.count(F.lit(1))).collect()}
+    seen = [r[0] for r in kept.where("depth = 0").select(F.explode("symbols.symbol")).distinct().collect()]
+    return [
+        build([tuple(r) for r in kept.where(F.col("lang").isin(names)).collect()], seen)
+        for names in groups(contexts, len(seen) + 2, table_bytes)
+    ]
 
 
 def code_lengths(trees: Trees, texts: pa.Array) -> np.ndarray:
@@ -177,28 +206,59 @@ def code_lengths(trees: Trees, texts: pa.Array) -> np.ndarray:
     return total
 
 
-def predict(docs: DataFrame, trees: Trees) -> DataFrame:
-    """(doc_id, lang_pred, score); the score is the language's share of the probability of the text."""
+def shortest(docs: DataFrame, trees: Trees) -> DataFrame:
+    """Rows of (doc_id, text, key, lettered) without the text, and with the language of the shortest code, its bits
+    and the summed probability of all languages in shares of that of this one (mass)."""
     shared = docs.sparkSession.sparkContext.broadcast(trees)
+    kept = ["doc_id", "key", "lettered"]
 
-    def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees = shared.value
-        names = np.array([*trees.languages, "und"], dtype=object)
+        names = np.array(trees.languages, dtype=object)
         for chunk in chunks(batches, max_bytes=CHUNK):
-            lettered = chunk.column("lettered").to_numpy(zero_copy_only=False)
-            if not trees.languages:
-                lettered = np.zeros_like(lettered)
-                bits = np.zeros((len(lettered), 1))
-            else:
-                bits = code_lengths(trees, chunk.column("text"))
-            best = np.where(lettered, bits.argmin(axis=1), len(trees.languages))
-            score = 1 / np.exp2(np.maximum(-1000, bits.min(axis=1, keepdims=True) - bits)).sum(axis=1)
+            bits = code_lengths(trees, chunk.column("text"))
+            least = bits.min(axis=1)
+            mass = np.exp2(np.maximum(-1000, least[:, None] - bits)).sum(axis=1)
+            found = [pa.array(names[bits.argmin(axis=1)], pa.string()), pa.array(least), pa.array(mass)]
             yield pa.RecordBatch.from_arrays(
-                [chunk.column("doc_id"), pa.array(names[best], pa.string()), pa.array(np.where(lettered, score, 0.0))],
-                ["doc_id", "lang_pred", "score"],
+                [*(chunk.column(c) for c in kept), *found], [*kept, "lang", "bits", "mass"]
             )
 
+    fields = "doc_id long, key string, lettered boolean, lang string, bits double, mass double"
+    return docs.mapInArrow(coded, fields)
+
+
+def predict(docs: DataFrame, trees: list[Trees]) -> DataFrame:
+    """(doc_id, lang_pred, score); the score is the language's share of the probability of the text."""
     lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    return docs.select(
-        F.col("doc_id").cast("long"), F.col("text").cast("string"), lettered.alias("lettered")
-    ).mapInArrow(predicted, "doc_id long, lang_pred string, score double")
+    # With one group of languages a row is done where it is read, and needs no key.
+    key = F.sha2("text", 256) if len(trees) > 1 else F.lit(None).cast("string")
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).select(
+        "doc_id", "text", key.alias("key"), lettered.alias("lettered")
+    )
+    if not trees:
+        judged = rows.withColumns({"lang": F.lit("und"), "mass": F.lit(1.0), "lettered": F.lit(False)})
+    elif len(trees) == 1:
+        judged = shortest(rows, trees[0])
+    else:
+        judged = rows.drop("text").join(written_once(_over_groups(rows, trees), "shortest"), "key", "left")
+    return judged.select(
+        "doc_id",
+        F.when(F.col("lettered"), F.col("lang")).otherwise("und").alias("lang_pred"),
+        F.when(F.col("lettered"), 1 / F.col("mass")).otherwise(0.0).alias("score"),
+    )
+
+
+def _over_groups(rows: DataFrame, trees: list[Trees]) -> DataFrame:
+    """(key, lang, mass) of each different lettered text over all groups, one row a text."""
+    texts = rows.where("lettered")
+    passes = [shortest(texts, group).withColumn("group", F.lit(i)) for i, group in enumerate(trees)]
+    code = F.min(F.struct("bits", "group", "lang", "mass")).alias("code")
+    each = reduce(DataFrame.unionByName, passes).groupBy("key", "group").agg(code)
+    best = each.groupBy("key").agg(F.min("code").alias("best"), F.array_sort(F.collect_list("code")).alias("codes"))
+    mass = F.aggregate(
+        "codes",
+        F.lit(0.0),
+        lambda total, c: total + c["mass"] * F.pow(F.lit(2.0), F.greatest(F.lit(-1000.0), F.col("best.bits") - c["bits"])),
+    )
+    return best.select("key", F.col("best.lang").alias("lang"), mass.alias("mass"))

@@ -51,7 +51,7 @@ TRAINING = [("the cat and the hat", "en"), ("le chat et la tête", "fr"), ("and
 
 
 def test_code_lengths_by_hand(spark):
-    trees = bc.learn(spark.createDataFrame(TRAINING + [("x", None), (None, "en")], "text string, lang string"))
+    [trees] = bc.learn(spark.createDataFrame(TRAINING + [("x", None), (None, "en")], "text string, lang string"))
     assert trees.languages == ["en", "fr"]
     for text in ("the hat", "la tete", "zzz", "", "ééé the"):
         expected = plain_bits(TRAINING, text, trees.languages)
@@ -59,7 +59,7 @@ def test_code_lengths_by_hand(spark):
 
 
 def test_chances_of_each_context_sum_to_one(spark):
-    trees = bc.learn(spark.createDataFrame(TRAINING, "text string, lang string"))
+    [trees] = bc.learn(spark.createDataFrame(TRAINING, "text string, lang string"))
     classes = int(trees.symbol.max()) + 1
     chances = 2.0 ** -trees.bits.reshape(-1, classes, 2).astype(float)
     unseen = 256 - (classes - 1)
@@ -69,7 +69,7 @@ def test_chances_of_each_context_sum_to_one(spark):
 
 def test_contexts_are_pruned_by_share():
     kept = [("en", 0, 0, [(97, 5)]), ("en", 1, 97, [(97, 3)])]
-    trees = bc.build(kept)
+    trees = bc.build(kept, [97])
     assert len(trees.bits) == 2 * (int(trees.symbol.max()) + 1)
 
 
@@ -87,6 +87,44 @@ def test_empty_tables(spark, empty, odd):
     assert bc.predict(empty, bc.learn(odd)).count() == 0
 
 
+def test_groups_of_languages_by_the_size_of_their_tables():
+    assert bc.groups({}, 10) == []
+    assert bc.groups({"b": 5, "a": 5, "c": 5}, 10, 4 * 10 * 10 * 2) == [["a", "b"], ["c"]]
+    assert bc.groups({"a": 500, "b": 1, "c": 1}, 10, 4 * 10 * 2 * 2) == [["a"], ["b", "c"]]
+
+
+def by_row(rows):
+    return sorted(((r.doc_id is None, r.doc_id or 0, r.lang_pred, r.score) for r in rows))
+
+
+def same_rows(one, other):
+    assert [r[:3] for r in one] == [r[:3] for r in other]
+    assert np.allclose([r[3] for r in one], [r[3] for r in other], rtol=1e-9)
+
+
+def test_groups_change_nothing(spark, small, odd):
+    docs = table(spark, small, "documents").select("doc_id", "text", "lang")
+    [whole] = bc.learn(docs)
+    split = bc.learn(docs, table_bytes=0)
+    assert [g.languages for g in split] == [[name] for name in whole.languages] and len(split) > 2
+    texts = pa.array(["Das ist ein Satz.", "", None, "ñandú 漢字"])
+    apart = np.column_stack([bc.code_lengths(g, texts) for g in split])
+    assert np.array_equal(apart, bc.code_lengths(whole, texts))
+    for rows in (docs, odd):
+        same_rows(by_row(bc.predict(rows, [whole]).collect()), by_row(bc.predict(rows, split).collect()))
+
+
+def test_more_languages_than_tables_hold_at_once(spark):
+    # Each language has its own word; many languages share a text, so that ties go by name.
+    said = [(f"word{i // 2} " * 5, f"l{i:03}") for i in range(300)]
+    rows = spark.createDataFrame([(i, text, lang) for i, (text, lang) in enumerate(said)], "doc_id long, text string, lang string")
+    trees = bc.learn(rows, table_bytes=1 << 20)
+    assert len(trees) > 2 and sum(len(g.languages) for g in trees) == 300
+    found = {r.doc_id: r for r in bc.predict(rows, trees).collect()}
+    assert all(found[i].lang_pred == f"l{i // 2 * 2:03}" for i in range(300))
+    assert all(0 < r.score <= 0.5 for r in found.values())
+
+
 def test_held_out_accuracy(spark, small):
     lang = {r.doc_id: r.lang for r in table(spark, small, "documents").collect()}
     rows = op6_language_contexts(spark, small).collect()
