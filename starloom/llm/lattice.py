@@ -33,6 +33,8 @@ MARK = "▁"
 # A word cannot hold a blank, so this cannot be a word.
 END = " "
 BLOCK_BYTES = 32 << 20
+# Blocks in a task that scores texts, with some 20 MB of word rows each.
+TASK_BLOCKS = 4
 SMOOTHING = 0.5
 # Longer words are scored one by one, since few have the same length.
 TOGETHER = 48
@@ -249,6 +251,10 @@ def score(docs: DataFrame, model: str) -> DataFrame:
         )
 
     fields = "doc_id long, train boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    # More tasks than the session's shuffles have, where the blocks are many; with fewer Spark would shuffle again.
+    tasks = -(-texts.select("block").distinct().count() // TASK_BLOCKS)
+    if tasks > int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        texts, looked_up = texts.repartition(tasks, "block"), looked_up.repartition(tasks, "of_block")
     return texts.groupBy("block").cogroup(looked_up.groupBy("of_block")).applyInArrow(summed, fields)
 
 

@@ -112,3 +112,23 @@ def test_empty_tables(spark, empty, odd):
     untrained = odd.withColumn("train", fold() > 9)
     rows = lattice.score(untrained, MODEL).collect()
     assert len(rows) == odd.count() and all(r.n_known == 0 and np.isfinite(r.score) for r in rows)
+
+
+def test_tasks_follow_the_number_of_blocks(spark, documents, monkeypatch):
+    docs = documents.select("doc_id", "text", (fold() != 1).alias("train")).repartition(8, "doc_id")
+    expected = lattice.score(docs, MODEL)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    monkeypatch.setattr(lattice, "TASK_BLOCKS", 1)
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+        found = lattice.score(docs, MODEL)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        rows = found.collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    # Texts and words meet in the shuffles that were asked for, and in no others.
+    met = re.findall(r"hashpartitioning\((?:of_)?block#\w+, (\d+)\), (\w+)", plan)
+    assert met == [("8", "REPARTITION_BY_NUM")] * 2
+    key = lambda r: (r.doc_id, r.n_tokens)
+    for one, other in zip(sorted(rows, key=key), sorted(expected.collect(), key=key), strict=True):
+        assert one[:5] == other[:5] and np.allclose(one[5:], other[5:], rtol=1e-9)
