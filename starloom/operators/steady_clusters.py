@@ -8,8 +8,12 @@ depends on the order of rows.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
+from functools import lru_cache
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from starloom.functions.columns import named
@@ -17,18 +21,31 @@ from starloom.session import written_once
 
 SCALE = 1024
 DIMENSIONS, GRAM = 32, 3
+# Numbers that one step of distances takes.
+STEP = 1 << 20
 Centres = list[list[int]]
 
 
+@lru_cache(1 << 16)
+def _hash(part: str) -> int:
+    return int(hashlib.md5(part.encode()).hexdigest()[:8], 16)
+
+
 def hashed_ngrams(name: str | Column, dimensions: int = DIMENSIONS, gram: int = GRAM) -> Column:
     """How many of a name's runs of ``gram`` characters, in lower case and with a blank at both ends, fall to each of
     ``dimensions`` by a hash. Names with common parts are near each other; a null name has no vector."""
+
+    def counted(names: pa.Array) -> pa.Array:
+        found = names.dictionary_encode()  # a repeated name is taken once
+        rows = np.zeros((len(found.dictionary), dimensions))
+        for i, text in enumerate(found.dictionary.to_pylist()):
+            places = [_hash(text[at : at + gram]) % dimensions for at in range(max(len(text) - gram + 1, 1))]
+            rows[i] = np.bincount(places, minlength=dimensions)
+        offsets = np.arange(len(rows) + 1, dtype=np.int32) * dimensions
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(rows.reshape(-1))).take(found.indices)
+
     padded = F.concat(F.lit(" "), F.lower(named(name)), F.lit(" "))
-    starts = F.sequence(F.lit(1), F.greatest(F.length(padded) - gram + 1, F.lit(1)))
-    place = lambda at: F.conv(F.substring(F.md5(F.substring(padded, at, F.lit(gram))), 1, 8), 16, 10).cast("long") % dimensions
-    found = F.transform(starts, place)
-    count = lambda d: F.size(F.filter(found, lambda p: p == d)).cast("double")
-    return F.when(padded.isNotNull(), F.transform(F.sequence(F.lit(0), F.lit(dimensions - 1)), count))
+    return F.arrow_udf(counted, "array<double>")(padded)
 
 
 def whole_points(df: DataFrame, key_col: str, vector_col: str, scale: int = SCALE) -> DataFrame:
@@ -44,13 +61,32 @@ def whole_points(df: DataFrame, key_col: str, vector_col: str, scale: int = SCAL
 
 
 def distances(centres: Centres) -> Column:
-    """Squared distances of ``point`` to each centre."""
-    listed = F.array(*[F.array(*map(F.lit, c)).cast("array<long>") for c in centres])
-    square = lambda x, y: (x - y) * (x - y)
-    return F.transform(
-        listed,
-        lambda c: F.aggregate(F.zip_with("point", c, square), F.lit(0).cast("long"), lambda total, d: total + d),
-    )
+    """Squared distances of ``point`` to each centre; null where their lengths differ."""
+
+    def measured(points: pa.Array) -> pa.Array:
+        sizes = points.value_lengths().fill_null(-1).to_numpy(zero_copy_only=False)
+        far = np.full((len(sizes), len(centres)), -1)
+        for size in {len(c) for c in centres}:
+            places = [i for i, c in enumerate(centres) if len(c) == size]
+            for at in np.array_split(np.flatnonzero(sizes == size), len(sizes) * size // STEP + 1):
+                block = points.take(pa.array(at)).flatten().to_numpy().reshape(len(at), size)
+                for i in places:
+                    far[at, i] = _squares(block, centres[i])
+        offsets = np.arange(len(sizes) + 1, dtype=np.int32) * len(centres)
+        flat = far.reshape(-1)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, mask=flat < 0))
+
+    return F.arrow_udf(measured, "array<long>")("point")
+
+
+def _squares(block: np.ndarray, centre: list[int]) -> np.ndarray:
+    """Squared distances of the rows of ``block`` to ``centre``; numbers that do not fit raise an error."""
+    if not block.size:
+        return np.zeros(len(block), np.int64)
+    most = max(int(block.max()), -int(block.min()), *map(abs, centre))
+    kind = np.int64 if 4 * most * most * len(centre) < 1 << 63 else object
+    off = block.astype(kind, copy=False) - np.array(centre, kind)
+    return np.array((off * off).sum(axis=1).tolist(), np.int64) if kind is object else np.einsum("ij,ij->i", off, off)
 
 
 def farthest_first(points: DataFrame, k: int) -> Centres:

@@ -78,3 +78,22 @@ def test_names_with_common_parts_are_near(spark):
     assert len({found[n] for n in names[:6]}) == len({found[n] for n in names[6:]}) == 1
     assert found[names[0]] != found[names[6]]
     assert df.select(F.size(embed_names(F.lit("a")))).first()[0] == 32
+
+
+def test_distances_and_name_vectors_are_no_nested_lambdas(spark):
+    """Those ran over all hashes of a name for each dimension, and over all numbers of a point a call at a time."""
+    names = spark.createDataFrame([("lamp",), ("lamp",), ("",), (None,)], "name string")
+    points = spark.createDataFrame([(1, [1, 2]), (2, [5]), (3, []), (4, [4, 6])], "key int, point array<long>")
+    vectors, far = names.select("name", embed_names("name").alias("v")), points.select("key", sc.distances([[1, 2], [7]]).alias("far"))
+    for df in (vectors, far):
+        assert "lambda" not in df._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.name: r.v and sum(r.v) for r in vectors.collect()} == {"lamp": 4, "": 1, None: None}
+    assert {r.key: r.far for r in far.collect()} == {1: [0, None], 2: [None, 4], 3: [None, None], 4: [25, None]}
+
+
+def test_distances_beyond_long(spark):
+    points = spark.createDataFrame([(1, [2**31, 5]), (2, [-(2**31), 5])], "key int, point array<long>")
+    near = points.where("key = 1").select(sc.distances([[2**30, 5]]).alias("far"))
+    assert near.first().far == [2**60]
+    with pytest.raises(Exception, match="(?i)overflow|too large|too big"):
+        points.select(sc.distances([[2**62, 5]]).alias("far")).collect()
