@@ -29,6 +29,9 @@ BINS = 2000
 # At most this share of the labelled good rows may be called anomalous.
 GOOD_LOSS = 0.001
 
+# Text that one step takes.
+STEP_BYTES = 1 << 20
+
 COUNTS = [
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_distinct", "n_lines",
     "n_upper", "n_digits", "n_marks",
@@ -44,7 +47,7 @@ def rule_statistics(docs: DataFrame) -> DataFrame:
 
 
 def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for chunk in chunks(batches):
+    for chunk in chunks(batches, max_bytes=STEP_BYTES):
         columns = text_counts(chunk.column("text"))
         arrays = [chunk.column("doc_id"), *(pa.array(columns[c], pa.int64()) for c in COUNTS)]
         yield pa.RecordBatch.from_arrays(arrays, ["doc_id", *COUNTS])

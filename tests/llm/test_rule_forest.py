@@ -94,3 +94,15 @@ def test_query_on_the_test_tables(spark, small):
         assert not (failed and row.kept)
     good = [row.kept for row in rows if quality.get(row.doc_id) == 1 and not row.base_failed]
     assert np.mean(good) > 0.95
+
+
+def test_statistics_are_taken_in_small_steps(monkeypatch):
+    """Steps of 8 MB took much of an executor's memory; counts do not depend on the steps."""
+    texts = [f"word{i} again and again, {i}! " * 5_000 for i in range(30)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(30), pa.int64()), pa.array(texts)], ["doc_id", "text"])
+    steps, whole = [], rf.text_counts(pa.array(texts))
+    count = rf.text_counts
+    monkeypatch.setattr(rf, "text_counts", lambda part: steps.append(part.nbytes) or count(part))
+    found = pa.Table.from_batches(rf._statistics(iter([batch])))
+    assert len(steps) > 3 and max(steps) < 1.1 * (1 << 20)
+    assert all(found.column(c).to_pylist() == whole[c].tolist() for c in rf.COUNTS)
