@@ -2,9 +2,10 @@
 
 FP-growth finds combinations of URL tokens that labelled URLs share, the label among them; rules
 ``tokens -> block`` stay where support and confidence reach their bounds and no shorter rule does as
-well. Tokens that occur in the same labelled URLs are one item: a rule asks for all of them. Combinations are
-mined among the ``LONGEST`` rarest items of a URL, so a long URL that many pages share has a bounded number of
-them; support and confidence are then counted anew over all labelled URLs and all their tokens. Rules are matched
+well. Tokens that occur in the same labelled URLs are one item: a rule asks for all of them. FP-growth takes the
+``LONGEST`` rarest items of a URL, as it lists all combinations; those of URLs with more items are counted level by
+level (``of_long_urls``), so no combination is left out. Support and confidence are then counted anew over all
+labelled URLs and all their tokens. Rules are matched
 through an inverted index: a rule stands under its rarest token only, so a URL meets only the rules of its own
 rare tokens, and then has to hold all their other tokens.
 
@@ -25,7 +26,7 @@ from starloom.session import written_once
 # A combination on fewer labelled URLs than ``MIN_COUNT`` is chance. The share bounds the items that FP-growth holds on
 # the driver, and decides from two million labelled URLs on.
 MIN_SUPPORT, MIN_CONFIDENCE, MIN_COUNT = 0.00001, 0.9, 20
-# Items of a URL among which combinations are mined.
+# Items of a URL that FP-growth takes.
 LONGEST = 12
 # Items and rules that are broadcast; more are joined by a shuffle.
 BROADCAST_RULES = 100_000
@@ -92,8 +93,7 @@ def tokens_of(host: Column, path: Column) -> Column:
 
 
 def items_of(labelled: DataFrame, min_count: float) -> tuple[DataFrame, DataFrame]:
-    """(row, items): the rarest items of each row of ``labelled`` (row, tokens), rarest first, and (item, tokens) of
-    each item. An item is named after its first token."""
+    """(row, items): the items of each row of ``labelled`` (row, tokens), rarest first, and (item, tokens) of An item is named after its first token."""
     held = labelled.select("row", F.explode("tokens").alias("token"))
     # Equal numbers and two equal sums of hashes: the same rows.
     where = held.groupBy("token").agg(
@@ -106,11 +106,53 @@ def items_of(labelled: DataFrame, min_count: float) -> tuple[DataFrame, DataFram
     named = written_once(named.select("item", "tokens", "n"), "url-items")
     frequent = named.select("item", "n")
     small = F.broadcast(frequent) if frequent.count() <= BROADCAST_RULES else frequent
-    rarest = F.slice(F.sort_array(F.collect_list(F.struct("n", "item"))), 1, LONGEST)
+    rarest = F.sort_array(F.collect_list(F.struct("n", "item")))
     found = held.join(small, held.token == F.col("item")).groupBy("row").agg(rarest.alias("found"))
     return found.select("row", F.col("found.item").alias("items")), named.select("item", "tokens")
 
 
+def of_long_urls(baskets: DataFrame, least: float, min_confidence: float) -> DataFrame | None:
+    """(antecedent) of the combinations of (items, blocked) that reach both bounds and that a row with more than
+    ``LONGEST`` items holds; None without such rows.
+
+    Combinations of one item more are made, row by row, of those that stay. One in the same rows as a part of it adds
+    nothing to that part, nor does one with a part that only blocked rows hold, and so it is with all that extend it:
+    neither stays. Nested items thus make no combinations. Rows with the same items are one row, and levels are tables.
+    """
+    kinds = baskets.groupBy("items").agg(F.count_if("blocked").alias("hits"), F.count(F.lit(1)).alias("held"))
+    kinds = kinds.withColumns({"row": F.monotonically_increasing_id(), "long": F.size("items") > LONGEST})
+    kinds = written_once(kinds, "url-kinds")
+    if kinds.where("long").isEmpty():
+        return None
+    known = ["row", "hits", "held", "long"]
+    places = kinds.select(*known, F.array().cast("array<string>").alias("head"), F.explode("items").alias("last"))
+    found, parts, size = None, None, 1
+    while True:
+        whole = F.concat("head", F.array("last")).alias("items")
+        counted = places.groupBy("head", "last").agg(
+            F.sum("hits").alias("hits"), F.sum("held").alias("held"), F.bool_or("long").alias("long")
+        )
+        counted = counted.where(F.col("long") & (F.col("hits") >= least)).select(whole, "hits", "held")
+        if parts is not None:
+            part = F.explode(F.transform("items", lambda t: F.array_except("items", F.array(t)))).alias("part")
+            stays = counted.select("*", part).join(parts, "part").where("part_held > held")
+            stays = stays.groupBy("items", "hits", "held").agg(F.count(F.lit(1)).alias("n"))
+            counted = stays.where(F.col("n") == size).drop("n")
+        counted = written_once(counted, "url-combinations")
+        sure = counted.where(F.col("hits") >= min_confidence * F.col("held")).select(F.col("items").alias("antecedent"))
+        found = sure if found is None else found.unionByName(sure)
+        alive = counted.where("hits < held")
+        if alive.isEmpty():
+            return found
+        parts = alive.select(F.col("items").alias("part"), F.col("held").alias("part_held"))
+        kept = places.select("*", whole).join(alive.select("items"), "items", "left_semi").drop("items")
+        kept = written_once(kept, "url-places")
+        pairs = kept.join(kept.select("row", "head", F.col("last").alias("next")), ["row", "head"]).where("last < next")
+        places = pairs.select(*known, whole.alias("head"), F.col("next").alias("last"))
+        places = written_once(places, "url-longer-places")
+        size += 1
+
+
 def mine(
     labelled: DataFrame,
     min_support: float = MIN_SUPPORT,
@@ -123,17 +165,19 @@ def mine(
     n = labelled.count()
     support = max(min_support, min_count / n) if n else 1.0
     baskets, named = items_of(labelled, support * n)
-    baskets = baskets.join(labelled.select("row", "blocked"), "row")
-    baskets = baskets.select(
-        F.when(F.col("blocked"), F.concat("items", F.array(F.lit(BLOCK)))).otherwise(F.col("items")).alias("items")
-    )
+    baskets = written_once(baskets.join(labelled.select("row", "blocked"), "row").drop("row"), "url-baskets")
     schema = "tokens array<string>, support double, confidence double"
     if n < min_count or baskets.isEmpty():
         return labelled.sparkSession.createDataFrame([], schema)
     # Of the baskets' own number, which leaves out rows without items.
     share = min(1.0, support * n / baskets.count())
-    model = FPGrowth(itemsCol="items", minSupport=share, minConfidence=min_confidence).fit(baskets)
+    rarest = F.slice("items", 1, LONGEST)
+    short = baskets.select(F.when(F.col("blocked"), F.concat(rarest, F.array(F.lit(BLOCK)))).otherwise(rarest).alias("items"))
+    model = FPGrowth(itemsCol="items", minSupport=share, minConfidence=min_confidence).fit(short)
     mined = model.associationRules.where(F.col("consequent")[0] == BLOCK).select("antecedent")
+    rest = of_long_urls(baskets, support * n, min_confidence)
+    if rest is not None:
+        mined = mined.unionByName(rest).select(F.array_sort("antecedent").alias("antecedent")).distinct()
     mined = written_once(mined.withColumn("rule", F.monotonically_increasing_id()), "mined-rules")
     parts = mined.select("rule", F.explode("antecedent").alias("item")).join(named, "item")
     whole = parts.groupBy("rule").agg(F.array_sort(F.flatten(F.collect_list("tokens"))).alias("tokens"))
@@ -158,6 +202,19 @@ def mine(
         .where("part_confidence >= confidence")
         .select("antecedent")
     )
+    if rest is not None:
+        # Of long URLs only those parts are known that are in more rows, which may be shorter by several items.
+        inner = matches(
+            rules.select("antecedent", F.col("antecedent").alias("tokens")),
+            rules.select(F.col("antecedent").alias("tokens"), "confidence"),
+            "antecedent",
+        )
+        numbers = rules.select("antecedent", "support", "confidence")
+        inner = inner.where(F.size("tokens") < F.size("antecedent")).select("antecedent", F.col("tokens").alias("part"))
+        outer = inner.join(numbers, "antecedent")
+        known = numbers.select(F.col("antecedent").alias("part"), F.col("support").alias("s"), F.col("confidence").alias("c"))
+        same = outer.join(known, "part").where("support = s AND confidence = c").select("antecedent")
+        beaten = beaten.unionByName(same)
     return rules.join(beaten, "antecedent", "left_anti").select("tokens", "support", "confidence")
 
 

@@ -186,3 +186,31 @@ def test_query_on_the_test_tables(spark, small):
         host, path, rule, verdict = plain(urls[r.page_id])
         assert (r.host, r.path, r.rule) == (host, path, rule)
         assert rule is None or r.verdict == verdict
+
+
+@pytest.mark.parametrize("longest", [1, 3])
+def test_items_beyond_the_rarest_are_mined_too(spark, monkeypatch, longest):
+    """URLs with more items than FP-growth takes: the rules are those of all combinations."""
+    monkeypatch.setattr(ur, "LONGEST", longest)
+    random = np.random.default_rng(longest)
+    urls = []
+    for _ in range(400):
+        a, b, c, d = random.integers(0, 2, 4)
+        blocked = bool(a + b == 2 or (c and not d and random.random() < 0.93))
+        urls.append((f"http://{'xyz'[a]}aa.{'uvw'[b]}bb.info/{'pqr'[c]}/{'mno'[d]}", blocked))
+    found, baskets = mined(spark, urls)
+    assert found == plain_rules(baskets, 20, 0.9) and any(len(tokens) > 1 for tokens, _, _ in found)
+
+
+def test_rule_of_common_items_of_long_urls(spark):
+    """Two common tokens block together; each URL has 13 rarer ones, of which none tells."""
+    random = np.random.default_rng(3)
+    urls = []
+    for i in range(1000):
+        words = [f"{'pqrstuvwxyzab'[j]}{'cdefgh'[random.integers(0, 6)]}" for j in range(13)]
+        both = [w for w, held in zip(("cheap", "pills"), (i % 2, i // 2 % 2), strict=True) if held]
+        urls.append(("http://a.info/" + "/".join(words + both), i % 4 == 3))
+    rows = spark.createDataFrame(urls, "url string, blocked boolean")
+    split = rows.select(ur.tokens_of(ur.host_of(F.col("url")), ur.path_of(F.col("url"))).alias("tokens"), "blocked")
+    rules = [set(r.tokens) for r in ur.mine(split, min_count=100).collect()]
+    assert rules == [{"path:cheap", "path:pills"}]
