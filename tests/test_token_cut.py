@@ -1,6 +1,8 @@
 """Cut texts against the tokenizer's own truncation."""
 
+import json
 import os
+from random import Random
 
 import pytest
 from pyspark.sql import functions as F
@@ -58,3 +60,43 @@ def test_empty_table(spark):
     one = spark.createDataFrame([("a b c",)], "`reviews.text` string")
     cut = token_cut.truncate_by_tokenizer(one, public_tokenizers.path("word_bpe_49k.json"), max_length=2)
     assert cut.select(F.col("`reviews.text`")).first()[0] == "a b"
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_words_are_encoded_once_and_cut_alike(name, monkeypatch):
+    path = public_tokenizers.path(name)
+    tokenizer = token_cut._tokenizer(path)
+    monkeypatch.setattr(token_cut, "KEPT_WORDS", 50)
+    words = token_cut.Words(tokenizer)
+    assert words.fit(tokenizer.to_str())
+    random = Random(5)
+    parts = ["a", "é", "é", " ", "  ", "\n", " ", "　", "!", "'s", "7", "漢", "\x1c", "\x85", "İ", "Σ", "<|endoftext|>", "word", "​", "x" * 60]
+    for _ in range(1500):
+        text, most = "".join(random.choices(parts, k=random.randint(0, 25))), random.randint(0, 12)
+        found = tokenizer.encode(text, add_special_tokens=False)
+        whole = len(found.ids) <= most and most > 0
+        assert words.cut(text, most) == (text if whole else text[: found.offsets[most - 1][1]] if most else "")
+    seen, known = [], token_cut.Words(tokenizer)
+    monkeypatch.setattr(known, "tokenizer", Spy(tokenizer, seen))
+    assert known.cut("one two " * 5000, 20_000) == "one two " * 5000
+    assert len(seen) <= 5
+
+
+def test_tokenizers_that_mark_the_beginning_take_whole_texts():
+    parts = json.loads(token_cut._tokenizer(public_tokenizers.path("byte_bpe_50k.json")).to_str())
+    assert token_cut.Words.fit(json.dumps(parts))
+    parts["pre_tokenizer"]["add_prefix_space"] = True
+    assert not token_cut.Words.fit(json.dumps(parts))
+    parts["pre_tokenizer"] = {"type": "Metaspace", "replacement": "_", "prepend_scheme": "first", "split": True}
+    assert not token_cut.Words.fit(json.dumps(parts))
+
+
+class Spy:
+    """A tokenizer that keeps the words it is given."""
+
+    def __init__(self, tokenizer, seen):
+        self.tokenizer, self.seen = tokenizer, seen
+
+    def encode_batch_fast(self, words, **more):
+        self.seen += words
+        return self.tokenizer.encode_batch_fast(words, **more)
