@@ -745,12 +745,13 @@ def csv_ids(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def csv_blocks(spark: SparkSession, sf: str) -> DataFrame:
-    """One CSV file of documents, with line breaks and quotes in its fields, read by many tasks."""
+    """CSV files of documents, with line breaks and quotes in their fields, each read by many tasks."""
     path = scratch_path(spark, "csv-blocks")
     texts = views.table(spark, sf, "documents").select(
         "doc_id", F.concat(F.lit('said: "'), "text", F.lit('",\n\n"'), "lang").alias("text"), "source"
     )
-    review_files.save_csv(texts.coalesce(1).sortWithinPartitions("doc_id"), path)
+    # Files hold ranges of ids in the order of their names, so rows have the places they would have in one file.
+    review_files.save_csv(texts.repartitionByRange("doc_id").sortWithinPartitions("doc_id"), path)
     setting = "spark.sql.files.maxPartitionBytes"
     usual = spark.conf.get(setting)
     spark.conf.set(setting, "256k")

@@ -1,5 +1,7 @@
 """CSV files cut into blocks of any size against the reader that takes a file as a whole."""
 
+import hashlib
+import os
 import random
 from collections import Counter
 
@@ -7,6 +9,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
 
+import __spark_entry__ as spark_entry
 from starloom.sources import csv_blocks as cb
 from starloom.sources import reviews as files
 
@@ -134,3 +137,22 @@ def test_scan_of_states(functions, state):
         assert begun[i] == state
         state = f[1] if state else f[0]
     assert after == state
+
+
+def test_query_writes_its_files_by_many_tasks(spark, tmp_path, monkeypatch):
+    """Places are those of one file in the order of ids, with several files of several blocks."""
+    rows = [(i * 7 % 3001, f'text, "{i}"\n' * 40, "de", f"s{i % 3}") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    folders = []
+    save = spark_entry.review_files.save_csv
+    monkeypatch.setattr(spark_entry.review_files, "save_csv", lambda df, path: folders.append(path) or save(df, path))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = spark_entry.csv_blocks(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len([f for f in os.listdir(folders[0]) if f.startswith("part-")]) > 3
+    assert {r.doc_id: r.review_id for r in found} == {i: n for n, i in enumerate(sorted(r[0] for r in rows))}
+    texts = {i: f'said: "{text}",\n\n"{lang}' for i, text, lang, _ in rows}
+    assert all(r.text_md5 == hashlib.md5(texts[r.doc_id].encode()).hexdigest() for r in found)
