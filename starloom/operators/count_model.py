@@ -6,13 +6,16 @@ small tables and is scored by a join on the terms of a text; terms that training
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from starloom.fixed_values import PREDICTED, REVIEW_ID, SENTIMENT, SENTIMENTS, TEXT
 from starloom.functions.columns import argmax, look_up, named
+from starloom.llm.words import sums
 from starloom.operators.bounded import small_side
 from starloom.operators.metrics import classification_report
 from starloom.operators.sampling import train_test_split
@@ -21,6 +24,8 @@ from starloom.session import written_once
 
 SCALE = 1_000_000
 ROW = "_counted_row"
+# Tokens of the texts that are scored together, or of one longer text.
+BLOCK_TOKENS = 500_000
 
 
 class CountModel(NamedTuple):
@@ -62,25 +67,62 @@ def predict_counts(model: CountModel, df: DataFrame, text_col: str = TEXT) -> Da
 
     Rows are told apart by a number of their own, so equal ids do not meet. A vocabulary within the bounds of a
     broadcast is joined where the texts are read, and a row per text is shuffled; a larger one is joined by a
-    shuffle of the texts' different terms.
+    shuffle of the different terms of blocks of texts.
     """
     listed = model.priors.orderBy("place").collect()  # a row per class
     rows = written_once(df.withColumn(ROW, F.monotonically_increasing_id()), "rows-to-score")
-    spoken = tokenize(rows.select(ROW, named(text_col).cast("string").alias(TEXT)))
-    spoken = spoken.select(ROW, F.explode("tokens").alias("term"))
+    spoken = tokenize(rows.select(ROW, named(text_col).cast("string").alias(TEXT))).select(ROW, "tokens")
     terms, held = small_side(model.terms)
-    times = F.lit(1).cast("long")
     if held is None:
-        counted = spoken.groupBy(ROW, "term").agg(F.count(F.lit(1)).alias("times"))
-        spoken, times = written_once(counted, "spoken-terms"), F.col("times")
-    sums = [F.sum(times * F.col("weights")[i]).alias(f"s{i}") for i in range(len(listed))]
-    scores = spoken.join(terms, "term").groupBy(ROW).agg(*sums)
+        scores = _by_blocks(spoken, terms, len(listed))
+    else:
+        totals = [F.sum(F.col("weights")[i]).alias(f"s{i}") for i in range(len(listed))]
+        scores = spoken.select(ROW, F.explode("tokens").alias("term")).join(terms, "term").groupBy(ROW).agg(*totals)
     scored = rows.join(scores, ROW, "left")
     totals = F.array(*[F.lit(r["prior"]) + F.coalesce(f"s{i}", F.lit(0)) for i, r in enumerate(listed)])
     best = look_up(argmax(totals), {i: r["label"] for i, r in enumerate(listed)})
     return scored.select(*[named(c) for c in df.columns if c != PREDICTED], best.alias(PREDICTED))
 
 
+def _by_blocks(spoken: DataFrame, terms: DataFrame, n_classes: int) -> DataFrame:
+    """(row, s0, s1, ...): sums of weights of the tokens of each row of (row, tokens).
+
+    A block holds its different terms and all its tokens as numbers of these. Only the terms meet the vocabulary;
+    their weights then go to the block, which is one row.
+    """
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, lists = batch.column(0).to_numpy().astype(np.int64), batch.column(1)
+            starts = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(), dtype=np.int64)])
+            first = 0
+            while first < len(ids):
+                last = max(first + 1, int(np.searchsorted(starts, starts[first] + BLOCK_TOKENS, "right")) - 1)
+                last = min(last, len(ids))
+                found = lists.slice(first, last - first).flatten().dictionary_encode()
+                numbers = [ids[first:last], starts[first : last + 1] - starts[first], found.indices.to_numpy().astype(np.int32)]
+                words = pa.ListArray.from_arrays(pa.array([0, len(found.dictionary)], pa.int32()), found.dictionary)
+                columns = [pa.array(ids[first : first + 1]), words, *(pa.array([n.tobytes()], pa.binary()) for n in numbers)]
+                yield pa.RecordBatch.from_arrays(columns, ["block", "terms", "rows", "starts", "codes"])
+                first = last
+
+    def summed(block: pa.Table, known: pa.Table) -> pa.Table:
+        rows, starts = (np.frombuffer(block.column(c)[0].as_py(), np.int64) for c in ("rows", "starts"))
+        codes = np.frombuffer(block.column("codes")[0].as_py(), np.int32)
+        weights = np.zeros((int(codes.max(initial=-1)) + 1, n_classes), np.int64)
+        found = known.column("weights").combine_chunks().flatten().to_numpy()
+        weights[known.column("code").to_numpy()] = found.reshape(-1, n_classes)
+        columns = sums(weights[codes], starts).T
+        return pa.table({ROW: rows} | {f"s{i}": column for i, column in enumerate(columns)})
+
+    fields = "block long, terms array<string>, rows binary, starts binary, codes binary"
+    blocks = written_once(spoken.mapInArrow(packed, fields), "spoken-blocks")
+    asked = blocks.select("block", F.posexplode("terms").alias("code", "term"))
+    weighed = asked.join(terms, "term").select(F.col("block").alias("of"), "code", "weights")
+    held = blocks.drop("terms").groupBy("block").cogroup(weighed.groupBy("of"))
+    return held.applyInArrow(summed, ", ".join([f"{ROW} long", *(f"s{i} long" for i in range(n_classes))]))
+
+
 def train_counts(
     labelled: DataFrame,
     output_dir: str | None = None,

@@ -91,3 +91,16 @@ def test_command_line(spark, rows, tmp_path, capsys):
     train_main(["--data", str(tmp_path / "rows.csv"), "--out", str(tmp_path / "model"), "--model", "counts"])
     assert "accuracy" in capsys.readouterr().out
     assert cm.load_counts(spark, str(tmp_path / "model")).priors.count() == 3
+
+
+@pytest.mark.parametrize("size", [1, 4, 1000])
+def test_blocks_of_texts_meet_a_large_vocabulary_by_term(spark, rows, monkeypatch, size):
+    """The same predictions from blocks of any size as from a vocabulary in memory; no row per text and term."""
+    model = cm.fit_counts(rows)
+    held = [tuple(r) for r in cm.predict_counts(model, rows).collect()]
+    monkeypatch.setattr(bounded.small_side, "__defaults__", (0, bounded.MAX_BYTES))
+    monkeypatch.setattr(cm, "BLOCK_TOKENS", size)
+    written = []
+    monkeypatch.setattr(cm, "written_once", lambda df, name: written.append(name) or bounded.written_once(df, name))
+    assert Counter(tuple(r) for r in cm.predict_counts(model, rows).collect()) == Counter(held)
+    assert written == ["rows-to-score", "spoken-blocks"]
